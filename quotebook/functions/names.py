@@ -1,11 +1,16 @@
-"""Company-name features: match keys, token sets, variants and acronyms, as built-in expressions."""
+"""Company-name features: match keys, token sets, variants and acronyms, as built-in expressions.
+
+Every function takes SQL expression text (usually a column name) and returns SQL expression
+text. Parsing one text is much cheaper for the driver than building the same deep expression
+call by call, and the executors see the same built-in functions either way.
+``F.expr(name_tokens("company"))`` makes a column of it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from itertools import count
 
-from quotebook.functions.text import WORD, remove, strip
+from quotebook.functions.text import WORD, WS
 from quotebook.functions.vocabulary import (
     DESCRIPTOR_TOKENS,
     KEY_NOISE,
@@ -15,8 +20,21 @@ from quotebook.functions.vocabulary import (
 )
 
 _PARENTHESISED = r"\(([^)]+)\)"
-_ALNUM_RUN = "[a-z0-9]+"
-_EDGE_PUNCTUATION = " \t-–—,()"
+_EDGE_PUNCTUATION = r" \t-–—,()"
+NO_TOKENS = "cast(array() AS array<string>)"
+
+_fresh = count()
+
+
+def let(value: str, body) -> str:
+    """``body(name)`` with the value computed once, however often the body uses it."""
+    name = f"v{next(_fresh)}"
+    return f"get(transform(array({value}), {name} -> {body(name)}), 0)"
+
+
+def any_of(words: tuple, e: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in dict.fromkeys(words))
+    return f"({e} IN ({listed}))"
 
 
 def _whole_word(pattern: str) -> str:
@@ -24,102 +42,107 @@ def _whole_word(pattern: str) -> str:
     return f"(?i)(?<![{WORD}])(?:{pattern})(?![{WORD}])"
 
 
-def _expand_abbreviations(c: Column) -> Column:
-    c = F.regexp_replace(c, _whole_word("ent"), "enterprise")
-    return F.regexp_replace(c, _whole_word("lab"), "laboratories")
+def _expand_abbreviations(e: str) -> str:
+    ent = f"regexp_replace({e}, r'{_whole_word('ent')}', 'enterprise')"
+    return f"regexp_replace({ent}, r'{_whole_word('lab')}', 'laboratories')"
 
 
-def _runs(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(_ALNUM_RUN), F.lit(0))
+def _runs(e: str) -> str:
+    return f"regexp_extract_all({e}, '[a-z0-9]+', 0)"
 
 
-def _inner(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(_PARENTHESISED), F.lit(1))
+def _inner(e: str) -> str:
+    return f"regexp_extract_all({e}, r'{_PARENTHESISED}', 1)"
 
 
-def canonical_match_name(c: Column) -> Column:
-    return strip(_expand_abbreviations(F.coalesce(c, F.lit(""))))
+def canonical_match_name(e: str) -> str:
+    return f"regexp_replace({_expand_abbreviations(f'''coalesce({e}, '')''')}, r'^[{WS}]+|[{WS}]+$', '')"
 
 
-def normalize_for_match(c: Column) -> Column:
-    letters = F.regexp_replace(F.lower(canonical_match_name(c)), "[^a-z0-9]", "")
-    return remove(letters, *KEY_NOISE)
+def normalize_for_match(e: str) -> str:
+    key = f"regexp_replace(lower({canonical_match_name(e)}), '[^a-z0-9]', '')"
+    for noise in KEY_NOISE:
+        key = f"replace({key}, '{noise}', '')"
+    return key
 
 
-def stem(t: Column) -> Column:
-    plural = (F.length(t) > 4) & t.endswith("s") & ~t.endswith("ss")
-    return F.when(plural, F.left(t, F.length(t) - 1)).otherwise(t)
+def stem(t: str) -> str:
+    return f"if(length({t}) > 4 AND endswith({t}, 's') AND NOT endswith({t}, 'ss'), left({t}, length({t}) - 1), {t})"
 
 
-def name_tokens(c: Column) -> Column:
+def name_tokens(e: str) -> str:
     """Distinct stemmed tokens of a name; joined-up forms of hyphenated words are added."""
-    low = F.lower(canonical_match_name(c))
-    words = F.concat(_runs(low), _runs(F.regexp_replace(low, "[-'/]", "")))
-    kept = F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(*STOP_TOKENS))
-    return F.array_distinct(F.transform(kept, stem))
+    words = let(
+        f"lower({canonical_match_name(e)})",
+        lambda low: f"""concat({_runs(low)}, {_runs(f'''regexp_replace({low}, r"[-'/]", '')''')})""",
+    )
+    kept = f"filter(array_distinct({words}), w -> length(w) > 1 AND NOT {any_of(STOP_TOKENS, 'w')})"
+    return f"array_distinct(transform({kept}, w -> {stem('w')}))"
 
 
-def identity_tokens(tokens: Column) -> Column:
-    return F.filter(
-        tokens, lambda t: (F.length(t) >= MIN_IDENTITY_LENGTH) & ~t.isin(*DESCRIPTOR_TOKENS)
+def identity_tokens(tokens: str) -> str:
+    """The tokens that can tell a company apart."""
+    return (
+        f"filter({tokens}, t -> length(t) >= {MIN_IDENTITY_LENGTH} AND NOT {any_of(DESCRIPTOR_TOKENS, 't')})"
     )
 
 
-def name_variants(c: Column) -> Column:
+def name_variants(e: str) -> str:
     """The name, its parenthesised parts and the pieces around "formerly" and the like."""
-    c = F.coalesce(c, F.lit(""))
-    pieces = F.concat(
-        F.array(c), _inner(c), F.split(c, _whole_word("formerly|previously|known as"), -1)
-    )
-    trimmed = F.filter(
-        F.transform(pieces, lambda p: F.btrim(p, F.lit(_EDGE_PUNCTUATION))), lambda p: F.length(p) >= 3
-    )
-    spelled = F.flatten(F.transform(trimmed, lambda p: F.array(p, _expand_abbreviations(p))))
-    folded = F.transform(spelled, lambda p: F.lower(p))
-    # first spelling of each case-insensitive form
-    return F.filter(spelled, lambda p, i: F.array_position(folded, F.lower(p)) == i + 1)
+    e = f"coalesce({e}, '')"
+    split = f"split({e}, r'{_whole_word('formerly|previously|known as')}', -1)"
+    trimmed = f"transform(concat(array({e}), {_inner(e)}, {split}), p -> btrim(p, '{_EDGE_PUNCTUATION}'))"
+    kept = f"filter(array_distinct({trimmed}), p -> length(p) >= 3)"
+    spelled = f"flatten(transform({kept}, p -> array(p, {_expand_abbreviations('p')})))"
 
+    # first spelling of each case-insensitive form
+    def distinct(v: str) -> str:
+        return let(
+            f"transform({v}, p -> lower(p))",
+            lambda folded: f"filter({v}, (p, i) -> array_position({folded}, get({folded}, i)) = i + 1)",
+        )
 
-def significant_words(c: Column, drop_limited: bool = True) -> Column:
-    """Words of a name up to the last one that is not a trailing word."""
-    fluff = [w for w in TRAILING_WORDS if drop_limited or w not in ("limited", "ltd")]
-    words = _runs(F.lower(F.coalesce(c, F.lit(""))))
-    tail = F.array_position(F.transform(F.reverse(words), lambda w: ~w.isin(*fluff)), True)
-    return F.when(tail > 0, F.slice(words, F.lit(1), (F.size(words) - tail + 1).cast("int"))).otherwise(
-        F.array().cast("array<string>")
-    )
+    return let(spelled, distinct)
 
 
-def _initials(words: Column) -> Column:
-    return F.when(
-        F.size(words) >= 2, F.array_join(F.transform(words, lambda w: F.left(w, F.lit(1))), "")
+def _without_tail(words: str, drop_limited: bool) -> str:
+    fluff = tuple(w for w in TRAILING_WORDS if drop_limited or w not in ("limited", "ltd"))
+    return let(
+        f"array_position(transform(reverse({words}), w -> NOT {any_of(fluff, 'w')}), true)",
+        lambda tail: f"if({tail} > 0, slice({words}, 1, cast(size({words}) - {tail} + 1 AS int)), {NO_TOKENS})",
     )
 
 
-def acronyms_of(c: Column) -> Column:
-    both = F.array(_initials(significant_words(c)), _initials(significant_words(c, drop_limited=False)))
-    return F.array_distinct(F.filter(both, lambda a: F.length(a).between(2, 6)))
+def significant_words(e: str, drop_limited: bool = True) -> str:
+    """Words of a name up to the last one that is not a trailing word."""
+    return let(_runs(f"lower(coalesce({e}, ''))"), lambda words: _without_tail(words, drop_limited))
 
 
-def paren_chunks(c: Column) -> Column:
-    inner = _inner(F.coalesce(c, F.lit("")))
-    return F.flatten(
-        F.transform(
-            inner, lambda i: F.filter(F.array(i, normalize_for_match(i)), lambda x: x != "")
-        )
+def acronyms_of(e: str) -> str:
+    """Initials of the significant words, with and without "limited", 2 to 6 letters long."""
+    both = let(
+        _runs(f"lower(coalesce({e}, ''))"),
+        lambda words: f"array({_without_tail(words, True)}, {_without_tail(words, False)})",
     )
+    initials = f"transform({both}, ws -> if(size(ws) >= 2, array_join(transform(ws, w -> left(w, 1)), ''), ''))"
+    return f"array_distinct(filter({initials}, a -> length(a) BETWEEN 2 AND 6))"
+
 
+def paren_chunks(e: str) -> str:
+    """Parenthesised parts, each with its normalized form."""
+    inner = _inner(f"coalesce({e}, '')")
+    return f"flatten(transform({inner}, i -> filter(array(i, {normalize_for_match('i')}), x -> x != '')))"
 
-def short_keys(c: Column) -> Column:
+
+def short_keys(e: str) -> str:
     """Keys under which a short form finds this name: parenthesised chunks and acronyms."""
-    chunks = F.transform(paren_chunks(c), normalize_for_match)
-    return F.array_distinct(
-        F.filter(F.concat(chunks, acronyms_of(c)), lambda k: F.length(k) >= 3)
-    )
+    chunks = f"transform({paren_chunks(e)}, c -> {normalize_for_match('c')})"
+    return f"array_distinct(filter(concat({chunks}, {acronyms_of(e)}), k -> length(k) >= 3))"
 
 
-def token_jaccard(a: Column, b: Column) -> Column:
+def token_jaccard(a: str, b: str) -> str:
     """Jaccard similarity of two token arrays, 0 where either is empty."""
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
-        F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+    return (
+        f"if(size({a}) = 0 OR size({b}) = 0, 0D, "
+        f"size(array_intersect({a}, {b})) / size(array_union({a}, {b})))"
     )

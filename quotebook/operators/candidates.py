@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotebook.functions.names import name_tokens, name_variants, normalize_for_match, short_keys
+from quotebook.functions.names import NO_TOKENS, name_tokens, name_variants, normalize_for_match, short_keys
 from quotebook.functions.vocabulary import (
     MIN_OVERLAP,
     TIER_EQUAL,
@@ -39,6 +39,7 @@ from quotebook.functions.vocabulary import (
     TIER_SHORT,
     TIER_SUBSET,
 )
+from quotebook.session import stage
 
 ALL_TIERS = (TIER_EQUAL, TIER_SUBSET, TIER_SHORT, TIER_OVERLAP)
 
@@ -49,54 +50,44 @@ class MatchLimits:
 
     subset_tokens: int = 8
     overlap_tokens: int = 16
-    heavy_group: int = 200
+    # Groups of more canonical names than this are heavy, judged on one in ``heavy_sample`` names.
+    heavy_group: int = 512
+    heavy_sample: int = 16
     heavy_tokens: int = 10
 
 
 # --- subsets -----------------------------------------------------------------------------------
 
 
-def _subsets(tokens: Column, most_dropped: Column | int) -> Column:
-    """Subsets of a sorted token array with at most so many tokens left out.
+def subsets(tokens: str, most_dropped: str) -> str:
+    """SQL text: the subsets of a sorted token array with at most so many tokens left out.
 
-    array<struct<n: size, k: joined tokens>>, grown token by token.
+    array<struct<n: size, dropped, k: joined tokens>>, grown token by token.
     """
-    start = F.array(
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("dropped"), F.lit("").alias("k"))
+    taken = "transform(acc, s -> named_struct('n', s.n + 1, 'dropped', s.dropped, 'k', concat(s.k, '|', t)))"
+    left = (
+        f"transform(filter(acc, s -> s.dropped < {most_dropped}), "
+        "s -> named_struct('n', s.n, 'dropped', s.dropped + 1, 'k', s.k))"
     )
+    start = "array(named_struct('n', 0, 'dropped', 0, 'k', ''))"
+    return f"aggregate({tokens}, {start}, (acc, t) -> concat({taken}, {left}))"
 
-    def step(acc: Column, t: Column) -> Column:
-        taken = F.transform(
-            acc,
-            lambda s: F.struct(
-                (s["n"] + 1).alias("n"), s["dropped"].alias("dropped"), F.concat(s["k"], F.lit("|"), t).alias("k")
-            ),
-        )
-        left = F.transform(
-            F.filter(acc, lambda s: s["dropped"] < most_dropped),
-            lambda s: F.struct(s["n"].alias("n"), (s["dropped"] + 1).alias("dropped"), s["k"].alias("k")),
-        )
-        return F.concat(taken, left)
-
-    return F.transform(
-        F.aggregate(tokens, start, step), lambda s: F.struct(s["n"].alias("n"), s["k"].alias("k"))
-    )
 
+def _joined(tokens: str) -> str:
+    return f"concat('|', array_join({tokens}, '|'))"
 
-def _joined(tokens: Column) -> Column:
-    return F.concat(F.lit("|"), F.array_join(tokens, "|"))
 
-
-def least_overlap(n: Column) -> Column:
+def least_overlap(n: str) -> str:
     """Fewest common tokens a set of n needs for the threshold, safe against rounding."""
-    return F.ceil(n * F.lit(MIN_OVERLAP) - F.lit(1e-9)).cast("int")
+    return f"cast(ceil(({n}) * {MIN_OVERLAP}D - 1e-9D) AS int)"
 
 
 # --- names and their variants ------------------------------------------------------------------
 
 
 def canonical_names(book: DataFrame, primary: str = "primary") -> DataFrame:
-    """Distinct company names of primary records: first slug and order, number of records."""
+    """Distinct company names of primary records: first slug and order, number of records,
+    and the tokens of the name."""
     return (
         book.filter((F.col("source") == primary) & (F.col("company") != ""))
         .groupBy(F.col("company").alias("canon"))
@@ -105,97 +96,91 @@ def canonical_names(book: DataFrame, primary: str = "primary") -> DataFrame:
             F.min("ord").alias("ord"),
             F.count(F.lit(1)).alias("n_records"),
         )
+        .withColumn("canon_tokens", F.expr(name_tokens("canon")))
     )
 
 
 def variant_features(names: DataFrame, key: str, *hints: str) -> DataFrame:
     """(key, variant, norm, tokens, shorts) for every variant of the hint columns."""
-    variants = F.array_distinct(F.flatten(F.array(*[name_variants(F.col(h)) for h in hints])))
-    return names.select(key, F.explode(variants).alias("variant")).select(
+    variants = f"array_distinct(concat({', '.join(name_variants(h) for h in hints)}))"
+    return names.selectExpr(key, f"explode({variants}) AS variant").selectExpr(
         key,
         "variant",
-        normalize_for_match(F.col("variant")).alias("norm"),
-        F.sort_array(name_tokens(F.col("variant"))).alias("tokens"),
-        short_keys(F.col("variant")).alias("shorts"),
+        f"{normalize_for_match('variant')} AS norm",
+        f"sort_array({name_tokens('variant')}) AS tokens",
+        f"{short_keys('variant')} AS shorts",
     )
 
 
 # --- match keys --------------------------------------------------------------------------------
 
 
-def _key(kind: str, tier: int, text: Column) -> Column:
-    return F.struct(F.lit(tier).alias("tier"), F.concat(F.lit(kind), text).alias("g"))
+def _key(kind: str, tier: int, text: str) -> str:
+    return f"named_struct('tier', {tier}, 'g', concat('{kind}', {text}))"
 
 
 def _keys(features: DataFrame, key: str, tiers: tuple, limits: MatchLimits, secondary: bool) -> DataFrame:
     """(key, tier, g): rows of the two sides match at ``tier`` exactly when they share (tier, g)."""
-    norm, tokens = F.col("norm"), F.col("tokens")
-    n = F.size(tokens)
-    none = F.array().cast("array<struct<tier:int,g:string>>")
+    none = "cast(array() AS array<struct<tier:int,g:string>>)"
+    n = "size(tokens)"
     parts = []
     if TIER_EQUAL in tiers:
-        parts.append(F.when(norm != "", F.array(_key("=", TIER_EQUAL, norm))).otherwise(none))
+        parts.append(f"if(norm != '', array({_key('=', TIER_EQUAL, 'norm')}), {none})")
     if TIER_SHORT in tiers:
         if secondary:
-            parts.append(F.when(F.length(norm) >= 3, F.array(_key("s", TIER_SHORT, norm))).otherwise(none))
+            parts.append(f"if(length(norm) >= 3, array({_key('s', TIER_SHORT, 'norm')}), {none})")
         else:
-            parts.append(F.transform("shorts", lambda s: _key("s", TIER_SHORT, s)))
+            parts.append(f"transform(shorts, s -> {_key('s', TIER_SHORT, 's')})")
     if TIER_SUBSET in tiers:
         # "<": the secondary set lies in the canonical one; ">": strictly the other way round.
         own, other = ("<", ">") if secondary else (">", "<")
-        whole = F.array(_key(own, TIER_SUBSET, _joined(tokens)))
-        inside = F.transform(
-            F.filter(
-                _subsets(tokens, n),
-                lambda s: (s["n"] >= 2) & ((s["n"] < n) if secondary else F.lit(True)),
-            ),
-            lambda s: _key(other, TIER_SUBSET, s["k"]),
+        inside = f"filter({subsets('tokens', n)}, s -> s.n >= 2 {f'AND s.n < {n}' if secondary else ''})"
+        keys = (
+            f"concat(array({_key(own, TIER_SUBSET, _joined('tokens'))}), "
+            f"transform({inside}, s -> {_key(other, TIER_SUBSET, 's.k')}))"
         )
-        parts.append(F.when(n.between(2, limits.subset_tokens), F.concat(whole, inside)).otherwise(none))
+        parts.append(f"if({n} BETWEEN 2 AND {limits.subset_tokens}, {keys}, {none})")
     if TIER_OVERLAP in tiers:
-        # A common set of k tokens, properly inside both sides, of sizes n and m.
-        common = F.filter(_subsets(tokens, n - least_overlap(n)), lambda s: (s["n"] >= 2) & (s["n"] < n))
-
-        def sized(s: Column, m: Column) -> Column:
-            return _key("~", TIER_OVERLAP, F.concat(s["k"], F.lit("#"), m.cast("string")))
-
+        # A common set of k tokens, properly inside both sides, of sizes n and m: as the other
+        # side has more than k tokens, k / (n + 1) must reach the threshold.
+        least = least_overlap(f"{n} + 1")
+        common = f"filter({subsets('tokens', f'{n} - {least}')}, s -> s.n >= 2 AND s.n < {n})"
         if secondary:
-            sizes = lambda s: F.filter(
-                F.sequence(s["n"] + 1, F.greatest(s["n"] + 1, F.lit(limits.overlap_tokens))),
-                lambda m: s["n"] / (n + m - s["n"]) >= MIN_OVERLAP,
+            sizes = (
+                f"filter(sequence(s.n + 1, greatest(s.n + 1, {limits.overlap_tokens})), "
+                f"m -> s.n / ({n} + m - s.n) >= {MIN_OVERLAP}D)"
             )
-            keys = F.flatten(F.transform(common, lambda s: F.transform(sizes(s), lambda m: sized(s, m))))
+            sized = _key("~", TIER_OVERLAP, "s.k, '#', m")
+            keys = f"flatten(transform({common}, s -> transform({sizes}, m -> {sized})))"
         else:
-            keys = F.transform(common, lambda s: sized(s, n))
-        parts.append(F.when(n.between(3, limits.overlap_tokens), keys).otherwise(none))
-    exploded = features.select(key, F.explode(F.concat(*parts)).alias("m"))
-    return exploded.select(key, F.col("m.tier").alias("tier"), F.col("m.g").alias("g"))
+            sized = _key("~", TIER_OVERLAP, f"s.k, '#', {n}")
+            keys = f"transform({common}, s -> {sized})"
+        parts.append(f"if({n} BETWEEN 3 AND {limits.overlap_tokens} AND {least} < {n}, {keys}, {none})")
+    return features.selectExpr(key, f"explode(concat({', '.join(parts)})) AS m").selectExpr(
+        key, "m.tier AS tier", "m.g AS g"
+    )
 
 
 # --- groups with many canonical names ----------------------------------------------------------
 
 
-def _lookup_keys(tokens: Column, frequent: Column, limits: MatchLimits, canonical: bool) -> Column:
+def _lookup_keys(limits: MatchLimits, canonical: bool) -> str:
     """Sub-keys by which names of one group find each other; see the module text.
 
     "r": a rare token. "f": a set of frequent tokens. A name with too many frequent tokens to
     list their subsets is "wide" and meets the whole group instead.
     """
-    rare = F.transform(F.array_except(tokens, frequent), lambda t: F.concat(F.lit("r"), t))
-    few = F.size(frequent) <= limits.heavy_tokens
-    sets = F.when(
-        few, F.transform(_subsets(F.sort_array(frequent), F.size(frequent)), lambda s: F.concat(F.lit("f"), s["k"]))
-    ).otherwise(F.array().cast("array<string>"))
+    few = f"size(frequent) <= {limits.heavy_tokens}"
+    rare = "transform(array_except(name_tokens, frequent), t -> concat('r', t))"
+    sets = f"transform({subsets('sort_array(frequent)', 'size(frequent)')}, s -> concat('f', s.k))"
     mine, theirs = ("w", "W") if canonical else ("W", "w")
-    wide = F.when(few, F.array(F.lit(theirs))).otherwise(F.array(F.lit(mine), F.lit(theirs)))
-    return F.concat(rare, sets, wide)
+    wide = f"if({few}, array('{theirs}'), array('{mine}', '{theirs}'))"
+    return f"concat({rare}, if({few}, {sets}, {NO_TOKENS}), {wide})"
 
 
 def _heavy_pairs(src_keys: DataFrame, can_keys: DataFrame, src: DataFrame, canon: DataFrame, limits: MatchLimits) -> DataFrame:
     """Pairs of the groups with many canonical names, reduced to the two best of each group."""
-    members = (
-        can_keys.distinct().join(canon, "canon").withColumn("name_tokens", name_tokens(F.col("canon")))
-    )
+    members = can_keys.join(canon.withColumnRenamed("canon_tokens", "name_tokens"), "canon")
     counts = (
         members.select("canon", F.explode("name_tokens").alias("t")).distinct().groupBy("t").count()
         .filter(F.col("count") > limits.heavy_group).select("t")
@@ -210,22 +195,15 @@ def _heavy_pairs(src_keys: DataFrame, can_keys: DataFrame, src: DataFrame, canon
             .groupBy(key)
             .agg(F.collect_list("t").alias("frequent"))
         )
-        keyed = names.join(frequent, key, "left").select(
-            key,
-            "name_tokens",
-            F.explode(
-                _lookup_keys(
-                    F.col("name_tokens"),
-                    F.coalesce("frequent", F.array().cast("array<string>")),
-                    limits,
-                    canonical,
-                )
-            ).alias("sub"),
+        keyed = (
+            names.join(frequent, key, "left")
+            .selectExpr(key, "name_tokens", f"coalesce(frequent, {NO_TOKENS}) AS frequent")
+            .selectExpr(key, "name_tokens", f"explode({_lookup_keys(limits, canonical)}) AS sub")
         )
         return rows.drop("name_tokens").join(keyed, key)
 
     left = with_lookup(
-        src_keys.distinct().join(src.select("src", name_tokens(F.col("company")).alias("name_tokens")), "src"),
+        src_keys.join(src.select("src", F.col("src_tokens").alias("name_tokens")), "src"),
         "src",
         False,
     )
@@ -281,13 +259,12 @@ def _overlapping_pairs(src: DataFrame, canon: DataFrame, limits: MatchLimits) ->
     df = postings[0].select("t").unionByName(postings[1].select("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
 
     def prefixes(rows: DataFrame, name: str) -> DataFrame:
-        n = F.size("tokens")
         ordered = (
             rows.join(df, "t")
             .groupBy("id", "tokens")
             .agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("by_df"))
         )
-        prefix = F.slice("by_df", F.lit(1), n - least_overlap(n) + 1)
+        prefix = F.slice("by_df", F.lit(1), F.expr(f"size(tokens) - {least_overlap('size(tokens)')} + 1"))
         return ordered.select(
             F.col("id").alias(name), F.col("tokens").alias(f"{name}_tokens"), F.explode(F.transform(prefix, lambda p: p["t"])).alias("t")
         )
@@ -305,16 +282,33 @@ def _overlapping_pairs(src: DataFrame, canon: DataFrame, limits: MatchLimits) ->
     )
 
 
+def longest_sets(*sides: DataFrame) -> list[int]:
+    """The largest token count of each side, in one small job."""
+    sized = [d.select(F.lit(i).alias("side"), F.size("tokens").alias("n")) for i, d in enumerate(sides)]
+    union = sized[0]
+    for other in sized[1:]:
+        union = union.unionByName(other)
+    found = dict(union.groupBy("side").agg(F.max("n")).collect())
+    return [found.get(i, 0) for i in range(len(sides))]
+
+
 def _long_pairs(src_features: DataFrame, can_features: DataFrame, tiers: tuple, limits: MatchLimits) -> list[DataFrame]:
+    """Pairs with a long name; a branch is planned only where such names exist."""
+    n = F.size("tokens")
+    src, canon = (
+        d.filter(n >= 2).select(k, "tokens").distinct() for d, k in ((src_features, "src"), (can_features, "canon"))
+    )
+    longest_src, longest_canon = longest_sets(src_features, can_features)
     found = []
-    sets = [d.filter(F.size("tokens") >= 2).select(k, "tokens").distinct() for d, k in ((src_features, "src"), (can_features, "canon"))]
     if TIER_SUBSET in tiers:
-        is_long = F.size("tokens") > limits.subset_tokens
-        found.append(contained_pairs(sets[0], sets[1].filter(is_long), "src", "canon").withColumn("tier", F.lit(TIER_SUBSET)))
-        found.append(contained_pairs(sets[1], sets[0].filter(is_long), "canon", "src").withColumn("tier", F.lit(TIER_SUBSET)))
-    if TIER_OVERLAP in tiers:
-        found.append(_overlapping_pairs(sets[0], sets[1], limits).withColumn("tier", F.lit(TIER_OVERLAP)))
-    return [d.select("src", "canon", "tier") for d in found]
+        is_long = n > limits.subset_tokens
+        if longest_canon > limits.subset_tokens:
+            found.append((contained_pairs(src, canon.filter(is_long), "src", "canon"), TIER_SUBSET))
+        if longest_src > limits.subset_tokens:
+            found.append((contained_pairs(canon, src.filter(is_long), "canon", "src"), TIER_SUBSET))
+    if TIER_OVERLAP in tiers and max(longest_src, longest_canon) > limits.overlap_tokens:
+        found.append((_overlapping_pairs(src, canon, limits), TIER_OVERLAP))
+    return [d.select("src", "canon", F.lit(tier).alias("tier")) for d, tier in found]
 
 
 # --- all together ------------------------------------------------------------------------------
@@ -328,20 +322,31 @@ def tier_candidates(
     tiers: tuple = ALL_TIERS,
     limits: MatchLimits = MatchLimits(),
 ) -> DataFrame:
-    """(src, canon, tier): valid pairs, among them the two best of each name and tier."""
+    """(src, canon, tier): valid pairs, among them the two best of each name and tier.
+
+    The features should be staged: they feed several branches, and which branches are planned
+    depends on them.
+    """
     src_keys = _keys(src_features, "src", tiers, limits, secondary=True)
     can_keys = _keys(can_features, "canon", tiers, limits, secondary=False)
     group = ["tier", "g"]
-    # Keys of one side only are dropped early by the join; groups are sized on the canonical side.
-    heavy = can_keys.groupBy(*group).count().filter(F.col("count") > limits.heavy_group).select(*group)
-    light_pairs = (
-        src_keys.join(can_keys.join(heavy, group, "left_anti"), group).select("src", "canon", "tier")
-    )
-    heavy_src = src_keys.join(heavy, group, "left_semi")
-    heavy_canon = can_keys.join(heavy, group, "left_semi").join(
-        heavy_src.select(*group).distinct(), group, "left_semi"
+    sampled = can_features.filter(F.pmod(F.xxhash64("canon"), F.lit(limits.heavy_sample)) == 0)
+    sized = (
+        _keys(sampled, "canon", tiers, limits, secondary=False)
+        .groupBy(*group)
+        .count()
+        .filter(F.col("count") * limits.heavy_sample > limits.heavy_group)
     )
-    out = light_pairs.unionByName(_heavy_pairs(heavy_src, heavy_canon, src, canon, limits))
+    # Of the heavy groups only those with a secondary name matter; often there are none.
+    heavy_src = stage(src_keys.join(sized.select(*group), group, "left_semi").distinct(), "heavy-secondary")
+    if heavy_src.isEmpty():
+        out = src_keys.join(can_keys, group).select("src", "canon", "tier")
+    else:
+        heavy = heavy_src.select(*group).distinct()
+        light = src_keys.join(heavy, group, "left_anti")
+        out = light.join(can_keys, group).select("src", "canon", "tier")
+        heavy_canon = stage(can_keys.join(heavy, group, "left_semi").distinct(), "heavy-primary")
+        out = out.unionByName(_heavy_pairs(heavy_src, heavy_canon, src, canon, limits))
     for more in _long_pairs(src_features, can_features, tiers, limits):
         out = out.unionByName(more)
     return out

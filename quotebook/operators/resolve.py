@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,9 +16,10 @@ from quotebook.functions.vocabulary import AMBIGUITY_GAP, TIER_EQUAL
 from quotebook.operators.candidates import (
     ALL_TIERS,
     MatchLimits,
-    _subsets,
+    subsets,
     canonical_names,
     contained_pairs,
+    longest_sets,
     tier_candidates,
     variant_features,
 )
@@ -36,13 +37,20 @@ def source_key():
 
 
 def source_names(listings: DataFrame) -> DataFrame:
-    """Distinct (company, short name) pairs to resolve, with their number of rows."""
+    """Distinct (company, short name) pairs to resolve, with their number of rows and the
+    tokens of the company name."""
     short = F.col("short_name") if "short_name" in listings.columns else _NO_TEXT
     return (
         listings.filter(F.col("company") != "")
         .groupBy("company", F.coalesce(short, _NO_TEXT).alias("short_name"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(source_key().alias("src"), "company", "short_name", "n_rows")
+        .select(
+            source_key().alias("src"),
+            "company",
+            "short_name",
+            "n_rows",
+            F.expr(name_tokens("company")).alias("src_tokens"),
+        )
     )
 
 
@@ -55,13 +63,13 @@ def alias_lookup(names: DataFrame, aliases: DataFrame) -> DataFrame:
     )
     exact = entries.select(F.col("secondary_name").alias("company"), F.col("primary_name").alias("exact_name"))
     by_key = (
-        entries.withColumn("alias_key", normalize_for_match(F.col("secondary_name")))
+        entries.withColumn("alias_key", F.expr(normalize_for_match("secondary_name")))
         .filter(F.col("alias_key") != "")
         .groupBy("alias_key")
         .agg(F.min_by("primary_name", "ord").alias("key_name"))
     )
     return (
-        names.withColumn("alias_key", normalize_for_match(F.col("company")))
+        names.withColumn("alias_key", F.expr(normalize_for_match("company")))
         .join(exact, "company", "left")
         .join(by_key, "alias_key", "left")
         .withColumn("mapped_name", F.coalesce("exact_name", "key_name"))
@@ -85,9 +93,12 @@ def match_candidates(
         .groupBy("src", "canon")
         .agg(F.max("tier").alias("tier"))
     )
-    company = F.split(F.col("src"), "\x01")[0]
-    return pairs.withColumn("jaccard", token_jaccard(name_tokens(company), name_tokens(F.col("canon")))).join(
-        canon, "canon"
+    # The last join leaves the pairs partitioned by name, as the ranking needs them.
+    return (
+        pairs.join(canon, "canon")
+        .join(src.select("src", "src_tokens"), "src")
+        .withColumn("jaccard", F.expr(token_jaccard("src_tokens", "canon_tokens")))
+        .drop("src_tokens", "canon_tokens")
     )
 
 
@@ -129,7 +140,7 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
 def token_index(canon: DataFrame) -> DataFrame:
     """token -> number of primary records with it, and the first of them."""
     return (
-        canon.select("canon", "slug", "ord", "n_records", F.explode(name_tokens(F.col("canon"))).alias("token"))
+        canon.select("canon", "slug", "ord", "n_records", F.explode("canon_tokens").alias("token"))
         .groupBy("token")
         .agg(
             F.sum("n_records").alias("n_records"),
@@ -146,34 +157,33 @@ def unique_token_match(hints: DataFrame, canon: DataFrame, limits: MatchLimits =
     counted per subset, so a hint is one lookup; longer canonical names are found by their
     rarest token.
     """
-    own = hints.withColumn("tokens", F.sort_array(identity_tokens(name_tokens(F.col("hint"))))).filter(
-        F.size("tokens") > 0
-    )
-    index = canon.withColumn("tokens", F.sort_array(identity_tokens(name_tokens(F.col("canon"))))).filter(
-        F.size("tokens") > 0
-    )
+    def identity(tokens: str) -> Column:
+        return F.expr(f"sort_array({identity_tokens(tokens)})")
+
+    own = hints.select("src", identity(name_tokens("hint")).alias("tokens")).filter(F.size("tokens") > 0)
+    index = canon.withColumn("tokens", identity("canon_tokens")).filter(F.size("tokens") > 0)
     n = F.size("tokens")
-    short = index.filter(n <= limits.subset_tokens)
     sets = (
-        short.select("slug", "ord", "n_records", F.explode(_subsets(F.col("tokens"), n)).alias("s"))
+        index.filter(n <= limits.subset_tokens)
+        .select("slug", "ord", "n_records", F.explode(F.expr(subsets("tokens", "size(tokens)"))).alias("s"))
         .filter(F.col("s.n") > 0)
         .groupBy(F.col("s.k").alias("k"))
         .agg(F.sum("n_records").alias("n_records"), F.min_by("slug", "ord").alias("slug"))
     )
-    looked_up = (
+    found = (
         own.select("src", F.concat(F.lit("|"), F.array_join("tokens", "|")).alias("k"))
         .join(sets, "k")
         .select("src", "slug", "n_records")
     )
-    long = index.filter(n > limits.subset_tokens)
-    verified = (
-        contained_pairs(own.select("src", "tokens"), long.select("canon", "tokens"), "src", "canon")
-        .join(canon, "canon")
-        .select("src", "slug", "n_records")
-    )
+    if longest_sets(index)[0] > limits.subset_tokens:
+        long = index.filter(n > limits.subset_tokens)
+        found = found.unionByName(
+            contained_pairs(own, long.select("canon", "tokens"), "src", "canon")
+            .join(canon, "canon")
+            .select("src", "slug", "n_records")
+        )
     return (
-        looked_up.unionByName(verified)
-        .groupBy("src")
+        found.groupBy("src")
         .agg(F.sum("n_records").alias("n"), F.min("slug").alias("slug"))
         .filter(F.col("n") == 1)
         .select("src", "slug")
@@ -184,7 +194,7 @@ def unique_prefix_match(hints: DataFrame, canon: DataFrame) -> DataFrame:
     """(src, slug) where one identity token of a name occurs in the index, in a single record,
     and one of the two normalized names starts with the other."""
     own = hints.select(
-        "src", "hint", F.explode(identity_tokens(name_tokens(F.col("hint")))).alias("token")
+        "src", "hint", F.explode(F.expr(identity_tokens(name_tokens("hint")))).alias("token")
     )
     present = (
         own.join(token_index(canon), "token")
@@ -198,25 +208,31 @@ def unique_prefix_match(hints: DataFrame, canon: DataFrame) -> DataFrame:
         )
         .filter((F.col("n_present") == 1) & (F.col("n_records") == 1))
     )
-    mine, theirs = normalize_for_match(F.col("hint")), normalize_for_match(F.col("canon"))
+    mine, theirs = F.expr(normalize_for_match("hint")), F.expr(normalize_for_match("canon"))
     prefix = F.startswith(mine, theirs) | F.startswith(theirs, mine)
     return present.filter((mine != "") & (F.length(theirs) >= 4) & prefix).select("src", "slug")
 
 
 def resolve_names(
-    src: DataFrame, canon: DataFrame, aliases: DataFrame | None = None, limits: MatchLimits = MatchLimits()
+    src: DataFrame, canon: DataFrame, limits: MatchLimits = MatchLimits()
 ) -> DataFrame:
     """(src, slug, step) for every name that resolves; step 0 is a scored match, 1-4 the
-    fallbacks, which apply only to names without any scored candidate."""
-    src = stage(src if aliases is None else alias_lookup(src, aliases), "secondary-names")
-    canon = stage(canon, "primary-names")
+    fallbacks, which apply only to names without any scored candidate. Both inputs are read
+    several times and should be staged."""
     scored = stage(best_candidate(match_candidates(src, canon, limits=limits)), "scored")
-    rest = src.join(scored, "src", "left_anti")
     found = scored.filter(F.col("slug").isNotNull()).select("src", "slug", F.lit(0).alias("step"))
-    for offset, match in ((1, lambda h: unique_token_match(h, canon, limits)), (3, lambda h: unique_prefix_match(h, canon))):
-        for i, name in enumerate(("company", "short_name")):
-            hints = rest.filter(F.col(name) != "").select("src", F.col(name).alias("hint"))
-            found = found.unionByName(match(hints).withColumn("step", F.lit(offset + i)))
+    rest = stage(src.join(scored, "src", "left_anti"), "unscored")
+    if not rest.isEmpty():
+        # Both name columns go through each fallback together, told apart by the step.
+        def hints(first_step: int) -> DataFrame:
+            asked = F.explode(F.array(*[
+                F.struct(F.struct("src", F.lit(first_step + i).alias("step")).alias("src"), F.col(c).alias("hint"))
+                for i, c in enumerate(("company", "short_name"))
+            ]))
+            return rest.select(asked.alias("a")).select("a.*").filter(F.col("hint") != "")
+
+        for match in (unique_token_match(hints(1), canon, limits), unique_prefix_match(hints(3), canon)):
+            found = found.unionByName(match.select("src.src", "slug", "src.step"))
     return found.groupBy("src").agg(F.min_by("slug", "step").alias("slug"), F.min("step").alias("step"))
 
 
@@ -240,12 +256,11 @@ def resolve_entities(
     limits: MatchLimits = MatchLimits(),
 ) -> DataFrame:
     """Listings with ``matched_slug``: the primary record of the book each one denotes, or null."""
-    src = stage(source_names(listings), "names")
+    names = source_names(listings)
+    src = stage(names if aliases is None else alias_lookup(names, aliases), "secondary-names")
+    canon = stage(canonical_names(book, primary), "primary-names")
     resolved = stage(
-        resolve_names(src, canonical_names(book, primary), aliases, limits).select(
-            "src", F.col("slug").alias("matched_slug")
-        ),
-        "resolved",
+        resolve_names(src, canon, limits).select("src", F.col("slug").alias("matched_slug")), "resolved"
     )
     heavy = (
         src.filter(F.col("n_rows") >= HEAVY_NAME_ROWS).orderBy(F.desc("n_rows")).limit(HEAVY_NAMES).select("src")
