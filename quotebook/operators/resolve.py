@@ -29,20 +29,19 @@ from quotebook.session import stage
 HEAVY_NAME_ROWS = 100_000
 HEAVY_NAMES = 1_000
 
-_NO_TEXT = F.lit("")
 
-
-def source_key():
-    return F.concat_ws("\x01", F.coalesce("company", _NO_TEXT), F.coalesce("short_name", _NO_TEXT))
+def source_key() -> Column:
+    """One text per (company, short name) pair."""
+    return F.concat_ws("\x01", F.coalesce("company", F.lit("")), F.coalesce("short_name", F.lit("")))
 
 
 def source_names(listings: DataFrame) -> DataFrame:
     """Distinct (company, short name) pairs to resolve, with their number of rows and the
     tokens of the company name."""
-    short = F.col("short_name") if "short_name" in listings.columns else _NO_TEXT
+    short = F.col("short_name") if "short_name" in listings.columns else F.lit("")
     return (
         listings.filter(F.col("company") != "")
-        .groupBy("company", F.coalesce(short, _NO_TEXT).alias("short_name"))
+        .groupBy("company", F.coalesce(short, F.lit("")).alias("short_name"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(
             source_key().alias("src"),

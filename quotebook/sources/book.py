@@ -54,11 +54,10 @@ def write_book(book: DataFrame, root: str, version: int | None = None) -> int:
     return version
 
 
-def import_book_json(spark: SparkSession, path: str) -> DataFrame:
-    """A one-file JSON snapshot (slug -> record) as a book; a broken file gives an empty one.
+def book_from_json(texts: DataFrame) -> DataFrame:
+    """JSON snapshots (column ``value``: slug -> record) as a book; broken text gives no rows.
 
-    Only for moving an existing snapshot over once: such a file is a single document, so it is
-    parsed in one task. Record order in the file becomes ``ord``.
+    Record order within a document becomes ``ord``.
     """
     record = ", ".join(
         f"{f.name}: {'string' if f.name == 'updated_at' else f.dataType.simpleString()}"
@@ -66,7 +65,7 @@ def import_book_json(spark: SparkSession, path: str) -> DataFrame:
         if f.name != "ord"
     )
     entries = F.map_entries(F.from_json("value", f"map<string,struct<{record}>>"))
-    rows = spark.read.text(path, wholetext=True).select(F.posexplode(entries).alias("ord", "entry"))
+    rows = texts.select(F.posexplode(entries).alias("ord", "entry"))
     flat = rows.select(F.col("ord").cast("bigint"), F.col("entry.key").alias("key"), "entry.value.*")
     return flat.withColumns(
         {
@@ -76,6 +75,12 @@ def import_book_json(spark: SparkSession, path: str) -> DataFrame:
     ).select(*BOOK_FIELDS)
 
 
+def import_book_json(spark: SparkSession, path: str) -> DataFrame:
+    """A snapshot kept as one JSON file. Only for moving it over once: a single document is
+    parsed in one task."""
+    return book_from_json(spark.read.text(path, wholetext=True))
+
+
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """Published price rows: a JSON array file or a folder of JSON lines."""
     lines = spark.read.schema(PUBLISHED_SCHEMA)
