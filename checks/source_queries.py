@@ -126,7 +126,7 @@ _TEXT_STEPS = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(htm
 
 def _decoded(e: str) -> str:
     for entity, char in (*detail.ENTITIES, ("&amp;", "&")):
-        e = f"replace({e}, '{entity}', '{char}')"
+        e = f"replace({e}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return e
 
 
@@ -258,9 +258,9 @@ def filter_slug_present(spark, sf):
     )
 
 
-@query("SELECT doc_id, source FROM documents WHERE source IN ('web', 'code')")
+@query("SELECT doc_id, source FROM documents WHERE source IN ('src0', 'src1')")
 def filter_source(spark, sf):
-    return ops.filter_source(load(spark, sf, "documents").select("doc_id", "source"), "all", "web", "code")
+    return ops.filter_source(load(spark, sf, "documents").select("doc_id", "source"), "all", "src0", "src1")
 
 
 _SLUGS = f"""{duckdb_views('fx_primary_raw', 'fx_priority')}, wanted AS (

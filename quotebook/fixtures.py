@@ -101,6 +101,31 @@ SELECT 1000000000 + p_partkey AS ord, 'secondary' AS source,
        concat('old-kx', {_ID}) AS slug, CAST(CAST(round(p_retailprice) AS BIGINT) + 3 AS STRING) AS price,
        'Secondary sector' AS sector, 'INS' || {_ID} || '000' AS isin
 FROM part WHERE p_partkey % 16 IN (1, 13, 15)""",
+    # Primary rows with repeats of a slug: gaps, empty and newer values.
+    "fx_primary_updates": """
+SELECT ord, source, company, slug, price, sector, CAST(NULL AS STRING) AS isin FROM fx_primary_raw
+UNION ALL
+SELECT 1000000000 + ord AS ord, source, company, slug,
+       CASE WHEN ord % 5 = 0 THEN 'N/A' ELSE concat(CAST(ord AS STRING), '.5') END AS price,
+       CASE ord % 3 WHEN 0 THEN '' WHEN 1 THEN 'Newer sector' END AS sector,
+       CASE WHEN ord % 7 = 0 THEN concat('INN', slug) END AS isin
+FROM fx_primary_raw WHERE ord % 4 = 0""",
+    # Secondary rows that hit old secondary records, primary records and new slugs.
+    "fx_secondary_updates": f"""
+SELECT p_partkey AS ord, 'secondary' AS source, concat(p_name, ' ', lower(p_type), ' kx', {_ID}, ' Pvt Ltd') AS company,
+       CASE WHEN p_partkey % 16 IN (1, 13, 15) THEN concat('old-kx', {_ID}) WHEN p_partkey % 16 = 0 THEN concat('kx', {_ID})
+         ELSE concat('new-', lower(p_type)) END AS slug,
+       CASE WHEN p_partkey % 3 = 0 THEN 'N/A' ELSE CAST(p_partkey + 5 AS STRING) END AS price,
+       CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN p_brand END AS sector
+FROM part""",
+    # Secondary rows, four to a primary record.
+    "fx_matched": f"""
+SELECT p_partkey AS ord, 'secondary' AS source, concat(p_name, ' variant ', CAST(p_partkey % 3 AS STRING)) AS company,
+       CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS short_name,
+       CASE WHEN p_partkey % 7 = 0 THEN 'N/A' ELSE CAST(p_partkey + 5 AS STRING) END AS price,
+       CASE WHEN p_partkey % 3 = 1 THEN concat('Sector ', CAST(p_partkey AS STRING)) ELSE '' END AS industry,
+       concat('kx', lpad(CAST(p_partkey - p_partkey % 4 AS STRING), 6, '0')) AS matched_slug
+FROM part""",
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotebook.operators.publish import live_columns
+from quotebook.sources.book import versions
 
 TAG = "LIVE_DATA:"
 _EVENT = "company string, price string, source string"
@@ -61,3 +62,11 @@ def snapshot_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The running result as of the newest micro-batch."""
+    done = versions(spark, path)
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/version={done[-1]}")
