@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from itertools import count
 
-from quotebook.functions.text import WORD, WS
+from quotebook.functions.text import WORD, WS_CHARS
 from quotebook.functions.vocabulary import (
     DESCRIPTOR_TOKENS,
     KEY_NOISE,
@@ -20,6 +20,7 @@ from quotebook.functions.vocabulary import (
 )
 
 _PARENTHESISED = r"\(([^)]+)\)"
+_WS_LITERAL = "".join(f"\\u{ord(c):04x}" for c in WS_CHARS)
 _EDGE_PUNCTUATION = r" \t-–—,()"
 NO_TOKENS = "cast(array() AS array<string>)"
 
@@ -43,8 +44,11 @@ def _whole_word(pattern: str) -> str:
 
 
 def _expand_abbreviations(e: str) -> str:
-    ent = f"regexp_replace({e}, r'{_whole_word('ent')}', 'enterprise')"
-    return f"regexp_replace({ent}, r'{_whole_word('lab')}', 'laboratories')"
+    # Most names have neither letter sequence, so the expressions run behind a plain search.
+    def spelled(x: str, short: str, long: str) -> str:
+        return f"if(contains(lower({x}), '{short}'), regexp_replace({x}, r'{_whole_word(short)}', '{long}'), {x})"
+
+    return let(spelled(e, "ent", "enterprise"), lambda x: spelled(x, "lab", "laboratories"))
 
 
 def _runs(e: str) -> str:
@@ -56,7 +60,8 @@ def _inner(e: str) -> str:
 
 
 def canonical_match_name(e: str) -> str:
-    return f"regexp_replace({_expand_abbreviations(f'''coalesce({e}, '')''')}, r'^[{WS}]+|[{WS}]+$', '')"
+    expanded = _expand_abbreviations(f"coalesce({e}, '')")
+    return f"btrim({expanded}, '{_WS_LITERAL}')"
 
 
 def normalize_for_match(e: str) -> str:
@@ -72,10 +77,11 @@ def stem(t: str) -> str:
 
 def name_tokens(e: str) -> str:
     """Distinct stemmed tokens of a name; joined-up forms of hyphenated words are added."""
-    words = let(
-        f"lower({canonical_match_name(e)})",
-        lambda low: f"""concat({_runs(low)}, {_runs(f'''regexp_replace({low}, r"[-'/]", '')''')})""",
-    )
+    def runs(low: str) -> str:
+        squeezed = f"""translate({low}, "-'/", '')"""
+        return f"""if({low} RLIKE r"[-'/]", concat({_runs(low)}, {_runs(squeezed)}), {_runs(low)})"""
+
+    words = let(f"lower({canonical_match_name(e)})", runs)
     kept = f"filter(array_distinct({words}), w -> length(w) > 1 AND NOT {any_of(STOP_TOKENS, 'w')})"
     return f"array_distinct(transform({kept}, w -> {stem('w')}))"
 

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 # The whitespace of str.strip(), spelled out so that the class does not depend on the regex engine.
 WS = r"\t-\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 # Letters, digits and underscore in any script.
 WORD = r"\p{L}\p{N}_"
 
@@ -19,7 +22,7 @@ _INTEGER = rf"^[+-]?{_DIGITS}$"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def remove(c: Column, *parts: str) -> Column:
@@ -60,14 +63,18 @@ def is_positive_price(c: Column) -> Column:
     return F.coalesce(_float(strip(c)) > 0, F.lit(False))
 
 
+def _dashed(c: Column, separators: str) -> Column:
+    """Runs of separators and dashes to one dash, none at the ends."""
+    one_kind = F.translate(c, separators, "-" * len(separators))
+    return F.btrim(F.regexp_replace(one_kind, "--+", "-"), F.lit("-"))
+
+
 def slugify_ascii(c: Column) -> Column:
-    kept = F.regexp_replace(F.lower(c), f"[^a-z0-9{WS}-]", "")
-    return F.btrim(F.regexp_replace(kept, f"[{WS}-]+", "-"), F.lit("-"))
+    return _dashed(F.regexp_replace(F.lower(c), f"[^a-z0-9 {WS}-]+", ""), WS_CHARS)
 
 
 def slugify_unicode(c: Column) -> Column:
-    kept = F.regexp_replace(strip(F.lower(c)), f"[^{WORD}{WS}-]", "")
-    return F.btrim(F.regexp_replace(kept, f"[{WS}_-]+", "-"), F.lit("-"))
+    return _dashed(F.regexp_replace(strip(F.lower(c)), f"[^a-z0-9 {WORD}{WS}-]+", ""), WS_CHARS + "_")
 
 
 def nonempty(c: Column) -> Column:

@@ -32,10 +32,10 @@ def _decode_entities(c: Column) -> Column:
         return F.replace(acc, F.concat(F.lit("&#"), digits, F.lit(";")), char)
 
     numeric = F.array_distinct(F.regexp_extract_all(c, F.lit("&#([0-9]{2,6});"), F.lit(1)))
-    c = F.when(c.contains("&#"), F.aggregate(numeric, c, code_points)).otherwise(c)
+    decoded = F.when(c.contains("&#"), F.aggregate(numeric, c, code_points)).otherwise(c)
     for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(c.contains("&"), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(c)
 
 
 def _text_nodes(html: Column) -> Column:
@@ -71,14 +71,16 @@ def extract_page_facts(pages: DataFrame, marker: str = "/in/listing/", source: s
 
 def extract_kv_pairs(pages: DataFrame) -> DataFrame:
     """``key: value`` pairs of the page text, the last value of a repeated key winning."""
-    text = visible_text(F.col("html"))
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(_PAIR), F.lit(1)).alias("k"),
-        F.regexp_extract_all(text, F.lit(_PAIR), F.lit(2)).alias("v"),
-    )
+    # Neither a key nor a value contains a colon, so one search gives both.
+    found = F.regexp_extract_all(visible_text(F.col("html")), F.lit(_PAIR), F.lit(0))
     return (
-        pages.select("page_id", F.posexplode(pairs).alias("pos", "pair"))
-        .select("page_id", "pos", strip(F.col("pair.k")).alias("key"), strip(F.col("pair.v")).alias("value"))
+        pages.select("page_id", F.posexplode(found).alias("pos", "pair"))
+        .select(
+            "page_id",
+            "pos",
+            strip(F.substring_index("pair", ":", 1)).alias("key"),
+            strip(F.substring_index("pair", ":", -1)).alias("value"),
+        )
         .filter(F.length("key").between(2, 35) & F.length("value").between(1, 100))
         .groupBy("page_id", "key")
         .agg(F.max_by("value", "pos").alias("value"))
