@@ -211,9 +211,10 @@ def mode_projection(spark, sf):
 
 @query(f"WITH {duckdb_views('fx_priority')} SELECT entry FROM fx_priority")
 def read_priority_list(spark, sf):
-    """Entries written as JSON documents, one per remainder of the key, and read back."""
-    entries = view(spark, sf, "fx_priority").withColumn("bucket", F.pmod(F.xxhash64("entry"), F.lit(64)))
-    documents = entries.groupBy("bucket").agg(
+    """Entries written as JSON documents, one per hundred keys, and read back."""
+    number = F.regexp_extract("entry", "kx([0-9]+)", 1).cast("bigint")
+    entries = view(spark, sf, "fx_priority").withColumn("hundred", F.floor(number / 100))
+    documents = entries.groupBy("hundred").agg(
         F.to_json(F.struct(F.collect_list("entry").alias("high_priority_stocks"))).alias("value")
     )
     return priority.parse_priority_list(documents)
@@ -299,12 +300,13 @@ def write_book(spark, sf):
 
 @query(f"WITH {duckdb_views('fx_book_raw')} SELECT slug, company, price, source FROM ({_BOOK_ROWS})")
 def read_book(spark, sf):
-    """A book kept as one JSON document per source, imported."""
+    """A book kept as JSON documents of up to a hundred records, imported."""
     path = scratch_path(spark, "book-json")
     rows = _book(spark, sf).select("slug", "company", "price", "source")
-    per_source = rows.groupBy(F.col("source").alias("part"), F.pmod(F.xxhash64("slug"), F.lit(64)).alias("bucket")).agg(
+    hundred = F.floor(F.regexp_extract("slug", "kx([0-9]+)", 1).cast("bigint") / 100)
+    documents = rows.groupBy(F.col("source").alias("part"), hundred.alias("hundred")).agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct("slug", F.struct("company", "price", "source"))))).alias("value")
     )
-    per_source.select("value").repartition(8).write.option("lineSep", "\n").text(path)
+    documents.select("value").write.text(path)
     texts = spark.read.text(path)
     return book.book_from_json(texts).select("slug", "company", "price", "source")

@@ -9,8 +9,8 @@ keys, so that sharing a key *is* the match and nothing has to be verified afterw
   overlap  both sides contain the same set that is large enough for the Jaccard threshold
 
 Token subsets are listed for names of up to ``SUBSET_TOKENS`` (subset tier) and
-``OVERLAP_TOKENS`` (overlap tier) tokens; pairs with a longer name are found through the rarest
-token and verified (``_long_pairs``).
+``OVERLAP_TOKENS`` (overlap tier) tokens; longer sets are compared once per distinct set, found
+through the rarest token and verified, and the sets that match become keys too (``_long_keys``).
 
 A key shared by many canonical names ("(India)") would make quadratically many pairs. Only the
 two best candidates of a tier can decide a resolution, best by Jaccard similarity of the full
@@ -248,36 +248,36 @@ def contained_pairs(small: DataFrame, large: DataFrame, small_id: str, large_id:
     )
 
 
-def _overlapping_pairs(src: DataFrame, canon: DataFrame, limits: MatchLimits) -> DataFrame:
-    """Jaccard pairs with a long name on either side, by prefix filtering on the rarest tokens."""
+def _overlapping_sets(src_sets: DataFrame, can_sets: DataFrame, limits: MatchLimits) -> DataFrame:
+    """(own, g): Jaccard pairs of sets with a long one among them, by prefix filtering on the
+    rarest tokens."""
     # A partner of a set with more than m tokens has at least this many itself.
     least = int(limits.overlap_tokens * MIN_OVERLAP)
-    sides = [
-        d.filter(F.size("tokens") > least).select(F.col(k).alias("id"), "tokens") for d, k in ((src, "src"), (canon, "canon"))
+    postings = [
+        d.filter(F.size("tokens") > least).select("g", "tokens", F.explode("tokens").alias("t")) for d in (src_sets, can_sets)
     ]
-    postings = [s.select("id", "tokens", F.explode("tokens").alias("t")) for s in sides]
     df = postings[0].select("t").unionByName(postings[1].select("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
 
-    def prefixes(rows: DataFrame, name: str) -> DataFrame:
+    def prefixes(rows: DataFrame, name: str, tokens: str) -> DataFrame:
         ordered = (
             rows.join(df, "t")
-            .groupBy("id", "tokens")
+            .groupBy("g", "tokens")
             .agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("by_df"))
         )
-        prefix = F.slice("by_df", F.lit(1), F.expr(f"size(tokens) - {least_overlap('size(tokens)')} + 1"))
-        return ordered.select(
-            F.col("id").alias(name), F.col("tokens").alias(f"{name}_tokens"), F.explode(F.transform(prefix, lambda p: p["t"])).alias("t")
+        prefix = F.expr(f"slice(by_df, 1, size(tokens) - {least_overlap('size(tokens)')} + 1)")
+        return ordered.select(F.col("g").alias(name), F.col("tokens").alias(tokens), F.explode(prefix).alias("p")).select(
+            name, tokens, F.col("p.t").alias("t")
         )
 
-    a, b = F.col("src_tokens"), F.col("canon_tokens")
+    a, b = F.col("own_tokens"), F.col("other_tokens")
     shared = F.size(F.array_intersect(a, b))
     return (
-        prefixes(postings[0], "src")
-        .join(prefixes(postings[1], "canon"), "t")
+        prefixes(postings[0], "own", "own_tokens")
+        .join(prefixes(postings[1], "g", "other_tokens"), "t")
         .filter(F.greatest(F.size(a), F.size(b)) > limits.overlap_tokens)
         .filter((shared >= 2) & (shared < F.least(F.size(a), F.size(b))))
         .filter(shared / (F.size(a) + F.size(b) - shared) >= MIN_OVERLAP)
-        .select("src", "canon")
+        .select("own", "g")
         .distinct()
     )
 
@@ -292,23 +292,38 @@ def longest_sets(*sides: DataFrame) -> list[int]:
     return [found.get(i, 0) for i in range(len(sides))]
 
 
-def _long_pairs(src_features: DataFrame, can_features: DataFrame, tiers: tuple, limits: MatchLimits) -> list[DataFrame]:
-    """Pairs with a long name; a branch is planned only where such names exist."""
+def _set_key(kind: str, tokens: str = "tokens") -> Column:
+    return F.expr(f"concat('{kind}', {_joined(tokens)})").alias("g")
+
+
+def _long_keys(
+    src_features: DataFrame, can_features: DataFrame, tiers: tuple, limits: MatchLimits
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Keys (src, tier, g) and (canon, tier, g) of pairs with a long name. A branch is planned
+    only where such names exist."""
     n = F.size("tokens")
     src, canon = (
         d.filter(n >= 2).select(k, "tokens").distinct() for d, k in ((src_features, "src"), (can_features, "canon"))
     )
     longest_src, longest_canon = longest_sets(src_features, can_features)
+    subset, overlap = F.lit(TIER_SUBSET).alias("tier"), F.lit(TIER_OVERLAP).alias("tier")
+    is_long = n > limits.subset_tokens
     found = []
-    if TIER_SUBSET in tiers:
-        is_long = n > limits.subset_tokens
-        if longest_canon > limits.subset_tokens:
-            found.append((contained_pairs(src, canon.filter(is_long), "src", "canon"), TIER_SUBSET))
-        if longest_src > limits.subset_tokens:
-            found.append((contained_pairs(canon, src.filter(is_long), "canon", "src"), TIER_SUBSET))
+
+    def sets(rows: DataFrame, kind: str) -> DataFrame:
+        return rows.select(_set_key(kind), "tokens").distinct()
+
+    if TIER_SUBSET in tiers and longest_canon > limits.subset_tokens:
+        inside = contained_pairs(sets(src, "L<"), canon.filter(is_long), "g", "canon")
+        found.append((src.select("src", subset, _set_key("L<")), inside.select("canon", subset, "g")))
+    if TIER_SUBSET in tiers and longest_src > limits.subset_tokens:
+        inside = contained_pairs(sets(canon, "L>"), src.filter(is_long), "g", "src")
+        found.append((inside.select("src", subset, "g"), canon.select("canon", subset, _set_key("L>"))))
     if TIER_OVERLAP in tiers and max(longest_src, longest_canon) > limits.overlap_tokens:
-        found.append((_overlapping_pairs(src, canon, limits), TIER_OVERLAP))
-    return [d.select("src", "canon", F.lit(tier).alias("tier")) for d, tier in found]
+        pairs = _overlapping_sets(sets(src, "L~"), sets(canon, "L~"), limits)
+        partners = src.withColumn("own", _set_key("L~")).join(pairs, "own").select("src", overlap, "g")
+        found.append((partners, canon.select("canon", overlap, _set_key("L~"))))
+    return found
 
 
 # --- all together ------------------------------------------------------------------------------
@@ -337,16 +352,17 @@ def tier_candidates(
         .count()
         .filter(F.col("count") * limits.heavy_sample > limits.heavy_group)
     )
+    for i, (more_src, more_can) in enumerate(_long_keys(src_features, can_features, tiers, limits)):
+        more_src, more_can = stage(more_src, f"long-secondary-{i}"), stage(more_can, f"long-primary-{i}")
+        src_keys, can_keys = src_keys.unionByName(more_src), can_keys.unionByName(more_can)
+        sized = sized.unionByName(
+            more_can.groupBy(*group).count().filter(F.col("count") > limits.heavy_group)
+        )
     # Of the heavy groups only those with a secondary name matter; often there are none.
     heavy_src = stage(src_keys.join(sized.select(*group), group, "left_semi").distinct(), "heavy-secondary")
     if heavy_src.isEmpty():
-        out = src_keys.join(can_keys, group).select("src", "canon", "tier")
-    else:
-        heavy = heavy_src.select(*group).distinct()
-        light = src_keys.join(heavy, group, "left_anti")
-        out = light.join(can_keys, group).select("src", "canon", "tier")
-        heavy_canon = stage(can_keys.join(heavy, group, "left_semi").distinct(), "heavy-primary")
-        out = out.unionByName(_heavy_pairs(heavy_src, heavy_canon, src, canon, limits))
-    for more in _long_pairs(src_features, can_features, tiers, limits):
-        out = out.unionByName(more)
-    return out
+        return src_keys.join(can_keys, group).select("src", "canon", "tier")
+    heavy = heavy_src.select(*group).distinct()
+    light = src_keys.join(heavy, group, "left_anti").join(can_keys, group).select("src", "canon", "tier")
+    heavy_canon = stage(can_keys.join(heavy, group, "left_semi").distinct(), "heavy-primary")
+    return light.unionByName(_heavy_pairs(heavy_src, heavy_canon, src, canon, limits))

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotebook.functions.text import meaningful
-from quotebook.operators.resolve import resolve_entities
+from quotebook.operators.resolve import resolve_entities, source_key
 from quotebook.schemas import BOOK_FIELDS, BOOK_SCHEMA, KEPT_ON_MERGE, field_type
+from quotebook.session import stage
 
 # Columns an incoming listing may carry.
 _INCOMING = tuple(f for f in BOOK_FIELDS if f not in ("slug", "ord"))
@@ -162,10 +163,25 @@ def drop_reconciled(book: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def leftover_matches(
-    book: DataFrame, aliases: DataFrame | None = None, primary: str = "primary", secondary: str = "secondary", **kw
+    book: DataFrame,
+    aliases: DataFrame | None = None,
+    primary: str = "primary",
+    secondary: str = "secondary",
+    settled: DataFrame | None = None,
+    **kw,
 ) -> DataFrame:
-    """Secondary records of the book that denote another, primary record now."""
+    """Secondary records of the book that denote another, primary record now.
+
+    ``settled`` lists names (company, short_name) already known to denote none; they are not
+    resolved again.
+    """
     leftovers = book.filter(F.col("source") == secondary)
+    if settled is not None:
+        keys = settled.select(source_key().alias("src")).distinct()
+        leftovers = leftovers.withColumn("src", source_key()).join(keys, "src", "left_anti").drop("src")
+    leftovers = stage(leftovers, "leftovers")
+    if leftovers.isEmpty():
+        return leftovers.withColumn("matched_slug", F.lit(None).cast("string"))
     hinted = leftovers.withColumn("stored_short", F.col("short_name")).withColumn(
         "short_name", F.coalesce(F.when(F.col("short_name") != "", F.col("short_name")), F.col("company"))
     )

@@ -61,7 +61,13 @@ def upsert_stocks(
     merged = merge_backup(snapshot, resolved, batch_ts)
     unmatched = resolved.filter(F.col("matched_slug").isNull())
     with_secondary = stage(upsert_secondary_only(merged, unmatched, batch_ts, base), "book-secondary")
-    gone = stage(leftover_matches(with_secondary, aliases, primary, secondary, limits=limits), "leftovers")
+    # Names just found to match nothing need no second look, as long as no primary record was
+    # overwritten in between, which would change what they are compared with.
+    overwritten = unmatched.join(snapshot.filter(F.col("source") == primary).select("slug"), "slug", "left_semi")
+    settled = unmatched if overwritten.isEmpty() else None
+    gone = stage(
+        leftover_matches(with_secondary, aliases, primary, secondary, settled, limits=limits), "reconciled"
+    )
     return UpsertResult(
         book=reconcile_leftovers(with_secondary, gone),
         summary=run_summary(book, ours, resolved, gone),
