@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotebook.functions.text import meaningful
 from quotebook.operators.resolve import resolve_entities, source_key
 from quotebook.schemas import BOOK_FIELDS, BOOK_SCHEMA, KEPT_ON_MERGE, field_type
 from quotebook.session import stage
@@ -20,27 +19,39 @@ _INCOMING = tuple(f for f in BOOK_FIELDS if f not in ("slug", "ord"))
 _FILLED = tuple(f for f in _INCOMING if f not in KEPT_ON_MERGE)
 
 
-def _aligned(rows: DataFrame, extra: tuple = ()) -> DataFrame:
-    """The book columns (absent ones null) and the named extra ones."""
-    return rows.select(
-        *[
-            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in BOOK_SCHEMA
-        ],
-        *extra,
-    )
+# The expressions below are SQL text: there are some thirty fields, and one parsed text costs the
+# driver far less than a chain of column calls.
+
+
+def _aligned(rows: DataFrame, batch_ts: Column | None = None, extra: tuple = ()) -> DataFrame:
+    """The book columns (absent ones null), stamped with the batch time, and the named extra ones."""
+    columns = [
+        f"cast({f.name if f.name in rows.columns else 'null'} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in BOOK_SCHEMA
+    ]
+    aligned = rows.selectExpr(*columns, *extra)
+    return aligned if batch_ts is None else aligned.withColumn("updated_at", batch_ts)
 
 
-def _full(name: str, prefix: str = "") -> Column:
-    return meaningful(F.col(prefix + name), field_type(name))
+def _can_be_empty(name: str) -> bool:
+    return field_type(name).typeName() in ("string", "array", "map")
 
 
-def _last(name: str, condition: Column) -> Column:
-    return F.max_by(F.col(name), F.when(condition, F.col("ord")))
+def _full(name: str, e: str | None = None) -> str:
+    """Condition: the value of the field is neither null nor empty."""
+    e = e or name
+    kind = field_type(name).typeName()
+    if kind == "string":
+        return f"({e} IS NOT NULL AND {e} != '')"
+    return f"(size({e}) > 0)" if kind in ("array", "map") else f"({e} IS NOT NULL)"
 
 
-def _first(name: str, condition: Column) -> Column:
-    return F.min_by(F.col(name), F.when(condition, F.col("ord")))
+def _last(name: str, condition: str, alias: str) -> Column:
+    return F.expr(f"max_by({name}, ord) FILTER (WHERE {condition}) AS {alias}")
+
+
+def _first(name: str, condition: str, alias: str) -> Column:
+    return F.expr(f"min_by({name}, ord) FILTER (WHERE {condition}) AS {alias}")
 
 
 def slug_join(book: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -54,51 +65,43 @@ def slug_join(book: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def _overlay(book: DataFrame, folded: DataFrame, value, next_ord: Column) -> DataFrame:
+def _overlay(book: DataFrame, folded: DataFrame, value, ord_base: int) -> DataFrame:
     """Full outer join of the book (slug unique) with folded rows, ``value(field)`` per field."""
     joined = book.alias("old").join(folded, "slug", "full_outer")
-    return joined.select(
-        "slug",
-        *[value(f).alias(f) for f in _INCOMING],
-        F.coalesce(F.col("old.ord"), next_ord).alias("ord"),
+    return joined.selectExpr(
+        "slug", *[f"{value(f)} AS {f}" for f in _INCOMING], f"coalesce(old.ord, new_ord + {ord_base}) AS ord"
     ).select(*BOOK_FIELDS)
 
 
 def upsert_primary(book: DataFrame, incoming: DataFrame, batch_ts: Column, ord_base: int = 0) -> DataFrame:
     """Insert or update by slug: null never overwrites, an empty value never overwrites a
     meaningful one, otherwise the later row wins."""
-    rows = _aligned(incoming.filter(F.col("slug") != "")).withColumn("updated_at", batch_ts)
-    folded = rows.groupBy("slug").agg(
-        *[_last(f, _full(f)).alias(f"full_{f}") for f in _INCOMING],
-        *[_last(f, F.col(f).isNotNull()).alias(f"any_{f}") for f in _INCOMING if _can_be_empty(f)],
-        F.min("ord").alias("new_ord"),
+    folded = (
+        _aligned(incoming.filter(F.col("slug") != ""), batch_ts)
+        .groupBy("slug")
+        .agg(
+            *[_last(f, _full(f), f"full_{f}") for f in _INCOMING],
+            *[_last(f, f"{f} IS NOT NULL", f"any_{f}") for f in _INCOMING if _can_be_empty(f)],
+            F.min("ord").alias("new_ord"),
+        )
     )
 
-    def value(f: str) -> Column:
-        old = F.col(f"old.{f}")
-        kept = F.when(meaningful(old, field_type(f)), old)
-        return F.coalesce(F.col(f"full_{f}"), kept, *([F.col(f"any_{f}")] if _can_be_empty(f) else []), old)
+    def value(f: str) -> str:
+        if not _can_be_empty(f):
+            return f"coalesce(full_{f}, old.{f})"
+        return f"coalesce(full_{f}, CASE WHEN {_full(f, f'old.{f}')} THEN old.{f} END, any_{f}, old.{f})"
 
-    return _overlay(book, folded, value, F.col("new_ord") + ord_base)
-
-
-def _can_be_empty(name: str) -> bool:
-    return field_type(name).typeName() in ("string", "array", "map")
+    return _overlay(book, folded, value, ord_base)
 
 
 def upsert_secondary_only(book: DataFrame, incoming: DataFrame, batch_ts: Column, ord_base: int = 0) -> DataFrame:
     """Unmatched secondary rows: insert, or overwrite with every non-null field, empty or not."""
-    rows = _aligned(incoming.filter(F.col("slug") != "")).withColumn("updated_at", batch_ts)
-    folded = rows.groupBy("slug").agg(
-        *[_last(f, F.col(f).isNotNull()).alias(f"any_{f}") for f in _INCOMING],
-        F.min("ord").alias("new_ord"),
-    )
-    return _overlay(
-        book,
-        folded,
-        lambda f: F.coalesce(F.col(f"any_{f}"), F.col(f"old.{f}")),
-        F.col("new_ord") + ord_base,
+    folded = (
+        _aligned(incoming.filter(F.col("slug") != ""), batch_ts)
+        .groupBy("slug")
+        .agg(*[_last(f, f"{f} IS NOT NULL", f"any_{f}") for f in _INCOMING], F.min("ord").alias("new_ord"))
     )
+    return _overlay(book, folded, lambda f: f"coalesce(any_{f}, old.{f})", ord_base)
 
 
 def _alias_rows(matched: DataFrame, book: DataFrame) -> DataFrame:
@@ -130,32 +133,29 @@ def merge_backup(
     ``batch_ts`` the touched records are stamped. ``prefer="latest"`` takes the price of the
     most recently updated row instead of the last in order.
     """
-    rows = _aligned(matched, ("matched_slug",)).filter(F.col("matched_slug").isNotNull())
-    rank = F.col("ord") if prefer == "order" else F.struct(F.col("updated_at"), F.col("ord"))
+    rows = _aligned(matched, extra=("matched_slug",)).filter(F.col("matched_slug").isNotNull())
+    rank = "ord" if prefer == "order" else "struct(updated_at, ord)"
     folded = rows.groupBy(F.col("matched_slug").alias("slug")).agg(
-        F.max_by("price", F.when(F.col("price").isNotNull(), rank)).alias("new_backup"),
-        *[_first(f, _full(f)).alias(f"fill_{f}") for f in _FILLED],
+        F.expr(f"max_by(price, {rank}) FILTER (WHERE price IS NOT NULL) AS new_backup"),
+        *[_first(f, _full(f), f"fill_{f}") for f in _FILLED],
+        F.lit(True).alias("touched"),
     )
     aliases = _alias_rows(rows, book).groupBy("slug").agg(F.sort_array(F.collect_list("alias")).alias("all_aliases"))
-    joined = (
-        book.alias("old").join(folded.withColumn("touched", F.lit(True)), "slug", "left").join(aliases, "slug", "left")
-    )
+    joined = book.alias("old").join(folded, "slug", "left").join(aliases, "slug", "left")
 
-    def value(f: str) -> Column:
-        old = F.col(f"old.{f}")
+    def value(f: str) -> str:
         if f == "backup_price":
-            return F.coalesce("new_backup", old)
+            return "coalesce(new_backup, old.backup_price)"
         if f == "aliases":
-            return F.coalesce("all_aliases", old)
-        if f == "updated_at" and batch_ts is not None:
-            return F.when(F.col("touched"), batch_ts).otherwise(old)
+            return "coalesce(all_aliases, old.aliases)"
         if f in _FILLED:
-            return F.when(meaningful(old, field_type(f)), old).otherwise(F.coalesce(f"fill_{f}", old))
-        return old
+            return f"CASE WHEN {_full(f, f'old.{f}')} THEN old.{f} ELSE coalesce(fill_{f}, old.{f}) END"
+        return f"old.{f}"
 
-    return joined.select("slug", *[value(f).alias(f) for f in _INCOMING], F.col("old.ord").alias("ord")).select(
-        *BOOK_FIELDS
-    )
+    merged = joined.selectExpr("slug", *[f"{value(f)} AS {f}" for f in _INCOMING], "old.ord AS ord", "touched")
+    if batch_ts is not None:
+        merged = merged.withColumn("updated_at", F.when(F.col("touched"), batch_ts).otherwise(F.col("updated_at")))
+    return merged.select(*BOOK_FIELDS)
 
 
 def drop_reconciled(book: DataFrame, merged: DataFrame) -> DataFrame:
