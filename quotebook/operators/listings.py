@@ -20,7 +20,7 @@ def normalize_listings(raw: DataFrame, keep_short_name: bool = False) -> DataFra
 
     def column(name: str):
         if name not in raw.columns:
-            return F.lit(None).cast(field_type(name))
+            return F.expr(f"cast(null AS {field_type(name).simpleString()})")
         c = F.col(name)
         return number(raw.schema[name].dataType, c) if name in NUMERIC_FIELDS else c
 
