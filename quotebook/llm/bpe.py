@@ -99,14 +99,16 @@ class PieceCache:
             or any(s in text for s in self.vocabulary.special)
         )
 
-    def _learn(self, missing: Iterable[str]) -> None:
-        """Values of pieces that follow a space."""
+    def _learn(self, needed: set[str]) -> None:
+        """Hold the values of these pieces, each as it stands after a space."""
+        missing = needed.difference(self._pieces)
+        if len(self._pieces) + len(missing) > MAX_PIECES:
+            self._pieces = dict(self._known)
+            missing = needed.difference(self._pieces)
         split: dict[str, list[str]] = {}
         for piece in missing:
             spaced = " " + piece
             split[piece] = [spaced] if _UNSURE.search(piece) else PRE_TOKEN.findall(spaced)
-        if len(self._pieces) + len(split) > MAX_PIECES:
-            self._pieces = dict(self._known)
         if len(self._pre_tokens) > MAX_PRE_TOKENS:
             self._pre_tokens = {}
         new = list({t for tokens in split.values() for t in tokens}.difference(self._pre_tokens))
@@ -125,11 +127,11 @@ class PieceCache:
         parts = {i: t.split(" ") for i, t in enumerate(texts) if i not in values}
         heads = [p[0] for p in parts.values()]
         head_values = list(map(self._value, self.vocabulary.encode(heads)))
-        missing: set[str] = set()
+        needed: set[str] = set()
         for p in parts.values():
             del p[0]
-            missing.update(p)
-        self._learn(missing.difference(self._pieces))
+            needed.update(p)
+        self._learn(needed)
         for (i, p), head in zip(parts.items(), head_values, strict=True):
             rest = self._sum(map(self._pieces.__getitem__, p))
             values[i] = head + rest

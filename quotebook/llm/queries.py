@@ -3,12 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotebook.llm.catalog import query, table
+from quotebook.llm.catalog import ORACLES, query, table
+from quotebook.llm.exact_dedup import find_copies
+from quotebook.llm.packing import pack
 from quotebook.llm.token_counts import count_tokens
 
 
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    """The packing's rows with a checksum in place of the ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit per document."""
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in a sequence of 1024 ids."""
+    return piece_digests(pack(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 per document."""
+    return find_copies(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY t)
+"""

@@ -44,6 +44,16 @@ def test_odd_and_random_texts(spark):
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((t or "").encode()), n > 10), repr(t)
 
 
+def test_caches_that_overflow_change_no_value(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_PIECES", 50)
+    monkeypatch.setattr(bpe, "MAX_PRE_TOKENS", 50)
+    monkeypatch.setattr(bpe, "BATCH_CHARS", 300)
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(200)}," for _ in range(20)) for _ in range(60)]
+    cache = bpe.PieceCache(bpe.default_tokenizer(), False, {"w1,": 3})
+    assert list(cache.values(texts)) == [_plain(t) for t in texts]
+
+
 def test_empty_null_and_repeated_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts.count_tokens(none).collect() == []
