@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotebook.llm.catalog import ORACLES, query, table
+from quotebook.llm.decontamination import contamination
 from quotebook.llm.exact_dedup import find_copies
 from quotebook.llm.packing import pack
+from quotebook.llm.sharding import assign_shards
 from quotebook.llm.token_counts import count_tokens
 
 
@@ -42,3 +44,47 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY t)
 """
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard per document, in 8 shards."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    )
+    return assign_shards(docs, 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated per document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated"
+    )
+
+
+ORACLES["op9_decontamination"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM iw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, array_to_string(w[i + 1 : i + 10], ' ') AS t, least(len(w), 10) AS k FROM starts),
+ks AS (SELECT DISTINCT k FROM win),
+places AS (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM dw, ks WHERE len(w) >= k),
+hits AS (SELECT p.doc_id, p.i, p.k, win.item_id FROM places p
+         JOIN win ON win.k = p.k AND win.t = array_to_string(p.w[p.i + 1 : p.i + p.k], ' ')),
+hit_words AS (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM (SELECT DISTINCT doc_id, i, k FROM hits)),
+n AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM hit_words GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+               array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM hits GROUP BY doc_id)
+SELECT dw.doc_id, len(dw.w) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(its.n_items, 0) AS n_items,
+       sha256(coalesce(its.ids, '')) AS items_sha256, n.n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
