@@ -9,6 +9,7 @@ from quotebook.llm.catalog import ORACLES, query, table
 from quotebook.llm.decontamination import contamination
 from quotebook.llm.exact_dedup import find_copies
 from quotebook.llm.packing import pack
+from quotebook.llm.secrets import KINDS, find_secrets, written
 from quotebook.llm.sharding import assign_shards
 from quotebook.llm.token_counts import count_tokens
 
@@ -88,3 +89,14 @@ SELECT dw.doc_id, len(dw.w) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(its.ids, '')) AS items_sha256, n.n_hit IS NOT NULL AS contaminated
 FROM dw LEFT JOIN n USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+@query
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans per document."""
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, kind=i: s.kind == kind)).cast("long").alias(f"n_{name}")
+        for i, name in enumerate(KINDS[:3])
+    ]
+    return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
