@@ -12,6 +12,7 @@ from quotebook.llm.packing import pack
 from quotebook.llm.secrets import KINDS, find_secrets, written
 from quotebook.llm.sharding import assign_shards
 from quotebook.llm.token_counts import count_tokens
+from quotebook.llm.toxicity import score_toxicity
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
@@ -100,3 +101,9 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, name in enumerate(KINDS[:3])
     ]
     return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted per document."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
