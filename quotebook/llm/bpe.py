@@ -5,8 +5,8 @@ A text is cut at every single space. In a byte-level vocabulary a space belongs
 other. This does not hold where blanks meet (two spaces, a space between other white space) or where the
 text spells a special token; such texts go to the tokenizer whole.
 
-A piece that is not cached is cut into pre-tokens (word, punctuation), which have a cache of their own, and
-only pre-tokens never seen by the worker reach the tokenizer, in batches.
+A piece that is not cached is a word, a word and a mark, or is cut into pre-tokens by their pattern; words and
+pre-tokens never seen by the worker reach the tokenizer, in batches.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L
 _UNSURE = re.compile("[^\x00-՗]")
 _BLANKS_MEET = re.compile(r"  |\s \s")
 
-BATCH_CHARS = 2_000_000
-MAX_PIECES = 400_000
-MAX_PRE_TOKENS = 600_000
+BATCH_CHARS = 1_000_000
+MAX_PIECES = 300_000
+MAX_WORDS = 1_200_000
+MAX_PRE_TOKENS = 200_000
+# Punctuation that most often ends a word.
+ENDS = ".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -87,6 +90,7 @@ class PieceCache:
         self._sum = b"".join if ids else sum
         self._known = known or {}
         self._pieces: dict[str, object] = dict(self._known)
+        self._words: dict[str, object] = {}
         self._pre_tokens: dict[str, object] = {}
 
     def _as_bytes(self, ids: list[int]) -> bytes:
@@ -105,20 +109,38 @@ class PieceCache:
         if len(self._pieces) + len(missing) > MAX_PIECES:
             self._pieces = dict(self._known)
             missing = needed.difference(self._pieces)
-        split: dict[str, list[str]] = {}
-        for piece in missing:
-            spaced = " " + piece
-            split[piece] = [spaced] if _UNSURE.search(piece) else PRE_TOKEN.findall(spaced)
+        words = {p for p in missing if p.isalpha()}
+        ended: dict[str, str] = {}
+        odd: dict[str, list[str]] = {}
+        for piece in missing.difference(words):
+            word = piece[:-1]
+            unsure = _UNSURE.search(piece)
+            if not unsure and word.isalpha() and piece[-1] in ENDS:
+                ended[piece] = word
+            else:
+                odd[piece] = [" " + piece] if unsure else PRE_TOKEN.findall(" " + piece)
+        asked = words.union(ended.values())
+        unknown = asked.difference(self._words)
+        if len(self._words) + len(unknown) > MAX_WORDS:
+            self._words, unknown = {}, asked
+        self._store(self._words, list(unknown), " ")
         if len(self._pre_tokens) > MAX_PRE_TOKENS:
             self._pre_tokens = {}
-        new = list({t for tokens in split.values() for t in tokens}.difference(self._pre_tokens))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            self._pre_tokens.update(zip(part, map(self._value, self.vocabulary.encode(part)), strict=True))
+        new = {t for tokens in odd.values() for t in tokens}.union(ENDS).difference(self._pre_tokens)
+        self._store(self._pre_tokens, list(new), "")
+        self._pieces.update((w, self._words[w]) for w in words)
+        for piece, word in ended.items():
+            self._pieces[piece] = self._words[word] + self._pre_tokens[piece[-1]]
         get = self._pre_tokens.__getitem__
-        for piece, tokens in split.items():
+        for piece, tokens in odd.items():
             self._pieces[piece] = self._sum(map(get, tokens))
 
+    def _store(self, into: dict[str, object], keys: list[str], before: str) -> None:
+        for at in range(0, len(keys), 10_000):
+            part = keys[at : at + 10_000]
+            values = map(self._value, self.vocabulary.encode([before + k for k in part]))
+            into.update(zip(part, values, strict=True))
+
     def _some(self, texts: list[str]) -> list:
         whole = [i for i, t in enumerate(texts) if self._whole(t)]
         values: dict[int, object] = dict(
