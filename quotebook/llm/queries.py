@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quotebook.llm.catalog import ORACLES, query, table
 from quotebook.llm.decontamination import contamination
 from quotebook.llm.exact_dedup import find_copies
+from quotebook.llm.near_duplicates import near_duplicates
 from quotebook.llm.packing import pack
+from quotebook.llm.quality import classify
 from quotebook.llm.secrets import KINDS, find_secrets, written
 from quotebook.llm.sharding import assign_shards
 from quotebook.llm.token_counts import count_tokens
@@ -107,3 +109,15 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted per document."""
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id, class_size, n_links, kept per document: five-word shingles, similarity 0.8 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("h")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, lang, perplexity, threshold, kept per document; trusted are the documents labelled good."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
