@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quotebook.llm.catalog import ORACLES, query, table
 from quotebook.llm.decontamination import contamination
 from quotebook.llm.exact_dedup import find_copies
+from quotebook.llm.html_text import extract_text
 from quotebook.llm.near_duplicates import near_duplicates
 from quotebook.llm.packing import pack
 from quotebook.llm.quality import classify
@@ -121,3 +122,9 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lang, perplexity, threshold, kept per document; trusted are the documents labelled good."""
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars per page."""
+    return extract_text(table(spark, sf_dir, "pages"))
