@@ -7,7 +7,8 @@
    (prefix doubling, so equal ranks are equal runs); a substring of that length or longer that stands on two
    distinct pages shows as consecutive positions of repeated rank.
 3. A repeated run is boilerplate if it stands in an `out` zone on any page, or on free blocks only; passages that
-   several articles share are their content. Blocks keep their unique runs; `out` blocks go altogether. A page
+   several articles share are their content. Blocks keep their unique runs (of a block covered in part, stretches shorter
+   than a run stay); `out` blocks go altogether. A page
    with an article or main element keeps these blocks, any other its free ones.
 
 Hosts are split by page into parts of PART_BYTES, so a host with most of the pages is many groups; repetition is
@@ -142,6 +143,18 @@ def repeated_runs(tokens: np.ndarray, pages: np.ndarray, least: int) -> tuple[np
     return rank, whole & (last[rank] > first[rank])
 
 
+def _long_parts(gone: np.ndarray, least: int) -> np.ndarray:
+    """Of a block that is covered in part, only stretches of a run's length: a run that began in the block before
+    may end with words of this one."""
+    if gone.all() or not gone.any():
+        return gone
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+    out = np.zeros(len(gone), bool)
+    for a, b in zip(edges[::2], edges[1::2], strict=True):
+        out[a:b] = b - a >= least
+    return out
+
+
 def main_texts(ids: list, pages: list[str], least: int = MIN_RUN) -> list[str]:
     """Main text of each page of (a part of) a host."""
     cut = [blocks_of(p) for p in pages]
@@ -165,13 +178,15 @@ def main_texts(ids: list, pages: list[str], least: int = MIN_RUN) -> list[str]:
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
     rank, again = repeated_runs(stream[order], rows[order], least)
-    in_zone = zone[order]
-    seen = [np.zeros(len(stream) + 1, bool) for _ in range(3)]
-    for offset in range(least):
-        at = np.flatnonzero(again)
-        for z in range(3):
-            seen[z][rank[at[in_zone[at + offset] == z]]] = True
-    boiler = again & (seen[0][rank] | (seen[2][rank] & ~seen[1][rank]))
+    # How many tokens of the run at each position lie in each zone; a run across zones is no evidence.
+    at = np.flatnonzero(again)
+    within = [np.concatenate([[0], np.cumsum(zone[order] == z)]) for z in range(3)]
+    held = [w[at + least] - w[at] for w in within]
+    out_, article, free = (np.zeros(len(stream) + 1, bool) for _ in range(3))
+    out_[rank[at[held[0] == least]]] = True
+    article[rank[at[held[1] > 0]]] = True
+    free[rank[at[held[2] == least]]] = True
+    boiler = again & (out_[rank] | (free[rank] & ~article[rank]))
     covered = np.zeros(len(stream) + least, np.int64)
     np.add.at(covered, np.flatnonzero(boiler), 1)
     np.add.at(covered, np.flatnonzero(boiler) + least, -1)
@@ -183,7 +198,7 @@ def main_texts(ids: list, pages: list[str], least: int = MIN_RUN) -> list[str]:
         kept = []
         for where, _ in blocks:
             split = words[block]
-            gone = covered[at : at + len(split)]
+            gone = _long_parts(covered[at : at + len(split)], least)
             if where == ("article" if has_article else "free"):
                 left = [w for w, c in zip(split, gone, strict=True) if not c] if gone.any() else split
                 if left:
