@@ -6,8 +6,8 @@
 2. The pages of a host are concatenated to one token stream. Its suffixes are ranked by their first MIN_RUN tokens
    (prefix doubling, so equal ranks are equal runs); a substring of that length or longer that stands on two
    distinct pages shows as consecutive positions of repeated rank.
-3. A repeated run is boilerplate if it stands in an `out` zone on any page, or on free blocks only; passages that
-   several articles share are their content. Blocks keep their unique runs (of a block covered in part, stretches shorter
+3. A repeated run is boilerplate on free blocks, unless it is part of some page's article and of no `out` block.
+   What a page marks as its article is content, whatever it shares with other pages. Other blocks keep their unique runs (of a block covered in part, stretches shorter
    than a run stay); `out` blocks go altogether. A page
    with an article or main element keeps these blocks, any other its free ones.
 
@@ -194,13 +194,13 @@ def main_texts(ids: list, pages: list[str], least: int = MIN_RUN) -> list[str]:
 
     texts, at, block = [], 0, 0
     for blocks in cut:
-        has_article = any(z == "article" for z, _ in blocks)
+        wanted = "article" if any(z == "article" for z, _ in blocks) else "free"
         kept = []
         for where, _ in blocks:
             split = words[block]
             gone = _long_parts(covered[at : at + len(split)], least)
-            if where == ("article" if has_article else "free"):
-                left = [w for w, c in zip(split, gone, strict=True) if not c] if gone.any() else split
+            if where == wanted:
+                left = [w for w, c in zip(split, gone, strict=True) if not c] if where == "free" else split
                 if left:
                     kept.append(" ".join(left))
             at += len(split)

@@ -46,8 +46,10 @@ def test_repeated_boilerplate_goes_and_shared_articles_stay():
     assert html_text.main_texts(list(range(4)), free) == [f"page {i} tells story {i} with words {i} {i + 1}" for i in range(4)]
     twins = [_page("<article><p>the same article is printed on these two pages of the same host</p></article>")] * 2
     assert html_text.main_texts([1, 2], twins) == ["the same article is printed on these two pages of the same host"] * 2
-    mixed = [_page(f"<article><p>own words {i}</p><p>{line}</p></article>", foot=line) for i in range(2)]
+    mixed = [_page(f"<p>own words {i}</p><p>{line}</p>", foot=line) for i in range(2)]
     assert html_text.main_texts([1, 2], mixed) == ["own words 0", "own words 1"]
+    quoted = [_page(f"<article><p>own words {i}</p><p>{line}</p></article>", foot=line) for i in range(2)]
+    assert html_text.main_texts([1, 2], quoted) == [f"own words {i}\n{line}" for i in range(2)]
     assert html_text.main_texts([1, 1], [free[0]] * 2) == [f"{line}\n" + "page 0 tells story 0 with words 0 1"] * 2
 
 
