@@ -84,19 +84,19 @@ limits AS (SELECT source_run, coalesce(min(page_num) FILTER (WHERE stop), 41) AS
 kept AS (SELECT t.* FROM page_rows t JOIN limits l USING (source_run) WHERE t.page_num < l.stop_page)"""
 
 
-@query(f"WITH {_CUTOFF} SELECT source_run, page_num, count(*) AS n_rows FROM kept GROUP BY ALL")
+@query(f"WITH {_CUTOFF} SELECT source_run, page_num, pos, company, price, slug FROM kept")
 def page_cutoff(spark, sf):
-    rows = listings.page_cutoff(listings.page_fallback(view(spark, sf, "fx_payload_pages"), BASE))
-    return rows.groupBy("source_run", "page_num").agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = listings.page_cutoff(listings.page_fallback(view(spark, sf, "fx_payload_pages"), BASE), 40)
+    return rows.select("source_run", "page_num", "pos", "company", "price", "slug")
 
 
 @query(
     f"""WITH {_CUTOFF} SELECT coalesce(nullif(slug, ''), company) AS listing, page_num, pos, company, price, sector FROM
-(SELECT *, row_number() OVER (PARTITION BY coalesce(nullif(slug, ''), company) ORDER BY source_run DESC, page_num, pos) AS r FROM kept) WHERE r = 1"""
+(SELECT *, row_number() OVER (PARTITION BY coalesce(nullif(slug, ''), company) ORDER BY source_run DESC, page_num, pos) AS r FROM page_rows) WHERE r = 1"""
 )
 def dedup_first(spark, sf):
     """The two runs list the same companies; the later run counts."""
-    rows = listings.page_cutoff(listings.page_fallback(view(spark, sf, "fx_payload_pages"), BASE))
+    rows = listings.page_fallback(view(spark, sf, "fx_payload_pages"), BASE)
     first = ops.dedup_first(rows, F.desc("source_run"), "page_num", "pos")
     return first.select(
         F.coalesce(F.when(F.col("slug") != "", F.col("slug")), F.col("company")).alias("listing"),
@@ -259,8 +259,14 @@ def filter_slug_present(spark, sf):
     )
 
 
-@query("SELECT doc_id, source FROM documents WHERE source IN ('src0', 'src1')")
+@query("SELECT doc_id, source FROM documents WHERE source = 'src1'")
 def filter_source(spark, sf):
+    return ops.filter_source(load(spark, sf, "documents").select("doc_id", "source"), "secondary", "src0", "src1")
+
+
+@query("SELECT doc_id, source FROM documents")
+def filter_source_all(spark, sf):
+    """Every row, those of a third source too."""
     return ops.filter_source(load(spark, sf, "documents").select("doc_id", "source"), "all", "src0", "src1")
 
 

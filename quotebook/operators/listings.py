@@ -45,31 +45,42 @@ def filter_slug_present(listings: DataFrame) -> DataFrame:
 
 
 def filter_source(listings: DataFrame, choice: str = "all", primary: str = "primary", secondary: str = "secondary") -> DataFrame:
-    """Rows of the chosen sources: "primary", "secondary" or "all" (both)."""
-    chosen = {"primary": [primary], "secondary": [secondary], "all": [primary, secondary]}[choice]
-    return listings.filter(F.col("source").isin(*chosen))
+    """Rows of the chosen source, "primary" or "secondary"; "all" takes every row, whatever its source."""
+    if choice == "all":
+        return listings
+    return listings.filter(F.col("source") == {"primary": primary, "secondary": secondary}[choice])
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:
-    """Concatenate sources in the given order; ``ord`` becomes (source rank, source order)."""
-    ranked = [
-        s.withColumn("ord", F.lit(rank * SOURCE_STRIDE) + F.col("ord").cast("bigint"))
-        for rank, s in enumerate(sources)
-    ]
+    """Concatenate sources in the given order; ``ord`` becomes (source rank, source order).
+
+    Numeric fields are parsed source by source, so that one may hold text and another numbers. An order
+    that does not fit its share of ``ord`` is an error: it would pass for one of the next source.
+    """
+    if len(sources) > BATCH_STRIDE // SOURCE_STRIDE:
+        raise ValueError("too many sources for one batch")
+
+    def ranked_source(rank: int, s: DataFrame) -> DataFrame:
+        numbers = {n: number(s.schema[n].dataType, F.col(n)) for n in NUMERIC_FIELDS if n in s.columns}
+        own = F.col("ord").cast("bigint")
+        fits = F.when(own < SOURCE_STRIDE, own).when(own.isNotNull(), F.raise_error(F.lit("ord out of range")).cast("bigint"))
+        return s.withColumns({**numbers, "ord": F.lit(rank * SOURCE_STRIDE) + fits})
+
+    ranked = [ranked_source(rank, s) for rank, s in enumerate(sources)]
     out = ranked[0]
     for other in ranked[1:]:
         out = out.unionByName(other, allowMissingColumns=True)
     return out
 
 
-def dedup_first(listings: DataFrame, *order: str) -> DataFrame:
-    """The first row of each slug (or company, where there is no slug).
+def dedup_first(listings: DataFrame, *order: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """The first row of each slug (or company, where there is no slug), within each value of ``within``.
 
     The rank filter is applied on the map side as well, so the copies of a key are dropped
     before the shuffle.
     """
     keyed = listings.withColumn("_key", F.coalesce(nonempty(F.col("slug")), nonempty(F.col("company"))))
-    first = Window.partitionBy("_key").orderBy(*(order or ("ord",)))
+    first = Window.partitionBy(*within, "_key").orderBy(*(order or ("ord",)))
     return (
         keyed.filter(F.col("_key").isNotNull())
         .withColumn("_rank", F.row_number().over(first))

@@ -261,9 +261,9 @@ def resolve_entities(
     resolved = stage(
         resolve_names(src, canon, limits).select("src", F.col("slug").alias("matched_slug")), "resolved"
     )
-    heavy = (
-        src.filter(F.col("n_rows") >= HEAVY_NAME_ROWS).orderBy(F.desc("n_rows")).limit(HEAVY_NAMES).select("src")
-    )
+    # Written once: its three uses must agree on the names.
+    heaviest = src.filter(F.col("n_rows") >= HEAVY_NAME_ROWS).orderBy(F.desc("n_rows"), "src").limit(HEAVY_NAMES)
+    heavy = stage(heaviest.select("src"), "heavy-names")
     if "short_name" not in listings.columns:
         listings = listings.withColumn("short_name", F.lit(None).cast("string"))
     keyed = listings.withColumn("src", source_key())

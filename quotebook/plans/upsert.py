@@ -29,6 +29,9 @@ from quotebook.session import stage
 from quotebook.sources.book import read_book, versions, write_book
 
 
+SUMMARY = ("scraped", "inserted", "updated", "removed")
+
+
 @dataclass
 class UpsertResult:
     book: DataFrame
@@ -52,7 +55,8 @@ def upsert_stocks(
     folded away. Each snapshot is written once, since several later steps read it.
     """
     base = batch * BATCH_STRIDE
-    rows = stage(incoming.filter(F.col("slug") != ""), "incoming")
+    scraped = stage(incoming, "incoming")
+    rows = scraped.filter(F.col("slug") != "")
     is_secondary = F.col("source").eqNullSafe(secondary)
     ours, theirs = rows.filter(~is_secondary), rows.filter(is_secondary)
 
@@ -70,7 +74,8 @@ def upsert_stocks(
     )
     return UpsertResult(
         book=reconcile_leftovers(with_secondary, gone),
-        summary=run_summary(book, ours, resolved, gone),
+        # Rows without a slug were scraped, too, although they go no further.
+        summary=run_summary(book, ours, resolved, gone).withColumn("scraped", F.lit(scraped.count()).cast("bigint")),
     )
 
 
@@ -88,9 +93,12 @@ def run_batch(
 ) -> DataFrame:
     """Raw listings of both sources to a new committed version of the book at ``root``.
 
-    With ``priority`` only listed slugs are taken. Returns the run summary.
+    With ``priority`` only listed slugs are taken; an empty list leaves everything as it is. Returns the
+    run summary.
     """
     spark = primary_raw.sparkSession
+    if priority is not None and priority.isEmpty():
+        return spark.range(1).select(*[F.lit(0).cast("bigint").alias(c) for c in SUMMARY])
     if version is None:
         done = versions(spark, root)
         version = done[-1] + 1 if done else 0

@@ -19,6 +19,14 @@ _EXTRAS = (
 )
 
 
+# Places that ``ord`` has for the items of one response.
+_ITEMS = 1 << 20
+
+
+def _fitting(pos: Column) -> Column:
+    return F.when(pos < _ITEMS, pos).otherwise(F.raise_error(F.lit("too many items in a response")).cast("int"))
+
+
 def _zero(name: str) -> Column:
     """Whether the raw item holds the number zero there (the text "0" is something else)."""
     return F.col("item").rlike(rf'"{name}"\s*:\s*-?0(?:\.0*)?\s*[,}}]')
@@ -27,12 +35,15 @@ def _zero(name: str) -> Column:
 def explode_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     """Response bodies to one row (ord, item) per element of ``data``.
 
-    ``responses`` has ``ord`` and a body column; item order within a response is kept.
+    ``responses`` has ``ord`` and a body column; item order within a response is kept. A response with
+    more items than ``ord`` has room for is an error.
     """
     return responses.select(
         F.col("ord").alias("response"),
         F.posexplode(F.from_json(F.get_json_object(body, "$.data"), "array<string>")).alias("pos", "item"),
-    ).select((F.col("response") * F.lit(1 << 20) + F.col("pos")).alias("ord"), "item")
+    ).select(
+        (F.col("response") * F.lit(_ITEMS) + _fitting(F.col("pos"))).alias("ord"), "item"
+    )
 
 
 def scan_api_items(items: DataFrame, source: str = "secondary") -> DataFrame:

@@ -42,15 +42,33 @@ def read_book(spark: SparkSession, root: str, before: int | None = None) -> Data
     return spark.read.schema(BOOK_SCHEMA).parquet(f"{root}/{_PREFIX}{usable[-1]}")
 
 
-def write_book(book: DataFrame, root: str, version: int | None = None) -> int:
+def written_by(spark: SparkSession, root: str, writer: str) -> bool:
+    """Whether a committed version was made by this writer."""
+    fs, pattern = _fs(spark, f"{root}/{_PREFIX}*/_writer-{writer}")
+    found = fs.globStatus(pattern) or []
+    return any(fs.exists(_fs(spark, f"{status.getPath().getParent()}/_SUCCESS")[1]) for status in found)
+
+
+def write_book(book: DataFrame, root: str, version: int | None = None, writer: str | None = None) -> int:
     """Write a new snapshot next to the old ones. An already committed version is left alone,
-    so repeating a batch changes nothing; a half-written one is replaced."""
+    so repeating a batch changes nothing; a half-written one is replaced.
+
+    With ``writer`` the version is marked with that name before it counts as committed.
+    """
     spark = book.sparkSession
     done = versions(spark, root)
     if version is None:
         version = done[-1] + 1 if done else 0
     if version not in done:
-        book.select(*BOOK_FIELDS).write.mode("overwrite").parquet(f"{root}/{_PREFIX}{version}")
+        path = f"{root}/{_PREFIX}{version}"
+        rows = book.select(*BOOK_FIELDS).write.mode("overwrite")
+        if writer is None:
+            rows.parquet(path)
+        else:
+            rows.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+            for name in (f"_writer-{writer}", "_SUCCESS"):
+                fs, file = _fs(spark, f"{path}/{name}")
+                fs.create(file, True).close()
     return version
 
 

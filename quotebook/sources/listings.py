@@ -5,13 +5,15 @@ A landed page is one row (source_run, page_num, body). Item order is (page_num,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotebook.functions.text import clean_price, nonempty
+from quotebook.operators.listings import dedup_first
 from quotebook.sources.cards import scan_html_cards
 
-MAX_PAGES = 40
+# Places that ``ord`` has for the rows of one page.
+_ITEMS = 1 << 20
 
 _ITEM = "name string, slug string, price string, lot_size string, as_of string, sector string, logo string"
 
@@ -70,29 +72,29 @@ def page_fallback(pages: DataFrame, base_url: str, source: str = "primary") -> D
     return payload.unionByName(scan_html_cards(bare, base_url, source), allowMissingColumns=True)
 
 
-def page_cutoff(rows: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def page_cutoff(rows: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Rows of the pages read before the second of two consecutive empty pages of a run.
 
-    A page without rows, landed or not, is empty. Each run is reduced to its set of non-empty
-    page numbers, at most ``max_pages`` of them.
+    A page without rows, landed or not, is empty. With ``max_pages`` later pages are left out as well. A run's
+    distinct page numbers follow each other until one is missing twice; each page is kept if no such gap
+    lies before it.
     """
-    numbered = rows.filter(F.col("page_num").between(1, max_pages))
-    filled = numbered.groupBy("source_run").agg(F.collect_set("page_num").alias("filled"))
-
-    def both_empty(p: Column) -> Column:
-        return ~F.array_contains("filled", p) & ~F.array_contains("filled", p + 1)
-
-    every_page = F.sequence(F.lit(1), F.lit(max_pages - 1)).cast("array<bigint>")
-    stop = F.array_min(F.filter(every_page, both_empty))
-    limits = filled.select("source_run", F.coalesce(stop, F.lit(max_pages + 1)).alias("stop_page"))
-    return (
-        numbered.join(limits, "source_run")
-        .filter(F.col("page_num") < F.col("stop_page"))
-        .drop("stop_page")
-    )
+    numbered = rows.filter(F.col("page_num") >= 1)
+    if max_pages is not None:
+        numbered = numbered.filter(F.col("page_num") <= max_pages)
+    pages = numbered.select("source_run", "page_num").distinct()
+    run = Window.partitionBy("source_run").orderBy("page_num")
+    last = F.coalesce(F.lag("page_num").over(run), F.lit(0))
+    gaps = F.sum(F.when(F.col("page_num") - last > 2, 1).otherwise(0)).over(run)
+    read = pages.withColumn("gaps", gaps).filter("gaps = 0").drop("gaps")
+    return numbered.join(read, ["source_run", "page_num"], "left_semi")
 
 
 def read_listing_pages(pages: DataFrame, base_url: str, source: str = "primary") -> DataFrame:
-    """Landed pages to raw listings in reading order (column ``ord``)."""
-    rows = page_cutoff(page_fallback(pages, base_url, source))
-    return rows.withColumn("ord", F.col("page_num") * F.lit(1 << 20) + F.col("pos"))
+    """All landed pages to raw listings in reading order (column ``ord``), the first row of each slug per run.
+
+    Landed pages are read whole; ``page_cutoff`` is for callers that want a crawl's stop rule.
+    """
+    pos = F.when(F.col("pos") < _ITEMS, F.col("pos")).otherwise(F.raise_error(F.lit("too many items on a page")).cast("int"))
+    rows = page_fallback(pages, base_url, source).withColumn("ord", F.col("page_num") * F.lit(_ITEMS) + pos)
+    return dedup_first(rows, "ord", within=("source_run",))

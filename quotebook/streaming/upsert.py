@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quotebook.operators.listings import normalize_listings
 from quotebook.plans.upsert import upsert_stocks
-from quotebook.sources.book import read_book, versions, write_book
+from quotebook.sources.book import read_book, versions, write_book, written_by
 
 
 def stream_upsert(
@@ -20,22 +22,27 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge a stream of raw listings into the versioned book at ``root``.
 
-    A micro-batch makes the version of its batch number. If it is replayed after a failure, it
-    starts again from the version before it, and a version already committed is not redone.
+    A micro-batch makes the next version, whoever wrote those before it, and marks it with the stream's id
+    and its own number. If it is replayed after a failure, a version with that mark is not made again.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id in versions(spark, root):
+        # The id lives with the checkpoint: a stream that lost its state is another writer.
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        writer = f"{stream}-{batch_id}"
+        if written_by(spark, root, writer):
             return
+        done = versions(spark, root)
+        version = done[-1] + 1 if done else 0
         result = upsert_stocks(
-            read_book(spark, root, before=batch_id),
+            read_book(spark, root, before=version),
             normalize_listings(batch, keep_short_name),
             batch_ts,
             aliases,
-            batch=batch_id,
+            batch=version,
         )
-        write_book(result.book, root, batch_id)
+        write_book(result.book, root, version, writer)
 
     return (
         listings.writeStream.foreachBatch(merge)

@@ -1,9 +1,7 @@
-"""Merging: the folds against row-by-row merging in plain Python, and repeated runs."""
+"""Merging: the folds against tables derived by hand, and repeated runs."""
 
-import copy
-import random
+import shutil
 
-import pytest
 from pyspark.sql import functions as F
 
 from quotebook.operators import listings as ops
@@ -12,11 +10,9 @@ from quotebook.plans.upsert import run_batch, upsert_stocks
 from quotebook.sources import book as books
 from quotebook.streaming import feed
 from quotebook.streaming.upsert import stream_upsert
-from tests import plain_rules
 
 FIELDS = ("company", "slug", "source", "price", "sector", "industry", "isin", "short_name")
 SCHEMA = "ord bigint, company string, slug string, source string, price double, sector string, industry string, isin string, short_name string"
-RARE = [f"Kx{i:03d}" for i in range(25)]
 
 
 def ts(day):
@@ -27,21 +23,31 @@ def frame(spark, rows, start=0):
     return spark.createDataFrame([(start + i, *[r.get(f) for f in FIELDS]) for i, r in enumerate(rows)], SCHEMA)
 
 
-def random_rows(rng, source, n):
-    rows = []
-    for _ in range(n):
-        rare = rng.choice(RARE)
-        words = [rare, rng.choice(["Alpha", "Bravo", "Power"]), rng.choice(["Ltd", "Limited", "Nomatch", "Holdings"])]
-        rng.shuffle(words)
-        slug = f"{source[0]}-{rare}" if rng.random() < 0.8 else rare
-        rows.append(
-            {
-                "company": " ".join(words), "slug": slug, "source": source, "price": rng.choice([None, 0.0, 1.5, 2.5, 9.0]),
-                "sector": rng.choice([None, "", "S1", "S2"]), "industry": rng.choice([None, "", "I1"]),
-                "isin": rng.choice([None, "", "X", "Y"]), "short_name": None,
-            }
-        )
-    return rows
+def row(company, slug, source="primary", price=None, **more):
+    return {"company": company, "slug": slug, "source": source, "price": price, **more}
+
+
+# Two batches and, derived by hand, the book and the counts after each.
+FIRST = [
+    row("Kx001 Alpha Ltd", "p-1", price=2.5, sector="S1"),
+    row("Kx002 Bravo Ltd", "p-2", price=0.0),
+    row("Kx001 Alpha Ltd", "p-1", sector="", isin="X"),  # empty values change nothing
+    row("Kx001 Alpha Limited", "s-1", "secondary", 9.0),  # the same company
+    row("Kx003 Power Nomatch", "s-3", "secondary", 1.5),  # unknown so far
+]
+ALPHA = {
+    "company": "Kx001 Alpha Ltd", "slug": "p-1", "source": "primary", "price": 2.5, "sector": "S1", "isin": "X",
+    "backup_price": 9.0, "aliases": ["Kx001 Alpha Limited"],
+}
+BRAVO = {"company": "Kx002 Bravo Ltd", "slug": "p-2", "source": "primary", "price": 0.0}
+POWER = {"company": "Kx003 Power Nomatch", "slug": "s-3", "source": "secondary", "price": 1.5}
+AFTER_FIRST, COUNTS_FIRST = {"p-1": ALPHA, "p-2": BRAVO, "s-3": POWER}, (5, 3, 2, 0)
+SECOND = [row("Kx003 Power Nomatch Ltd", "p-3", price=4.0)]  # takes the secondary record in
+POWER_FOUND = {
+    "company": "Kx003 Power Nomatch Ltd", "slug": "p-3", "source": "primary", "price": 4.0,
+    "backup_price": 1.5, "aliases": ["Kx003 Power Nomatch"],
+}
+AFTER_SECOND, COUNTS_SECOND = {"p-1": ALPHA, "p-2": BRAVO, "p-3": POWER_FOUND}, (1, 1, 0, 1)
 
 
 def as_dict(book):
@@ -49,32 +55,29 @@ def as_dict(book):
     return {r.slug: {k: r[k] for k in keep if r[k] is not None and not (k == "aliases" and not r[k])} for r in book.collect()}
 
 
-def plain(book):
-    return {s: {k: x for k, x in r.items() if x is not None} for s, r in book.items()}
+def filled(rows):
+    """Without the nulls and empty texts that no value took the place of."""
+    return {slug: {k: x for k, x in r.items() if x not in (None, "")} for slug, r in rows.items()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_two_batches_like_row_by_row(spark, seed):
-    rng = random.Random(seed)
-    book, want = books.empty_book(spark), {}
-    for batch in range(2):
-        ours = random_rows(rng, "primary", 40)
-        theirs = [r for r in random_rows(rng, "secondary", 40) if r["slug"].startswith("s-")]
-        if batch == 1:
-            ours = ours[:10]
-        result = upsert_stocks(book, frame(spark, ours + theirs), ts(batch + 1), batch=batch)
-        want, inserted, updated, removed = plain_rules.upsert(copy.deepcopy(want), copy.deepcopy(ours), copy.deepcopy(theirs))
-        assert as_dict(result.book) == plain(want)
+def test_two_batches(spark):
+    book = books.empty_book(spark)
+    for batch, (rows, want, counts) in enumerate(((FIRST, AFTER_FIRST, COUNTS_FIRST), (SECOND, AFTER_SECOND, COUNTS_SECOND))):
+        result = upsert_stocks(book, frame(spark, rows), ts(batch + 1), batch=batch)
+        assert filled(as_dict(result.book)) == want
         got = result.summary.first()
-        assert (got.scraped, got.inserted, got.updated, got.removed) == (len(ours + theirs), inserted, updated, removed)
-        ordered = [r.slug for r in result.book.orderBy("ord").collect()]
-        assert ordered == list(want)
+        assert (got.scraped, got.inserted, got.updated, got.removed) == counts
+        assert [r.slug for r in result.book.orderBy("ord").collect()] == list(want)
         book = result.book
 
 
+def test_rows_without_slug_count_as_scraped(spark):
+    got = upsert_stocks(books.empty_book(spark), frame(spark, FIRST + [row("三菱", "")]), ts(1)).summary.first()
+    assert (got.scraped, got.inserted) == (6, 3)
+
+
 def test_same_batch_twice_changes_nothing(spark):
-    rng = random.Random(4)
-    rows = frame(spark, random_rows(rng, "primary", 30) + [r for r in random_rows(rng, "secondary", 30) if r["slug"].startswith("s-")])
+    rows = frame(spark, FIRST + SECOND)
     once = upsert_stocks(books.empty_book(spark), rows, ts(1), batch=0).book
     again = upsert_stocks(once, rows, ts(1), batch=1)
     assert as_dict(once) == as_dict(again.book)
@@ -128,19 +131,21 @@ def test_published_files(spark, tmp_path):
 
 
 def test_run_batch(spark, tmp_path):
-    rng = random.Random(6)
-    ours, theirs = random_rows(rng, "primary", 20), [r for r in random_rows(rng, "secondary", 20) if r["slug"].startswith("s-")]
     root, out = str(tmp_path / "book"), str(tmp_path / "published")
-    primary, secondary = frame(spark, ours), frame(spark, theirs)
+    primary, secondary = frame(spark, FIRST[:3]), frame(spark, FIRST[3:])
     summary = run_batch(root, primary, secondary, ts(1), publish_to=out).first()
-    want = plain_rules.upsert({}, copy.deepcopy(ours), copy.deepcopy(theirs))
-    assert (summary.inserted, summary.updated, summary.removed) == want[1:]
-    assert as_dict(books.read_book(spark, root)) == plain(want[0])
-    assert books.read_published(spark, out).count() == len(want[0])
-    wanted = spark.createDataFrame([(ours[0]["slug"],)], "entry string")
+    assert (summary.scraped, summary.inserted, summary.updated, summary.removed) == COUNTS_FIRST
+    assert filled(as_dict(books.read_book(spark, root))) == AFTER_FIRST
+    assert books.read_published(spark, out).count() == 3
+    wanted = spark.createDataFrame([("p-1",)], "entry string")
     again = run_batch(root, primary, secondary, ts(2), priority=wanted, source="primary").first()
-    assert again.inserted == 0 and again.scraped == sum(r["slug"] == ours[0]["slug"] for r in ours)
+    assert (again.scraped, again.inserted) == (2, 0)
     assert books.versions(spark, root) == [0, 1]
+    nothing = run_batch(root, primary, secondary, ts(3), priority=wanted.limit(0)).first()
+    assert (nothing.scraped, nothing.inserted) == (0, 0) and books.versions(spark, root) == [0, 1]
+    third = frame(spark, [row("Third Source Ltd", "d-1", "detail", 3.0)])
+    run_batch(root, primary.limit(0), third, ts(4))
+    assert "d-1" in as_dict(books.read_book(spark, root))
 
 
 # --- streaming ---------------------------------------------------------------------------------
@@ -165,24 +170,26 @@ def test_feed_over_several_batches(spark, tmp_path):
     assert sorted(r.line for r in batch.collect()) == ["INFO 0", "INFO 1", "INFO 2"]
 
 
-def test_stream_upsert_like_batches(spark, tmp_path):
-    rng = random.Random(8)
-    source, want = tmp_path / "in", {}
-    for i in range(2):
-        ours, theirs = random_rows(rng, "primary", 15), [r for r in random_rows(rng, "secondary", 10) if r["slug"].startswith("s-")]
-        frame(spark, ours + theirs).coalesce(1).write.mode("append").parquet(str(source))
-        want = plain_rules.upsert(want, copy.deepcopy(ours), copy.deepcopy(theirs))[0]
-    root, state = str(tmp_path / "book"), str(tmp_path / "state")
+def test_stream_upsert_after_a_batch_and_a_lost_checkpoint(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "book")
+    run_batch(root, frame(spark, FIRST[:3]), frame(spark, FIRST[3:]), ts(1))
 
-    def run():
+    def run(state):
         stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source))
-        stream_upsert(stream, root, state, ts(1)).awaitTermination()
+        stream_upsert(stream, root, str(tmp_path / state), ts(1)).awaitTermination()
 
-    run()
+    # The stream's first batch has number 0, as the batch job's version has.
+    frame(spark, SECOND).coalesce(1).write.mode("append").parquet(str(source))
+    run("one")
     assert books.versions(spark, root) == [0, 1]
-    assert as_dict(books.read_book(spark, root)) == plain(want)
-    # Losing the stream's state replays the batches onto the committed versions.
-    stream_upsert(
-        spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source)), root, str(tmp_path / "state2"), ts(1)
-    ).awaitTermination()
-    assert as_dict(books.read_book(spark, root)) == plain(want)
+    assert filled(as_dict(books.read_book(spark, root))) == AFTER_SECOND
+    # A lost checkpoint and new files: the old files change nothing, the new ones are merged.
+    frame(spark, [row("Kx009 Late Ltd", "p-9", price=8.0)]).coalesce(1).write.mode("append").parquet(str(source))
+    run("two")
+    late = {"company": "Kx009 Late Ltd", "slug": "p-9", "source": "primary", "price": 8.0}
+    assert filled(as_dict(books.read_book(spark, root))) == {**AFTER_SECOND, "p-9": late}
+    made = books.versions(spark, root)
+    # A batch that is replayed with its checkpoint is not made again.
+    shutil.rmtree(tmp_path / "two" / "commits")
+    run("two")
+    assert books.versions(spark, root) == made

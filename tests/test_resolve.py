@@ -1,14 +1,16 @@
-"""The blocked matching plan against all pairs compared in plain Python."""
+"""The blocked matching plan against all pairs compared by DuckDB."""
 
 import random
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks import duck
 from quotebook.operators import resolve
 from quotebook.operators.candidates import MatchLimits, canonical_names
 from quotebook.session import stage
-from tests import plain_rules
 
 COMMON = ["Green", "Power", "Capital", "Technologies", "Holdings", "Alpha", "Bravo", "Charlie"]
 RARE = [f"Kx{i:03d}" for i in range(60)]
@@ -51,8 +53,24 @@ def spark_result(spark, secondaries, primaries, limits):
 
 
 def expected(secondaries, primaries):
-    known = [(f"primary-{i}", c) for i, (c, _) in enumerate(primaries) if c]
-    return {i: plain_rules.resolve(c, s, known) for i, (c, s) in enumerate(secondaries)}
+    """The pairwise statements of the checks on these names."""
+    con = duckdb.connect()
+    named = [(i, c) for i, (c, _) in enumerate(primaries) if c]
+    text, number = pa.string(), pa.int64()
+    con.register("names_p", pa.table({
+        "ord": pa.array([i for i, _ in named], number), "company": pa.array([c for _, c in named], text),
+        "slug": pa.array([f"primary-{i}" for i, _ in named], text)}))
+    con.register("names_s", pa.table({
+        "ord": pa.array(range(len(secondaries)), number), "company": pa.array([c for c, _ in secondaries], text),
+        "short_name": pa.array([s for _, s in secondaries], text)}))
+    none = {"ord": number, "secondary_name": text, "primary_name": text}
+    con.register("names_a", pa.table({n: pa.array([], t) for n, t in none.items()}))
+    found = con.execute(
+        f"""WITH {duck.match_ctes("names_p", "names_s", "names_a")}
+        SELECT x.ord, r.slug FROM names_s x
+        LEFT JOIN resolved r ON r.company IS NOT DISTINCT FROM x.company AND r.short_name = coalesce(x.short_name, '')"""
+    ).fetchall()
+    return dict(found)
 
 
 @pytest.mark.parametrize("limits, seed", [(DEFAULT, 1), (STRICT, 2), (HEAVY, 3)], ids=["default", "strict", "heavy"])

@@ -68,12 +68,13 @@ def test_fallback_only_without_payload(spark):
         ([3, 4], []),
         ([2, 4], [2, 4]),
         ([1, 40, 41], [1]),
-        (list(range(1, 45)), list(range(1, 41))),
+        (list(range(1, 45)), list(range(1, 45))),
     ],
 )
 def test_cutoff(spark, filled, kept):
     rows = spark.createDataFrame([(1, p) for p in filled], "source_run bigint, page_num bigint")
     assert sorted(r.page_num for r in listings.page_cutoff(rows).collect()) == kept
+    assert sorted(r.page_num for r in listings.page_cutoff(rows, 3).collect()) == [p for p in kept if p <= 3]
 
 
 def test_read_listing_pages_order(spark):
@@ -183,3 +184,13 @@ def test_filter_valid_numeric_price(spark):
     rows = spark.createDataFrame([(1.0,), (0.0,), (float("nan"),), (None,)], "price double")
     assert ops.filter_valid_price(rows).count() == 2
     assert ops.filter_source(rows.select(F.lit("primary").alias("source")), "secondary").count() == 0
+    assert ops.filter_source(rows.select(F.lit("detail").alias("source")), "all").count() == 4
+
+
+def test_sources_with_text_and_number_prices(spark):
+    pages = spark.createDataFrame([(1, 10.5)], "ord bigint, price double")
+    items = spark.createDataFrame([(1, "1_000"), (2, "7")], "ord bigint, price string")
+    rows = ops.union_sources(pages, items).orderBy("ord").collect()
+    assert [r.price for r in rows] == [10.5, 1000.0, 7.0]
+    with pytest.raises(Exception, match="ord out of range"):
+        ops.union_sources(pages.withColumn("ord", F.lit(ops.SOURCE_STRIDE)), items).collect()
