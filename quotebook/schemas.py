@@ -9,6 +9,7 @@ DOCUMENTS = T.ArrayType(
 )
 EXTRA_DATA = T.MapType(T.StringType(), T.StringType())
 
+# Fixed values, here and below: names, order and types of the columns of listings, book and published rows.
 NUMERIC_FIELDS = (
     "price", "market_cap", "face_value", "pe", "eps", "book_value", "roe", "roce", "revenue",
     "profit", "enterprise_value",

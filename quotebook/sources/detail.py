@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotebook.functions.text import RUPEE, WS, absolutize_url, path_slug, remove, strip
 
-# The named character references that are decoded.
+# References that are decoded other than HTML's table says, or that pages use most.
 ENTITIES = (
     ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&ndash;", "–"),
     ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
@@ -21,21 +24,39 @@ _KEY_CHARS = rf"[A-Za-z0-9{WS}/()\-]"
 # split again: the matches are those of the plain pattern, without its quadratic restarts.
 _PAIR = rf"(?:\G|(?<!{_KEY_CHARS}))({_KEY_CHARS}++):[{WS}]*([^:\n]+)"
 _ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a\s*>"
+# How a price and an ISIN are written.
 _PRICE = rf"{RUPEE}[{WS}]*([0-9,]+(?:\.[0-9]+)?)"
 _ISIN = "IN[A-Z0-9]{10}"
 
 
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# References to the ampersand come last: what they leave is text, not a reference.
+_AMPERSANDS = ("&amp;", "&AMP;", "&#38;", "&#x26;", "&#X26;")
+
+
+def _named() -> Column:
+    """The named character references of HTML as one constant map; a no-break space counts as a space."""
+    names = {f"&{name}": char for name, char in html5.items() if name.endswith(";")} | dict(ENTITIES)
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
 def _decode_entities(c: Column) -> Column:
-    def code_points(acc: Column, digits: Column) -> Column:
-        utf32 = F.unhex(F.lpad(F.hex(digits.try_cast("bigint")), 8, "0"))
-        char = F.decode(utf32, "UTF-32")
-        return F.replace(acc, F.concat(F.lit("&#"), digits, F.lit(";")), char)
+    """Decimal, hexadecimal and named references to their characters; unknown ones stay as they are."""
 
-    numeric = F.array_distinct(F.regexp_extract_all(c, F.lit("&#([0-9]{2,6});"), F.lit(1)))
-    decoded = F.when(c.contains("&#"), F.aggregate(numeric, c, code_points)).otherwise(c)
-    for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(c.contains("&"), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+    def character(reference: Column) -> Column:
+        code = F.substring_index(F.substring(reference, 3, 9), ";", 1)
+        hexadecimal = F.lower(F.substring(code, 1, 1)) == "x"
+        number = F.when(hexadecimal, F.conv(F.substring(code, 2, 8), 16, 10)).otherwise(code).try_cast("bigint")
+        known = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        utf32 = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(reference.startswith("&#"), F.when(known, utf32)).otherwise(F.element_at(_named(), reference))
+
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)))
+    found = F.filter(found, lambda r: ~r.isin(*_AMPERSANDS))
+    decoded = F.aggregate(found, c, lambda acc, r: F.replace(acc, r, F.coalesce(character(r), r)))
+    for reference in _AMPERSANDS:
+        decoded = F.replace(decoded, F.lit(reference), F.lit("&"))
+    return F.when(c.contains("&"), decoded).otherwise(c)
 
 
 def _text_nodes(html: Column) -> Column:
@@ -54,8 +75,10 @@ def _heading(html: Column) -> Column:
     return F.when(html.rlike(r"(?i)<h1\b"), F.array_join(_text_nodes(inner), ""))
 
 
-def extract_page_facts(pages: DataFrame, marker: str = "/in/listing/", source: str = "detail") -> DataFrame:
-    """Company, price, ISIN and slug of each page that has a heading."""
+def extract_page_facts(
+    pages: DataFrame, marker: str = "/in/listing/", source: str = "detail", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Company, price, ISIN and slug of each page that has a heading; with the columns of ``keep``."""
     text = pages.withColumn("text", visible_text(F.col("html"))).withColumn("company", _heading(F.col("html")))
     price = remove(F.regexp_extract("text", _PRICE, 1), ",")
     return text.filter(F.col("company").isNotNull()).select(
@@ -66,25 +89,33 @@ def extract_page_facts(pages: DataFrame, marker: str = "/in/listing/", source: s
         "company",
         F.when(F.col("text").rlike(_PRICE), price).alias("price"),
         F.when(F.col("text").rlike(_ISIN), F.regexp_extract("text", _ISIN, 0)).alias("isin"),
+        *keep,
     )
 
 
-def extract_kv_pairs(pages: DataFrame) -> DataFrame:
-    """``key: value`` pairs of the page text, the last value of a repeated key winning."""
+def _pairs(text: Column) -> Column:
+    """(key, value) pairs of a text in order, of a repeated key only the last."""
     # Neither a key nor a value contains a colon, so one search gives both.
-    found = F.regexp_extract_all(visible_text(F.col("html")), F.lit(_PAIR), F.lit(0))
-    return (
-        pages.select("page_id", F.posexplode(found).alias("pos", "pair"))
-        .select(
-            "page_id",
-            "pos",
-            strip(F.substring_index("pair", ":", 1)).alias("key"),
-            strip(F.substring_index("pair", ":", -1)).alias("value"),
-        )
-        .filter(F.length("key").between(2, 35) & F.length("value").between(1, 100))
-        .groupBy("page_id", "key")
-        .agg(F.max_by("value", "pos").alias("value"))
+    found = F.transform(
+        F.regexp_extract_all(text, F.lit(_PAIR), F.lit(0)),
+        lambda p: F.struct(
+            strip(F.substring_index(p, ":", 1)).alias("key"), strip(F.substring_index(p, ":", -1)).alias("value")
+        ),
     )
+    return F.filter(found, lambda p: F.length(p["key"]).between(2, 35) & F.length(p["value"]).between(1, 100))
+
+
+def _last_of_each(pairs: Column) -> Column:
+    def repeated(p: Column, i: Column) -> Column:
+        return F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"])
+
+    return F.filter(pairs, lambda p, i: ~repeated(p, i))
+
+
+def extract_kv_pairs(pages: DataFrame) -> DataFrame:
+    """``key: value`` pairs of the page text, the last value of a repeated key winning."""
+    found = pages.select("page_id", _pairs(visible_text(F.col("html"))).alias("pairs"))
+    return found.select("page_id", F.explode(_last_of_each(F.col("pairs"))).alias("p")).select("page_id", "p.key", "p.value")
 
 
 def _links(pages: DataFrame) -> DataFrame:
@@ -102,16 +133,43 @@ def _links(pages: DataFrame) -> DataFrame:
     )
 
 
+def _documents(html: Column, base_url: str) -> Column:
+    """(pos, url, title) of the report links of a page in order."""
+    markup = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    found = F.arrays_zip(
+        F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(1)).alias("href"),
+        F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(2)).alias("body"),
+    )
+    read = F.transform(
+        found,
+        lambda x, i: F.struct(
+            i.alias("pos"), _decode_entities(x["href"]).alias("href"), visible_text(x["body"]).alias("title")
+        ),
+    )
+
+    def wanted(x: Column) -> Column:
+        title = F.lower(x["title"])
+        named = F.lower(x["href"]).contains("pdf") | title.contains("report") | title.contains("financial")
+        return named & F.length(x["title"]).between(1, 99)
+
+    return F.transform(
+        F.filter(read, wanted),
+        lambda x: F.struct(x["pos"].alias("pos"), absolutize_url(x["href"], base_url).alias("url"), x["title"].alias("title")),
+    )
+
+
+def _first_of_each(documents: Column) -> Column:
+    def seen(d: Column, i: Column) -> Column:
+        return F.exists(F.slice(documents, F.lit(1), i), lambda q: q["url"] == d["url"])
+
+    return F.filter(documents, lambda d, i: ~seen(d, i))
+
+
 def extract_document_links(pages: DataFrame, base_url: str) -> DataFrame:
     """Report links of each page, the first title of a URL winning."""
-    title = F.lower("title")
-    wanted = F.lower("href").contains("pdf") | title.contains("report") | title.contains("financial")
-    return (
-        _links(pages)
-        .filter(wanted & F.length("title").between(1, 99))
-        .select("page_id", "pos", "title", absolutize_url(F.col("href"), base_url).alias("url"))
-        .groupBy("page_id", "url")
-        .agg(F.min_by("title", "pos").alias("title"), F.min("pos").alias("pos"))
+    found = pages.select("page_id", _documents(F.col("html"), base_url).alias("found"))
+    return found.select("page_id", F.explode(_first_of_each(F.col("found"))).alias("d")).select(
+        "page_id", "d.url", "d.title", "d.pos"
     )
 
 
@@ -135,23 +193,16 @@ def detail_listings(
     pages: DataFrame, base_url: str, marker: str = "/in/listing/", full: bool = True
 ) -> DataFrame:
     """Raw listings from detail pages; without ``full`` only company, price and ISIN are read."""
-    facts = extract_page_facts(pages, marker)
+    facts = extract_page_facts(pages, marker, keep=("html", "text") if full else ())
     if not full:
         return facts
-    extras = (
-        extract_kv_pairs(pages)
-        .groupBy("page_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("extra_data"))
-    )
-    documents = (
-        extract_document_links(pages, base_url)
-        .groupBy("page_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "title", "url"))).alias("found"))
-        .select(
-            "page_id",
-            F.transform("found", lambda d: F.struct(d["title"].alias("title"), d["url"].alias("url"))).alias(
-                "documents"
-            ),
-        )
-    )
-    return facts.join(extras, "page_id", "left").join(documents, "page_id", "left")
+    # Everything comes from the page's own row: no join, no shuffle.
+    read = facts.withColumns({"pairs": _pairs(F.col("text")), "found": _documents(F.col("html"), base_url)})
+    document = lambda d: F.struct(d["title"].alias("title"), d["url"].alias("url"))
+    pairs, found = _last_of_each(F.col("pairs")), F.transform(_first_of_each(F.col("found")), document)
+    return read.withColumns(
+        {
+            "extra_data": F.when(F.size(pairs) > 0, F.map_from_entries(pairs)),
+            "documents": F.when(F.size(found) > 0, found),
+        }
+    ).drop("html", "text", "pairs", "found")

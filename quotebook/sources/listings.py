@@ -18,18 +18,22 @@ _ITEMS = 1 << 20
 _ITEM = "name string, slug string, price string, lot_size string, as_of string, sector string, logo string"
 
 
+def _elements(key: str) -> Column:
+    """The raw elements of the body's array, null without one."""
+    needle = f'"{key}":['
+    at = F.instr(F.col("body"), needle)
+    array_text = F.substring(F.col("body"), at + F.lit(len(needle) - 1), F.length("body"))
+    return F.when(at > 0, F.from_json(array_text, "array<string>"))
+
+
 def scan_json_payload(pages: DataFrame, key: str = "shares", item_schema: str = _ITEM) -> DataFrame:
     """One row per object of the ``"<key>":[...]`` array in a page body.
 
     The array is split into raw elements first and each object parsed on its own, so one
     element of another type does not void the rest.
     """
-    needle = f'"{key}":['
-    at = F.instr(F.col("body"), needle)
-    array_text = F.substring(F.col("body"), at + F.lit(len(needle) - 1), F.length("body"))
-    elements = F.when(at > 0, F.from_json(array_text, "array<string>"))
     return (
-        pages.select("source_run", "page_num", F.posexplode(elements).alias("pos", "element"))
+        pages.select("source_run", "page_num", F.posexplode(_elements(key)).alias("pos", "element"))
         .filter(F.col("element").startswith("{"))
         .select("source_run", "page_num", "pos", F.from_json("element", item_schema).alias("item"))
         .select("source_run", "page_num", "pos", "item.*")
@@ -64,11 +68,17 @@ def project_primary_items(items: DataFrame, base_url: str, source: str = "primar
 def page_fallback(pages: DataFrame, base_url: str, source: str = "primary") -> DataFrame:
     """Payload rows of a page if it has any, else its card rows.
 
-    The anti join comes before the Python stage, so only pages without a payload reach it.
+    A landed page is one row, so the choice is a filter on that row: nothing is joined or shuffled, and
+    only pages without a usable payload item reach the Python stage.
     """
     payload = project_primary_items(scan_json_payload(pages), base_url, source)
-    has_payload = payload.select("source_run", "page_num").distinct()
-    bare = pages.join(has_payload, ["source_run", "page_num"], "left_anti")
+
+    def usable(element: Column) -> Column:
+        item = F.from_json(element, "name string, price string")
+        found = element.startswith("{") & (item["name"] != "") & clean_price(item["price"]).isNotNull()
+        return F.coalesce(found, F.lit(False))
+
+    bare = pages.filter(~F.coalesce(F.exists(_elements("shares"), usable), F.lit(False)))
     return payload.unionByName(scan_html_cards(bare, base_url, source), allowMissingColumns=True)
 
 

@@ -194,3 +194,12 @@ def test_sources_with_text_and_number_prices(spark):
     assert [r.price for r in rows] == [10.5, 1000.0, 7.0]
     with pytest.raises(Exception, match="ord out of range"):
         ops.union_sources(pages.withColumn("ord", F.lit(ops.SOURCE_STRIDE)), items).collect()
+
+
+def test_character_references(spark):
+    texts = ["&#x20B9; 55.5", "a&#x2014;b", "&eacute;t&Eacute;", "&amp;lt; &lt;", "&#38;lt;", "&nosuch; &#0; &#1114112;", "&#65;&#X42;", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.t for r in rows.select("i", detail._decode_entities(F.col("t")).alias("t")).orderBy("i").collect()]
+    assert got == ["\u20b9 55.5", "a\u2014b", "\u00e9t\u00c9", "&lt; <", "&lt;", "&nosuch; &#0; &#1114112;", "AB", None]
+    page = spark.createDataFrame([(1, "u/in/listing/x", "<h1>A</h1><p>&#x20B9; 55.5</p>")], "page_id bigint, url string, html string")
+    assert detail.extract_page_facts(page).first().price == "55.5"
