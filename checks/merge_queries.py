@@ -301,6 +301,13 @@ def live_feed(spark, sf):
     return spark.read.schema("company string, price string, source string").parquet(path)
 
 
+@query(f"WITH {duckdb_views('fx_primary_raw')} SELECT company, price, 'primary' AS source FROM fx_primary_raw")
+def feed_lines(spark, sf):
+    """Lines written for raw listings and read back from the feed."""
+    rows = view(spark, sf, "fx_primary_raw").withColumn("source", F.lit("primary"))
+    return feed.live_feed(feed.feed_lines(rows)).select("company", "price", "source")
+
+
 @query(f"WITH {duckdb_views('fx_feed_lines')} SELECT ord, line FROM fx_feed_lines WHERE NOT starts_with(line, 'LIVE_DATA:')")
 def feed_other_lines(spark, sf):
     path = scratch_path(spark, "log")

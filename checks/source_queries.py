@@ -120,6 +120,23 @@ def scan_api_items(spark, sf):
     return rows.select("ord", "source", "company", "price", "slug", F.expr("extra_data['Market Cap']").alias("market_cap"))
 
 
+@query(
+    f"""WITH {duckdb_views('fx_api_item')}
+SELECT CAST(ord // 10 * 1048576 + row_number() OVER (PARTITION BY ord // 10 ORDER BY ord) - 1 AS BIGINT) AS ord,
+       json_extract_string(item, '$.UL_STOCKS_COMPNAME') AS company, json_extract_string(item, '$.MCAP') AS market_cap FROM fx_api_item"""
+)
+def explode_responses(spark, sf):
+    """Items in responses of ten, taken apart again."""
+    items = view(spark, sf, "fx_api_item").withColumn("response", F.floor(F.col("ord") / 10))
+    gathered = F.transform(F.array_sort(F.collect_list(F.struct("ord", "item"))), lambda x: x["item"])
+    body = F.concat(F.lit('{"status": 1, "data": ['), F.array_join(gathered, ", "), F.lit("]}"))
+    responses = items.groupBy("response").agg(body.alias("body")).withColumnRenamed("response", "ord")
+    field = lambda name: F.get_json_object("item", f"$.{name}")
+    return api.explode_responses(responses).select(
+        "ord", field("UL_STOCKS_COMPNAME").alias("company"), field("MCAP").alias("market_cap")
+    )
+
+
 _TEXT_STEPS = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script\\s*>', '<p>', 'g'),
   '(?is)<style\\b.*?</style\\s*>', '<p>', 'g'), '(?s)<!--.*?-->', '<p>', 'g'), '(?i)<!doctype[^>]*>', '<p>', 'g')"""
 

@@ -81,7 +81,7 @@ def upsert_stocks(
 
 def run_batch(
     root: str,
-    primary_raw: DataFrame,
+    primary_raw: DataFrame | tuple[DataFrame, ...],
     secondary_raw: DataFrame,
     batch_ts: Column,
     aliases: DataFrame | None = None,
@@ -91,12 +91,15 @@ def run_batch(
     version: int | None = None,
     publish_to: str | None = None,
 ) -> DataFrame:
-    """Raw listings of both sources to a new committed version of the book at ``root``.
+    """Raw listings of all sources to a new committed version of the book at ``root``.
+
+    ``primary_raw`` may be several sources, in order; none of them is itself a union of ranked sources.
 
     With ``priority`` only listed slugs are taken; an empty list leaves everything as it is. Returns the
     run summary.
     """
-    spark = primary_raw.sparkSession
+    ours = primary_raw if isinstance(primary_raw, tuple) else (primary_raw,)
+    spark = secondary_raw.sparkSession
     if priority is not None and priority.isEmpty():
         return spark.range(1).select(*[F.lit(0).cast("bigint").alias(c) for c in SUMMARY])
     if version is None:
@@ -104,7 +107,7 @@ def run_batch(
         version = done[-1] + 1 if done else 0
     # The caller's source choice is applied before any work on the other source.
     listings = normalize_listings(
-        filter_source(union_sources(primary_raw, secondary_raw), source), keep_short_name
+        filter_source(union_sources(*ours, secondary_raw), source), keep_short_name
     )
     if priority is not None:
         listings = priority_semi_join(listings, priority)

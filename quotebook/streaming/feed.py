@@ -21,6 +21,12 @@ def live_feed(lines: DataFrame) -> DataFrame:
     return live_columns(parsed.select("event.*"))
 
 
+def feed_lines(listings: DataFrame) -> DataFrame:
+    """The feed's lines for raw listings, one for each row before any is dropped as a duplicate."""
+    event = F.struct("company", F.col("price").cast("string").alias("price"), "source")
+    return listings.select(F.concat(F.lit(TAG), F.to_json(event)).alias("line"))
+
+
 def feed_other_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(~F.col("line").startswith(TAG))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quotebook.operators import listings as ops
 from quotebook.operators import merge, publish
 from quotebook.plans.upsert import run_batch, upsert_stocks
+from quotebook.sources import api, detail, listings
 from quotebook.sources import book as books
 from quotebook.streaming import feed
 from quotebook.streaming.upsert import stream_upsert
@@ -148,6 +149,25 @@ def test_run_batch(spark, tmp_path):
     assert "d-1" in as_dict(books.read_book(spark, root))
 
 
+def test_landed_sources_to_published_rows(spark, tmp_path):
+    """Pages, API responses and detail pages in one batch: the first of two items of a run counts."""
+    payload = '{"shares":[{"name":"Acme Rockets","slug":"acme","price":"10"},{"name":"Acme Rockets","slug":"acme","price":"20"}]}'
+    pages = spark.createDataFrame([(1, 1, payload), (1, 60, payload.replace("Acme", "Zeta").replace("acme", "zeta"))], "source_run bigint, page_num bigint, body string")
+    answer = '{"data":[{"UL_STOCKS_COMPNAME":"Bolt Works","current_price_calculated":"1_000"},{"UL_STOCKS_COMPNAME":"Acme Rockets","current_price_calculated":"11"}]}'
+    responses = spark.createDataFrame([(0, answer)], "ord bigint, body string")
+    detail_page = "<h1>\u682a\u5f0f\u4f1a\u793e</h1><p>&#x20B9; 55.5</p>"
+    facts = detail.detail_listings(spark.createDataFrame([(1, "u/in/listing/kk", detail_page)], "page_id bigint, url string, html string"), "http://b")
+    primary = (listings.read_listing_pages(pages, "http://p"), facts.withColumn("ord", F.lit(0)))
+    secondary = api.scan_api_items(api.explode_responses(responses))
+    root, out = str(tmp_path / "book"), str(tmp_path / "published")
+    counts = run_batch(root, primary, secondary, ts(1), publish_to=out).first()
+    assert (counts.scraped, counts.inserted, counts.updated) == (5, 4, 1)
+    rows = {r.Name: (r["Latest Price"], r["Backup Price"]) for r in books.read_published(spark, out).collect()}
+    assert rows == {
+        "Acme Rockets": (10.0, 11.0), "Zeta Rockets": (10.0, None), "Bolt Works": (1000.0, None), "\u682a\u5f0f\u4f1a\u793e": (55.5, None),
+    }
+
+
 # --- streaming ---------------------------------------------------------------------------------
 
 
