@@ -39,7 +39,7 @@ from quotebook.llm.bpe import texts_of
 from quotebook.llm.staging import keep
 
 ORDER = 5
-CHUNK_CHARS = 16 << 20
+CHUNK_CHARS = 32 << 20
 #: Longer words are cut (no text is left out), so that a word's n-grams stay few.
 WORD_CHARS = 64
 QUANTILE = 0.99
@@ -184,30 +184,24 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.string())], names=["chunk", "gram"])
 
 
-class Probabilities:
-    """log p of n-grams from the rows of the model that a chunk asked for."""
+class Probabilities(dict):
+    """log p of n-grams, worked out once each from the rows of the model that a chunk asked for."""
 
     def __init__(self, grams: list[str], own: list[float], left: list[float], symbols: int):
         self._rows = dict(zip(grams, zip(own, left, strict=True), strict=True))
         self._uniform = 1 / (symbols + 1)
-        self._log: dict[str, float] = {}
 
-    def _p(self, gram: str) -> float:
+    def __missing__(self, gram: str) -> float:
         p = self._uniform
         for k in range(1, len(gram) + 1):
             part = gram[-k:]
             left = self._rows.get(part[:-1], (0.0, 0.0))[1]
             p = self._rows.get(part, (0.0, 0.0))[0] + (left or 1.0) * p
-        return p
+        self[gram] = log = math.log(p)
+        return log
 
     def word(self, word: str) -> float:
-        total = 0.0
-        for gram in grams_of(word):
-            log = self._log.get(gram)
-            if log is None:
-                log = self._log[gram] = math.log(self._p(gram))
-            total += log
-        return total
+        return sum(map(self.__getitem__, grams_of(word)))
 
 
 def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame:
