@@ -30,7 +30,7 @@ _UNSURE = re.compile("[^\x00-՗]")
 _BLANKS_MEET = re.compile(r"  |\s \s")
 
 BATCH_CHARS = 1_000_000
-MAX_PIECES = 300_000
+MAX_PIECES = 1_000_000
 MAX_WORDS = 1_200_000
 MAX_PRE_TOKENS = 200_000
 # Punctuation that most often ends a word.
