@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from quotebook.llm.staging import keep
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 #: A bucket aims at TARGET_BYTES of distinct contents and is split beyond BUCKET_BYTES.
 TARGET_BYTES = 16 << 20
 BUCKET_BYTES = 64 << 20
