@@ -1,16 +1,17 @@
 """Quality classification by an interpolated modified Kneser-Ney model of character n-grams.
 
 The model is trained on the whole text of all trusted documents (those labelled good). It predicts each
-character of a word, its end included, from the four before it, so its tables grow with the corpus but slowly,
-and what is gathered from a part of the corpus is its distinct n-grams, not its words.
+character of a text, the spaces between words and the end included, from the four before it, across the
+boundaries of words and in the order of the text. Its tables grow with the corpus but slowly, and what is
+gathered from a part of the corpus is its distinct n-grams.
 
-1. Tasks code their texts in chunks: the chunk's distinct words, how often trusted texts use them, and each
-   document as numbers of these words. This table is all that later steps read.
-2. Counts of the n-grams of trusted words are summed up by n-gram; continuation counts, discounts and
+1. Tasks read their texts in chunks: the chunk's distinct n-grams, how often trusted texts have each, and the
+   texts (white space as single spaces), compressed. This table is all that later steps read.
+2. Counts of the n-grams of trusted texts are summed up by n-gram; continuation counts, discounts and
    interpolation weights of all lower orders follow by grouping. Every n-gram has one row: its own share of
    probability and the weight it leaves to the next lower order as a context.
-3. Each chunk asks for the n-grams of its words; the sharded count table answers by a join on the n-gram, and the
-   answers meet the chunk again. The chunk's words are scored once each, its documents by their words.
+3. Each chunk asks for its n-grams; the sharded count table answers by a join on the n-gram, and the answers meet
+   the chunk again. The chunk's n-grams are scored once each, its documents by all places of their n-grams.
 
 A document is rejected if its perplexity (per character) exceeds its language's threshold: a quantile of the
 perplexities of that language's trusted documents, widened by a margin since the model has seen those.
@@ -25,11 +26,11 @@ rejected. Other columns of the inputs, whatever their names, are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -40,33 +41,74 @@ from quotebook.llm.staging import keep
 
 ORDER = 5
 CHUNK_CHARS = 32 << 20
-#: Longer words are cut (no text is left out), so that a word's n-grams stay few.
-WORD_CHARS = 64
+#: Texts are cut into n-grams so many characters at a time (n-grams across the cuts included).
+PIECE_CHARS = 1 << 20
 QUANTILE = 0.99
 MARGIN = 1.15
 #: Trusted ids are broadcast up to so many, else joined by exchange.
 BROADCAST_ROWS = 1_000_000
-# Marks of a word's start and end.
+# Marks of a text's start and end.
 START, END = "\x02", "\x03"
 
 
 def words_of(text: str) -> list[str]:
-    out = text.split()
-    if len(text) > WORD_CHARS and max(map(len, out), default=0) > WORD_CHARS:
-        out = [w[i : i + WORD_CHARS] for w in out for i in range(0, len(w), WORD_CHARS)]
-    return out
-
-
-def grams_of(word: str) -> list[str]:
-    """The n-grams of highest order, one for each character and the end."""
-    padded = START * (ORDER - 1) + word + END
-    return [padded[i : i + ORDER] for i in range(len(word) + 1)]
+    """The text's words as one run with single spaces; none where there are no words."""
+    run = " ".join(text.split())
+    return [run] if run else []
+
+
+def grams_of(run: str) -> list[str]:
+    """The n-grams of highest order in the order of the text, one for each character and the end."""
+    padded = START * (ORDER - 1) + run + END
+    return [padded[i : i + ORDER] for i in range(len(run) + 1)]
+
+
+def _distinct(stream: str) -> tuple[list[str], np.ndarray]:
+    """The stream's distinct n-grams and, for each place where one begins, its number among them."""
+    letters, rank = np.unique(np.frombuffer(stream.encode("utf-32-le"), "<u4"), return_inverse=True)
+    rank, size = rank.astype(np.int64), len(letters)
+    code = rank
+    for k in range(1, ORDER):
+        if size * len(letters) >= 1 << 62:
+            found, code = np.unique(code, return_inverse=True)
+            size = len(found)
+        code = code[:-1] * len(letters) + rank[k:]
+        size *= len(letters)
+    found, number = np.unique(code, return_inverse=True)
+    place = np.zeros(len(found), np.int64)
+    place[number] = np.arange(len(number))
+    return [stream[i : i + ORDER] for i in place.tolist()], number
+
+
+def numbered(runs: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """The n-grams of all runs in pieces: (n-grams, their numbers at all places, the run of each place). A piece's
+    list also holds the few n-grams that cross from one run to the next; no place has their numbers."""
+    owners, cut, size = [], [], 0
+
+    def piece() -> tuple[list[str], np.ndarray, np.ndarray]:
+        grams, number = _distinct("".join(cut))
+        lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+        inside = np.ones(lengths.sum(), bool)
+        inside[(np.cumsum(lengths)[:, None] - np.arange(1, ORDER)).ravel()] = False
+        return grams, number[inside[: len(number)]], np.repeat(owners, lengths - (ORDER - 1))
+
+    for i, run in enumerate(runs):
+        padded = START * (ORDER - 1) + run + END if run else ""
+        for at in range(0, len(run) + 1 if run else 0, PIECE_CHARS):
+            cut.append(padded[at : at + PIECE_CHARS + ORDER - 1])
+            owners.append(i)
+            size += len(cut[-1])
+            if size >= PIECE_CHARS:
+                yield piece()
+                owners, cut, size = [], [], 0
+    if cut:
+        yield piece()
 
 
 def coded(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, key: Column
 ) -> DataFrame:
-    """One row per chunk: words, how often trusted texts use each, and the packed documents."""
+    """One row per chunk: n-grams, how often trusted texts have each, and the packed documents."""
     good = labels.where(F.col(label_col) > 0).select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
     good = good.withColumn("_good", F.lit(1))
     good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
@@ -79,51 +121,49 @@ def coded(
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId() << 24, 0
-        index: dict[str, int] = {}
-        trusted: Counter[int] = Counter()
+        seen: dict[str, int] = {}
         rows: list[pa.RecordBatch] = []
-        numbers, counts, ends, size = [], [], [], 0
+        texts, ends, size = [], [], 0
 
         def chunk() -> pa.RecordBatch:
             small = pa.Table.from_batches(rows).combine_chunks()
-            blob = zstandard.ZstdCompressor(level=3).compress(
-                np.concatenate([np.zeros(0, np.int32), *numbers, *counts]).astype("<i4").tobytes())
+            blob = zstandard.ZstdCompressor(level=3).compress("".join(texts).encode())
             one = lambda column: pa.ListArray.from_arrays(
                 pa.array([0, len(column)], pa.int32()), column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([part + number], pa.int64()), one(pa.array(list(index), pa.string())),
-                    one(pa.array([trusted[i] for i in range(len(index))], pa.int64())),
+                    pa.array([part + number], pa.int64()), one(pa.array(seen.keys(), pa.string())),
+                    one(pa.array(seen.values(), pa.int64())),
                     *(one(small.column(i)) for i in range(3)), one(pa.array(ends, pa.int32())), pa.array([blob], pa.binary()),
                 ],
-                names=["chunk", "words", "trusted", "ids", "langs", "good", "ends", "blob"],
+                names=["chunk", "grams", "trusted", "ids", "langs", "good", "ends", "blob"],
             )
 
         for batch in batches:
             for at in range(0, len(batch), 256):
                 piece = batch.slice(at, 256)
                 rows.append(piece.select([0, 1, 2]))
-                for text, good_ in zip(texts_of(piece.column(3)), piece.column(2).to_pylist(), strict=True):
-                    found = Counter(words_of(text))
-                    used = np.fromiter((index.setdefault(w, len(index)) for w in found), np.int64, len(found))
-                    n = np.fromiter(found.values(), np.int64, len(found))
-                    order = np.argsort(used)
-                    used, n = used[order], n[order]
-                    if good_:
-                        trusted.update(dict(zip(used.tolist(), n.tolist(), strict=True)))
-                    numbers.append(np.diff(used, prepend=0).astype(np.int32))
-                    counts.append(n.astype(np.int32))
-                    ends.append((ends[-1] if ends else 0) + len(used))
-                    size += len(text)
+                runs = ["".join(words_of(text)) for text in texts_of(piece.column(3))]
+                good_ = piece.column(2).to_numpy(zero_copy_only=False) > 0
+                for grams, numbers, owner in numbered(runs):
+                    used = np.bincount(numbers, minlength=len(grams)).tolist()
+                    trusted = np.bincount(numbers[good_[owner]], minlength=len(grams)).tolist()
+                    for gram, n, k in zip(grams, used, trusted, strict=True):
+                        if n:
+                            seen[gram] = seen.get(gram, 0) + k
+                for run in runs:
+                    ends.append((ends[-1] if ends else 0) + len(run))
+                texts += runs
+                size += sum(map(len, runs))
                 if size >= CHUNK_CHARS:
                     yield chunk()
-                    index, trusted, rows, numbers, counts, ends, size = {}, Counter(), [], [], [], [], 0
+                    seen, rows, texts, ends, size = {}, [], [], [], 0
                     number += 1
         if rows:
             yield chunk()
 
     schema = (
-        f"chunk long, words array<string>, trusted array<long>, ids array<{kind}>, langs array<string>, "
+        f"chunk long, grams array<string>, trusted array<long>, ids array<{kind}>, langs array<string>, "
         "good array<int>, ends array<int>, blob binary"
     )
     return keep(read.mapInArrow(code, schema), "quality-coded")
@@ -131,13 +171,8 @@ def coded(
 
 def _trusted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for words, trusted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            counts: Counter[str] = Counter()
-            for word, n in zip(words, trusted, strict=True):
-                if n:
-                    for gram in grams_of(word):
-                        counts[gram] += n
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["gram", "n"])
+        grams, n = (c.flatten() for c in batch.columns)
+        yield pa.RecordBatch.from_arrays([grams, n], names=["gram", "n"]).filter(pc.greater(n, 0))
 
 
 def discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -177,8 +212,7 @@ def train(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for chunk, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            whole = {g for w in words for g in grams_of(w)}
+        for chunk, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             keys = {g[a:b] for g in whole for a in range(ORDER) for b in range(a + 1, ORDER + 1) if b >= ORDER - 1}
             keys.add("")
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.string())], names=["chunk", "gram"])
@@ -200,43 +234,33 @@ class Probabilities(dict):
         self[gram] = log = math.log(p)
         return log
 
-    def word(self, word: str) -> float:
-        return sum(map(self.__getitem__, grams_of(word)))
-
 
 def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame:
     """id, lang, good, perplexity of every document."""
-    needs = chunks.select("chunk", "words").mapInArrow(_needed, "chunk long, gram string")
+    needs = chunks.select("chunk", "grams").mapInArrow(_needed, "chunk long, gram string")
     answers = needs.join(model, "gram").groupBy("chunk").agg(F.collect_list(F.struct("gram", "own", "left")).alias("rows"))
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                words, ids, langs, good, ends, blob, rows = (batch.column(c)[i] for c in range(7))
+                ids, langs, good, ends, blob, rows = (batch.column(c)[i] for c in range(6))
                 flat = rows.values
                 fields = ([], [], []) if flat is None else (flat.field(j).to_pylist() for j in range(3))
                 model_ = Probabilities(*fields, symbols)
-                words = words.as_py()
-                logs = np.array([model_.word(w) for w in words])
-                sizes = np.array([len(w) + 1 for w in words], np.float64)
-                data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.as_py()), "<i4").astype(np.int64)
-                numbers, n = data[: len(data) // 2], data[len(data) // 2 :]
-                stops = ends.values.to_numpy()
-                starts = np.concatenate([[0], stops[:-1]])
-                # Numbers are differences within a document: sums less what came before its start.
-                running = np.cumsum(numbers)
-                base = np.concatenate([[0], running])[starts]
-                used = running - np.repeat(base, stops - starts)
-                log = np.concatenate([[0.0], np.cumsum(logs[used] * n)]) if len(used) else np.zeros(1)
-                chars = np.concatenate([[0.0], np.cumsum(sizes[used] * n)]) if len(used) else np.zeros(1)
-                log, chars = log[stops] - log[starts], chars[stops] - chars[starts]
+                text = zstandard.ZstdDecompressor().decompress(blob.as_py()).decode()
+                stops = ends.values.to_pylist()
+                runs = [text[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+                log, chars = np.zeros(len(runs)), np.array([len(r) + 1 if r else 0 for r in runs])
+                for grams, numbers, owner in numbered(runs):
+                    logs = np.fromiter(map(model_.__getitem__, grams), np.float64, len(grams))
+                    log += np.bincount(owner, weights=logs[numbers], minlength=len(runs))
                 value = np.exp(-log / np.maximum(chars, 1))
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, langs.values, good.values, pa.array(value, mask=chars == 0)],
                     names=["id", "lang", "good", "perplexity"])
 
-    joined = chunks.join(answers, "chunk", "left").select("words", "ids", "langs", "good", "ends", "blob", "rows")
+    joined = chunks.join(answers, "chunk", "left").select("ids", "langs", "good", "ends", "blob", "rows")
     return joined.mapInArrow(score, f"id {kind}, lang string, good int, perplexity double")
 
 
@@ -253,7 +277,7 @@ def classify(
 ) -> DataFrame:
     """id (or `key` in its place), lang, perplexity, threshold and kept of every row."""
     chunks = coded(docs, labels, id_col, text_col, lang_col, label_col, F.col(id_col) if key is None else key)
-    counts = chunks.select("words", "trusted").mapInArrow(_trusted_grams, "gram string, n long")
+    counts = chunks.select("grams", "trusted").mapInArrow(_trusted_grams, "gram string, n long")
     counts = keep(counts.groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts")
     model, symbols = train(counts)
     scored = keep(perplexities(chunks, model, symbols), "quality-scores")

@@ -79,3 +79,32 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert sorted((r.doc_id, r.kept) for r in quality.classify(docs, labels).collect()) == [(1, True), (2, False)]
     assert quality.classify(docs.limit(0), labels).collect() == []
+
+
+def test_order_and_repetition_count(spark, monkeypatch):
+    rng = random.Random(7)
+    words = ["the", "small", "house", "stands", "near", "river", "and", "we", "walk", "there"]
+    after = {w: rng.sample(words, 2) for w in words}
+
+    def say(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    plain = say(400)
+    texts = [" ".join(say(300)) for _ in range(30)] + [" ".join(plain), " ".join(rng.sample(plain, 400)), "house " * 400, "a\u0416\u4e2d" * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    labels = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert got[31].perplexity > 1.15 * got[30].perplexity and got[32].perplexity > 1.15 * got[30].perplexity
+    assert got[30].kept and not got[31].kept and not got[32].kept
+    # Pieces and alphabets of any size give the same n-grams.
+    runs = ["", *texts[-4:], "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))]
+    for small in (50, 10**6):
+        monkeypatch.setattr(quality, "PIECE_CHARS", small)
+        cut = [[] for _ in runs]
+        for grams, numbers, owner in quality.numbered(runs):
+            for n, o in zip(numbers, owner, strict=True):
+                cut[o].append(grams[n])
+        assert cut == [quality.grams_of(r) if r else [] for r in runs]
