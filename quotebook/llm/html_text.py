@@ -11,8 +11,9 @@
    than a run stay); `out` blocks go altogether. A page
    with an article or main element keeps these blocks, any other its free ones.
 
-Hosts are split by page into parts of PART_BYTES, so a host with most of the pages is many groups; repetition is
-then seen within each part, which holds hundreds of pages.
+A host above PART_BYTES is split by page into parts, and repetition is still that of the whole host: each part
+gives its distinct runs (a 64-bit hash of host and run, the least and the greatest page, the zones), these are
+aggregated by run, and the runs that prove to be boilerplate go back to the parts that have them, which are then cut.
 
 White space in a block (no-break spaces too) becomes one space; blocks are joined by line feeds. Nulls: null html
 is an empty page; a null url is a host of its own; null ids are carried along. Repeated rows each give a row and
@@ -27,6 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,42 +157,83 @@ def _long_parts(gone: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def main_texts(ids: list, pages: list[str], least: int = MIN_RUN) -> list[str]:
-    """Main text of each page of (a part of) a host."""
-    cut = [blocks_of(p) for p in pages]
-    number: dict[str, int] = {}
-    page_of = {i: k for k, i in enumerate(dict.fromkeys(ids))}
-    tokens, owner, zone, words = [], [], [], []
-    for i, blocks in zip(ids, cut, strict=True):
-        for where, text in blocks:
-            split = text.split(" ")
-            words.append(split)
-            tokens += [number.setdefault(w, len(number)) for w in split]
-            owner.append((page_of[i], len(split), where))
-    if not tokens:
+class Stream:
+    """The blocks of (a part of) a host's pages, and their tokens as one stream."""
+
+    def __init__(self, ids: list, pages: list[str]):
+        self.cut = [blocks_of(p) for p in pages]
+        self.number: dict[str, int] = {}
+        page_of = {i: k for k, i in enumerate(dict.fromkeys(ids))}
+        self.words, tokens, owner = [], [], []
+        for i, blocks in zip(ids, self.cut, strict=True):
+            for where, text in blocks:
+                split = text.split(" ")
+                self.words.append(split)
+                tokens += [self.number.setdefault(w, len(self.number)) for w in split]
+                owner.append((page_of[i], len(split), {"out": 0, "article": 1, "free": 2}[where]))
+        sizes = np.array([n for _, n, _ in owner], np.int64)
+        rows = np.repeat(np.array([r for r, _, _ in owner], np.int64), sizes)
+        # Rows of one id lie apart: order the stream by page, runs within a row stay together.
+        order = np.argsort(rows, kind="stable")
+        self.back = np.empty_like(order)
+        self.back[order] = np.arange(len(order))
+        self.tokens, self.pages = np.array(tokens, np.int64)[order], rows[order]
+        self.zone = np.repeat(np.array([z for _, _, z in owner], np.int64), sizes)[order]
+
+    def zones(self, at: np.ndarray, least: int) -> np.ndarray:
+        """Of the runs at these positions: 1 wholly in out blocks, 2 partly in an article, 4 wholly in free blocks.
+        A run across zones is no evidence."""
+        within = [np.concatenate([[0], np.cumsum(self.zone == z)]) for z in range(3)]
+        held = [w[at + least] - w[at] for w in within]
+        return (held[0] == least) * 1 + (held[1] > 0) * 2 + (held[2] == least) * 4
+
+    def hashes(self, host: str, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of runs within a page, and the hash of host and run at each."""
+        n = max(0, len(self.tokens) - least + 1)
+        at = np.flatnonzero(self.pages[:n] == self.pages[least - 1 :][:n])
+        word = np.fromiter(map(xxhash.xxh64_intdigest, self.number), np.uint64, len(self.number))
+        out = np.full(len(at), xxhash.xxh64_intdigest(host), np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(least):
+                out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word[self.tokens[at + i]]
+            out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            out ^= out >> np.uint64(29)
+        return at, out.view(np.int64)
+
+
+def part_runs(host: str, ids: list, keys: np.ndarray, pages: list[str], least: int = MIN_RUN) -> tuple[np.ndarray, ...]:
+    """The distinct runs of a part: hash, least and greatest key of their pages, zones. `keys` tells pages by id."""
+    stream = Stream(ids, pages)
+    at, run = stream.hashes(host, least)
+    key = np.array(list(dict(zip(ids, keys.tolist(), strict=True)).values()), np.int64)[stream.pages[at]]
+    found, number = np.unique(run, return_inverse=True)
+    first, last = np.full(len(found), np.iinfo(np.int64).max), np.full(len(found), np.iinfo(np.int64).min)
+    zones = np.zeros(len(found), np.int64)
+    np.minimum.at(first, number, key)
+    np.maximum.at(last, number, key)
+    np.bitwise_or.at(zones, number, stream.zones(at, least))
+    return found, first, last, zones
+
+
+def main_texts(ids: list, pages: list[str], least: int = MIN_RUN, host: str = "", known: np.ndarray | None = None) -> list[str]:
+    """Main text of each page of a host; of a part of one if `known` has the hashes of the host's boilerplate."""
+    stream = Stream(ids, pages)
+    if not len(stream.tokens):
         return [""] * len(pages)
-    sizes = np.array([n for _, n, _ in owner])
-    stream = np.array(tokens, np.int64)
-    rows = np.repeat([r for r, _, _ in owner], sizes)
-    zone = np.repeat([{"out": 0, "article": 1, "free": 2}[z] for _, _, z in owner], sizes)
-    # Rows of one id lie apart: order the stream by page, runs within a row stay together.
-    order = np.argsort(rows, kind="stable")
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    rank, again = repeated_runs(stream[order], rows[order], least)
-    # How many tokens of the run at each position lie in each zone; a run across zones is no evidence.
-    at = np.flatnonzero(again)
-    within = [np.concatenate([[0], np.cumsum(zone[order] == z)]) for z in range(3)]
-    held = [w[at + least] - w[at] for w in within]
-    out_, article, free = (np.zeros(len(stream) + 1, bool) for _ in range(3))
-    out_[rank[at[held[0] == least]]] = True
-    article[rank[at[held[1] > 0]]] = True
-    free[rank[at[held[2] == least]]] = True
-    boiler = again & (out_[rank] | (free[rank] & ~article[rank]))
-    covered = np.zeros(len(stream) + least, np.int64)
-    np.add.at(covered, np.flatnonzero(boiler), 1)
-    np.add.at(covered, np.flatnonzero(boiler) + least, -1)
-    covered = (np.cumsum(covered)[: len(stream)] > 0)[back]
+    if known is None:
+        rank, again = repeated_runs(stream.tokens, stream.pages, least)
+        at = np.flatnonzero(again)
+        zones = np.zeros(len(stream.tokens) + 1, np.int64)
+        np.bitwise_or.at(zones, rank[at], stream.zones(at, least))
+        at = at[((zones[rank[at]] & 1) > 0) | ((zones[rank[at]] & 6) == 4)]
+    else:
+        at, run = stream.hashes(host, least)
+        at = at[np.isin(run, known)]
+    covered = np.zeros(len(stream.tokens) + least, np.int64)
+    np.add.at(covered, at, 1)
+    np.add.at(covered, at + least, -1)
+    covered = (np.cumsum(covered)[: len(stream.tokens)] > 0)[stream.back]
+    cut, words = stream.cut, stream.words
 
     texts, at, block = [], 0, 0
     for blocks in cut:
@@ -217,14 +260,33 @@ def extract_text(
     read = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), host.alias("host"))
     heavy = read.groupBy("host").agg(F.sum(F.octet_length("html")).alias("size")).where(F.col("size") > part_bytes)
     heavy = keep(heavy.select("host", F.ceil(F.col("size") / part_bytes).alias("parts")), "html-hosts")
-    heavy = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
-    placed = read.join(heavy, "host", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
+    n_heavy = heavy.count()
+    heavy = F.broadcast(heavy) if n_heavy <= BROADCAST_ROWS else heavy
+    kind = pages.schema[id_col].dataType.simpleString()
+    schema = f"id {kind}, url string, text string, n_chars long"
 
-    def extract(table: pa.Table) -> pa.Table:
-        texts = main_texts(table["id"].to_pylist(), table["html"].to_pylist())
+    def texts(table: pa.Table, host: str = "", known: np.ndarray | None = None) -> pa.Table:
+        texts = main_texts(table["id"].to_pylist(), table["html"].to_pylist(), host=host, known=known)
         return pa.table({"id": table["id"], "url": table["url"], "text": pa.array(texts, pa.string()), "n_chars": pa.array(list(map(len, texts)), pa.int64())})
 
-    kind = pages.schema[id_col].dataType.simpleString()
-    found = placed.select("host", "part", "id", "url", "html").groupBy("host", "part").applyInArrow(
-        extract, f"id {kind}, url string, text string, n_chars long")
+    found = read.join(heavy, "host", "left_anti").groupBy("host").applyInArrow(lambda t: texts(t), schema)
+    if n_heavy:
+        page = F.xxhash64("id")
+        placed = read.join(heavy, "host").withColumn("page", page).withColumn("part", F.pmod(page, "parts"))
+        placed = placed.select("host", "part", "page", "id", "url", "html")
+
+        def runs_of(table: pa.Table) -> pa.Table:
+            host, part = table["host"][0].as_py(), table["part"][0].as_py()
+            found = part_runs(host, table["id"].to_pylist(), table["page"].to_numpy(), table["html"].to_pylist())
+            n = len(found[0])
+            return pa.table({"host": pa.array([host] * n, pa.string()), "part": pa.array([part] * n, pa.int64())} | dict(zip(("run", "first", "last", "zones"), found, strict=True)))
+
+        runs = keep(placed.groupBy("host", "part").applyInArrow(
+            runs_of, "host string, part long, run long, first long, last long, zones long"), "html-runs")
+        whole = runs.groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.bit_or("zones").alias("zones"))
+        boiler = keep(whole.where("first < last and (zones & 1 > 0 or zones & 6 = 4)").select("run"), "html-boilerplate")
+        boiler = F.broadcast(boiler) if boiler.count() <= BROADCAST_ROWS else boiler
+        back = runs.select("host", "part", "run").join(boiler, "run", "left_semi")
+        found = found.unionByName(placed.groupBy("host", "part").cogroup(back.groupBy("host", "part")).applyInArrow(
+            lambda key, t, known: texts(t, key[0].as_py(), known["run"].to_numpy()), schema))
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")

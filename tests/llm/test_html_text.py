@@ -64,3 +64,22 @@ def test_query_and_odd_tables(spark):
     odd = spark.createDataFrame([(1, None, None, 0), (1, None, "x", 0), (None, "//h", "<p>y", 0), (2, "http://U@H:1/", "z" * 100_000, 0)], "page_id long, url string, html string, text int")
     assert sorted(r.n_chars for r in html_text.extract_text(odd, part_bytes=50).collect()) == [0, 1, 1, 100_000]
     assert html_text.extract_text(odd.limit(0)).collect() == []
+
+
+def test_parts_of_a_host_share_their_repeats(spark):
+    rng = random.Random(9)
+    pages = []
+    for i in range(60):
+        own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+        pair = " ".join(f"pair{i // 2}x{k}" for k in range(12))  # stands on two pages only
+        body = f"<div>{own}</div><div>{pair}</div>"
+        pages.append(_page(f"<article><p>{own}</p><p>{pair}</p></article>") if i % 10 == 0 else body)
+    rows = [(i, "http://h/x", p) for i, p in enumerate(pages)] + [(5, "http://h/y", pages[5])] + [(900 + i, "http://small/", p) for i, p in enumerate(pages[1:3])]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def texts(**options):
+        return sorted((r.page_id, r.url, r.text) for r in html_text.extract_text(docs, **options).collect())
+
+    whole = texts()
+    assert texts(part_bytes=1000) == whole
+    assert not any("pair1x" in t for i, _, t in whole if i < 900) and any("pair0x" in t for _, _, t in whole)
