@@ -1,7 +1,8 @@
 """Main text of web pages: structure first, then a suffix array over the pages of a host.
 
 1. A page is cut into blocks between block-level tags. Each block has a zone: `out` (menus, page headers, footers,
-   sidebars, notices, adverts, forms, reader comments, told by element, class, id or role), `article` (inside
+   sidebars, notices, adverts, forms, reader comments, told by element or by the head word of a class, id or role;
+   html, body, main and the outermost article are never out by such a word), `article` (inside
    an article or main element) or `free` (the rest of a page).
 2. The pages of a host are concatenated to one token stream. Its suffixes are ranked by their first MIN_RUN tokens
    (prefix doubling, so equal ranks are equal runs); a substring of that length or longer that stands on two
@@ -54,6 +55,14 @@ _MARKS = frozenset(
     "sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 _IN_ARTICLE = frozenset(("header", "alert"))
+# Elements that marks do not touch (nor the outermost article), words that turn a mark into a remark on the
+# layout (has-sidebar), and words that may follow a mark; after those of the second list, all words must be marks.
+_UNMARKED = frozenset(("html", "body", "main"))
+_REMARKS = frozenset("has have no not with without hide hidden show enable enabled disable disabled".split())
+_TAILS = frozenset(
+    "area bar block bottom box button buttons form icons item items left link links list message panel post posts right section slot text top unit".split()
+)
+_WRAPS = frozenset("container content holder inner outer wrap wrapper".split())
 
 _DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<![^>]*>|<\?[^>]*>", re.S | re.I)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^<>]*)(?:>|\Z)""")
@@ -62,11 +71,22 @@ _HIDDEN = re.compile(r"""\shidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|displa
 _BREAKS = re.compile(r"[^0-9a-z]+")
 
 
+def _mark(name: str) -> str | None:
+    """The mark that a class, id or role is: its head word, wherever it stands alone or as in site-footer or ad-box-2."""
+    parts = [w for w in _BREAKS.split(name.split("--")[0]) if w]
+    if not _REMARKS.isdisjoint(parts):
+        return None
+    wrapped = False
+    while len(parts) > 1 and parts[-1] not in _MARKS and (parts[-1] in _TAILS or parts[-1] in _WRAPS or parts[-1].isdigit()):
+        wrapped |= parts.pop() in _WRAPS
+    if not parts or parts[-1] not in _MARKS or (wrapped and not _MARKS.issuperset(parts)):
+        return None
+    return parts[-1]
+
+
 def _marks(attributes: str) -> set[str]:
-    found: set[str] = set()
-    for m in _MARKED.finditer(attributes):
-        found.update(_BREAKS.split((m[1] or m[2] or m[3] or "").lower()))
-    return found & _MARKS
+    names = (n for m in _MARKED.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split())
+    return {mark for n in names if (mark := _mark(n))}
 
 
 def blocks_of(page: str) -> list[tuple[str, str]]:
@@ -107,7 +127,8 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
                     pass
             above = stack[-1] if stack else (name, False, False, False)
             inside = above[2] or name in ("article", "main")
-            marks = _marks(attributes) if attributes else set()
+            spared = name in _UNMARKED or (name == "article" and not above[2])
+            marks = _marks(attributes) if attributes and not spared else set()
             if inside:
                 marks = marks - _IN_ARTICLE
             own = name in _OUT or (name == "header" and not inside) or bool(marks) or bool(attributes and _HIDDEN.search(attributes))

@@ -83,3 +83,16 @@ def test_parts_of_a_host_share_their_repeats(spark):
     whole = texts()
     assert texts(part_bytes=1000) == whole
     assert not any("pair1x" in t for i, _, t in whole if i < 900) and any("pair0x" in t for _, _, t in whole)
+
+
+def test_remarks_on_the_layout_are_no_marks():
+    text = "<p>The whole main text</p>"
+    for page in (
+        f"<body class='has-sidebar'>{text}</body>", f"<body class='sidebar'>{text}</body>", f"<html id='ad'><body>{text}</body></html>",
+        f"<div class='content with-sidebar'>{text}</div>", f"<main class='site-main no-sidebar'>{text}</main>",
+        f"<article class='post has-comments'>{text}</article>", f"<article class='comments'>{text}</article>",
+        f"<div class='content-sidebar-wrap'>{text}</div>", f"<div class='layout--sidebar'>{text}</div>", f"<div class='search-engine-basics'>{text}</div>",
+    ):
+        assert html_text.main_texts([1], [page]) == ["The whole main text"], page
+    for name in ("sidebar", "site-footer", "cookie_banner", "ad-container", "ad-box-2", "widget__nav", "share-buttons", "related-posts", "x sidebar--dark"):
+        assert html_text.main_texts([1], [f"<div class='{name}'>gone</div>{text}"]) == ["The whole main text"], name
