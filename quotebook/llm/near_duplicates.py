@@ -139,10 +139,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, ngram: int, trees: int
 
 def _verify(table: pa.Table, threshold: float) -> pa.Table:
     """Links within one block pair: for each class the rows it is linked to, and its root among these classes."""
+    # Two different blocks compare across only, also where one of them has no class: (slot, slot) counts the rest.
+    crossed = any(table[a][0].as_py() != table[b][0].as_py() for a, b in (("low", "high"), ("slot1", "slot2")))
     ids, first = np.unique(table["set"].to_numpy(), return_index=True)
     table = table.take(pa.array(first))
     left = np.array(table["left"].to_pylist(), bool)
-    crossed = not (left.all() or not left.any())
     weight = table["weight"].to_numpy()
     data = [np.frombuffer(b.as_buffer(), np.uint64) for b in table["shingles"].combine_chunks()]
     sizes = np.array([len(d) for d in data])

@@ -101,3 +101,13 @@ def test_repeated_rows_and_empty_table(spark):
     assert sum(r.kept for r in got) == 2 and {(r.doc_id, r.class_id, r.n_links) for r in got} == {(1, 1, 3), (None, 1, 3), (2, 2, 0)}
     assert near.drop_near_copies(docs).count() == 2
     assert near.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_empty_slots_count_no_link_twice(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", 100)
+    rng, rows = random.Random(5), []
+    for g in range(24):
+        words = [f"g{g}w{k}" for k in range(150)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, _edited(rng, words, 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(near.near_duplicates(docs)) == _expected(rows)
