@@ -1,11 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by banded MinHash LSH with exact verification.
 
 1. Each text becomes the set of its five-word shingles (hashed to 64 bits). Equal sets are one class from here
    on, however many rows it has.
-2. A class has a label in each of TREES tries: a sequence of MinHash values. Two classes of similarity s share a
-   prefix of length k in some trie with probability 1 - (1 - s^k)^TREES. Starting from the full depth, the
-   prefix that must be shared is shortened until this reaches the target recall at the threshold.
-3. Classes that meet in a trie node are linked to the node's least class; the connected components of these links
+2. This is banded LSH, not an LSH forest: a class has TREES bands of MinHash values, all of one length, and no trie
+   is walked. Two classes of similarity s agree in some band of length k with probability 1 - (1 - s^k)^TREES. The
+   length is fixed before the data is seen: the greatest, up to DEPTH, that reaches the target recall at the threshold.
+3. Classes that agree in a band are linked to the least class of that value; the connected components of these links
    hold all candidate pairs.
 4. The sets of a component meet once for each pair of blocks: blocks hold a bounded number of classes and
    shingles and are formed by size, since sets of Jaccard similarity t differ in size by at most 1/t, so only
