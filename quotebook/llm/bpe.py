@@ -5,8 +5,9 @@ A text is cut at every single space. In a byte-level vocabulary a space belongs
 other. This does not hold where blanks meet (two spaces, a space between other white space) or where the
 text spells a special token; such texts go to the tokenizer whole.
 
-A piece that is not cached is a word, a word and a mark, or is cut into pre-tokens by their pattern; words and
-pre-tokens never seen by the worker reach the tokenizer, in batches.
+A piece that is not cached is a word, a word and a mark, or is cut into pre-tokens by their pattern; each of them
+goes through the merge table by itself (``merges``). Texts that may not be cut, and pieces whose characters may be
+classed differently, reach the tokenizer. The cache has two generations: what was used since the last change stays.
 """
 
 from __future__ import annotations
@@ -20,19 +21,19 @@ import numpy as np
 import pyarrow as pa
 import regex
 
+from quotebook.llm.merges import piece_encoder
+
 # One process encodes one stream; Spark already runs one worker per core.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # The pre-token pattern of byte-level vocabularies.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # Up to this code point the pattern library and the tokenizer class every character alike (tested).
-_UNSURE = re.compile("[^\x00-՗]")
+UNSURE = re.compile("[^\x00-՗]")
 _BLANKS_MEET = re.compile(r"  |\s \s")
 
 BATCH_CHARS = 1_000_000
-MAX_PIECES = 1_000_000
-MAX_WORDS = 1_200_000
-MAX_PRE_TOKENS = 200_000
+MAX_PIECES = 600_000
 # Punctuation that most often ends a word.
 ENDS = ".,;:!?"
 
@@ -53,6 +54,7 @@ class Vocabulary:
 
             self._processor = sentencepiece.SentencePieceProcessor(model_file=path)
             self.by_piece, self.special, self.size = False, [], self._processor.get_piece_size()
+            self.merge = None
             return
         from tokenizers import Tokenizer
 
@@ -69,9 +71,13 @@ class Vocabulary:
             and pre.get("use_regex", True)
             and not pre.get("add_prefix_space")
         )
+        self.merge = (self.by_piece and piece_encoder(spec)) or self._encode_one
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.size = self._tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def _encode_one(self, piece: str) -> list[int]:
+        return self._tokenizer.encode(piece, add_special_tokens=False).ids
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not texts:
             return []
@@ -90,8 +96,8 @@ class PieceCache:
         self._sum = b"".join if ids else sum
         self._known = known or {}
         self._pieces: dict[str, object] = dict(self._known)
-        self._words: dict[str, object] = {}
-        self._pre_tokens: dict[str, object] = {}
+        self._older: dict[str, object] = {}
+        self._marks: dict[str, object] = {}
 
     def _as_bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -107,39 +113,27 @@ class PieceCache:
         """Hold the values of these pieces, each as it stands after a space."""
         missing = needed.difference(self._pieces)
         if len(self._pieces) + len(missing) > MAX_PIECES:
-            self._pieces = dict(self._known)
+            self._older, self._pieces = self._pieces, dict(self._known)
             missing = needed.difference(self._pieces)
-        words = {p for p in missing if p.isalpha()}
-        ended: dict[str, str] = {}
-        odd: dict[str, list[str]] = {}
-        for piece in missing.difference(words):
-            word = piece[:-1]
-            unsure = _UNSURE.search(piece)
-            if not unsure and word.isalpha() and piece[-1] in ENDS:
-                ended[piece] = word
+        pieces, older, merge, value = self._pieces, self._older, self.vocabulary.merge, self._value
+        unsure: list[str] = []
+        for piece in missing:
+            if piece in older:
+                pieces[piece] = older[piece]
+            elif UNSURE.search(piece):
+                unsure.append(piece)
+            elif piece.isalpha():
+                pieces[piece] = value(merge(" " + piece))
+            elif piece[:-1].isalpha() and piece[-1] in ENDS:
+                pieces[piece] = value(merge(" " + piece[:-1])) + self._mark(piece[-1])
             else:
-                odd[piece] = [" " + piece] if unsure else PRE_TOKEN.findall(" " + piece)
-        asked = words.union(ended.values())
-        unknown = asked.difference(self._words)
-        if len(self._words) + len(unknown) > MAX_WORDS:
-            self._words, unknown = {}, asked
-        self._store(self._words, list(unknown), " ")
-        if len(self._pre_tokens) > MAX_PRE_TOKENS:
-            self._pre_tokens = {}
-        new = {t for tokens in odd.values() for t in tokens}.union(ENDS).difference(self._pre_tokens)
-        self._store(self._pre_tokens, list(new), "")
-        self._pieces.update((w, self._words[w]) for w in words)
-        for piece, word in ended.items():
-            self._pieces[piece] = self._words[word] + self._pre_tokens[piece[-1]]
-        get = self._pre_tokens.__getitem__
-        for piece, tokens in odd.items():
-            self._pieces[piece] = self._sum(map(get, tokens))
-
-    def _store(self, into: dict[str, object], keys: list[str], before: str) -> None:
-        for at in range(0, len(keys), 10_000):
-            part = keys[at : at + 10_000]
-            values = map(self._value, self.vocabulary.encode([before + k for k in part]))
-            into.update(zip(part, values, strict=True))
+                pieces[piece] = self._sum([value(merge(t)) for t in PRE_TOKEN.findall(" " + piece)])
+        pieces.update(zip(unsure, map(value, self.vocabulary.encode([" " + p for p in unsure])), strict=True))
+
+    def _mark(self, mark: str) -> object:
+        if mark not in self._marks:
+            self._marks[mark] = self._value(self.vocabulary.merge(mark))
+        return self._marks[mark]
 
     def _some(self, texts: list[str]) -> list:
         whole = [i for i, t in enumerate(texts) if self._whole(t)]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotebook.llm.alignment import align
 from quotebook.llm.catalog import ORACLES, query, table
 from quotebook.llm.decontamination import contamination
 from quotebook.llm.exact_dedup import find_copies
 from quotebook.llm.html_text import extract_text
+from quotebook.llm.merkle import folded, manifest, proof_hash
 from quotebook.llm.near_duplicates import near_duplicates
 from quotebook.llm.packing import pack
 from quotebook.llm.quality import classify
@@ -16,6 +18,7 @@ from quotebook.llm.secrets import KINDS, find_secrets, written
 from quotebook.llm.sharding import assign_shards
 from quotebook.llm.token_counts import count_tokens
 from quotebook.llm.toxicity import score_toxicity
+from quotebook.llm.vector_packing import vector_pack
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
@@ -128,3 +131,84 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, url, text, n_chars per page."""
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+def tampered(text: str = "text", id_col: str = "doc_id") -> Column:
+    """The text without line ends where 2 divides the checksum of the id, else as it is."""
+    struck = F.crc32(F.col(id_col).cast("string").cast("binary")) % 2 == 0
+    return F.when(struck, F.translate(text, "\n", "")).otherwise(F.col(text))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified per document, some texts being tampered with."""
+    proofs = manifest(table(spark, sf_dir, "documents"), presented={"text": tampered()})
+    return proofs.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_hash().alias("proof_sha256"), folded().alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _hashed(*values: str) -> str:
+    coded = [f"coalesce(strlen({v}::VARCHAR)::VARCHAR || ':' || {v}::VARCHAR, '-')" for v in values]
+    return f"sha256({' || '.join(coded)})"
+
+
+def _beside(level: str, group: str) -> str:
+    """Digests left and right of each node in its run of three."""
+    return f"""SELECT *, coalesce(lag(h, 2) OVER w, '') || coalesce(lag(h, 1) OVER w, '') AS l,
+         coalesce(lead(h, 1) OVER w, '') || coalesce(lead(h, 2) OVER w, '') AS r
+  FROM {level} WHERE n > 1 WINDOW w AS (PARTITION BY {group}lvl, i // 3 ORDER BY i)"""
+
+
+# The checksum's bits are taken one by one: a byte is added, then shifted out eight times.
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE base AS (
+  SELECT *, CASE WHEN list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda ch: list_concat([ascii(ch)::BIGINT], list_transform(range(8), lambda k: (-1)::BIGINT))))),
+      lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, 3988292384 * (c & 1)) END) % 2 = 1
+    THEN replace(text, chr(10), '') ELSE text END AS claimed FROM documents),
+leaves AS (
+  SELECT doc_id, source, {_hashed('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+         {_hashed('doc_id', 'source', 'lang', 'n_chars', 'claimed')} AS shown FROM base),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves),
+low AS (
+  SELECT source AS g, 0 AS lvl, i, n, leaf AS h FROM ranked
+  UNION ALL SELECT g, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY g, lvl, i // 3, n),
+subs AS (
+  SELECT g, lvl AS depth, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS lvl, i, n, subroot AS h FROM subs
+  UNION ALL SELECT lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY lvl, i // 3, n),
+low_sib AS ({_beside('low', 'g, ')}),
+high_sib AS ({_beside('high', '')}),
+fold AS (
+  SELECT source AS g, i AS leaf_i, 0 AS lvl, i, shown AS h, '' AS proof FROM ranked
+  UNION ALL SELECT f.g, f.leaf_i, f.lvl + 1, f.i // 3, sha256(s.l || f.h || s.r), f.proof || s.l || s.r
+  FROM fold f JOIN low_sib s ON f.g IS NOT DISTINCT FROM s.g AND f.lvl = s.lvl AND f.i = s.i),
+mid AS (
+  SELECT f.g, f.leaf_i, s.subroot, s.i, f.h, f.proof FROM fold f JOIN subs s ON f.g IS NOT DISTINCT FROM s.g AND f.lvl = s.depth),
+rise AS (
+  SELECT g, leaf_i, subroot, 0 AS lvl, i, h, proof FROM mid
+  UNION ALL SELECT f.g, f.leaf_i, f.subroot, f.lvl + 1, f.i // 3, sha256(s.l || f.h || s.r), f.proof || s.l || s.r
+  FROM rise f JOIN high_sib s ON f.lvl = s.lvl AND f.i = s.i),
+top AS (SELECT lvl, h AS root FROM high WHERE n = 1)
+SELECT k.doc_id, k.leaf, f.subroot, t.root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.root AS verified
+FROM ranked k JOIN rise f ON k.source IS NOT DISTINCT FROM f.g AND k.i = f.leaf_i JOIN top t ON f.lvl = t.lvl
+"""
+
+
+@query
+def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in a sequence of at most 2048 ids."""
+    pieces = vector_pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 per document."""
+    return align(table(spark, sf_dir, "documents"), with_groups=False).drop("groups")

@@ -46,8 +46,6 @@ def test_odd_and_random_texts(spark):
 
 def test_caches_that_overflow_change_no_value(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_PIECES", 50)
-    monkeypatch.setattr(bpe, "MAX_WORDS", 50)
-    monkeypatch.setattr(bpe, "MAX_PRE_TOKENS", 50)
     monkeypatch.setattr(bpe, "BATCH_CHARS", 300)
     rng = random.Random(2)
     texts = [" ".join(f"w{rng.randrange(200)}," for _ in range(20)) for _ in range(60)]
