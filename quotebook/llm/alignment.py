@@ -38,7 +38,7 @@ from quotebook.llm.bpe import UNSURE, PRE_TOKEN, texts_of
 from quotebook.llm.merges import byte_alphabet, vocabulary_ranks
 from quotebook.llm.staging import keep
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 2_000_000
 #: Groups with more links than this are counted by distinct ids first.
 LINKS_LISTED = 64
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -174,14 +174,11 @@ def _links(a: tuple, b: tuple, n_groups: int, base: int) -> tuple[np.ndarray, np
     return ga[left], ia[left].astype(np.int64) * base + ib[right], na[left] * nb[right]
 
 
-def _written(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-    """`a1,a2|b1;a3|b2,b3` for the groups that end after these tokens."""
-    ta, tb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    parts, i, j = [], 0, 0
-    for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
-        parts.append(",".join(ta[i:x]) + "|" + ",".join(tb[j:y]))
-        i, j = x, y
-    return ";".join(parts)
+def _decimal(ids: pa.Array, until: np.ndarray) -> pa.Array:
+    """The ids of each group, comma-joined; groups end after these tokens."""
+    offsets = np.zeros(len(until) + 1, np.int32)
+    offsets[1:] = until + 1
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), ids.cast(pa.string())), ",")
 
 
 def align_chunk(texts: list[str], a: ByteSide | PieceSide, b: ByteSide | PieceSide, with_groups: bool) -> dict[str, pa.Array]:
@@ -221,19 +218,14 @@ def align_chunk(texts: list[str], a: ByteSide | PieceSide, b: ByteSide | PieceSi
     def on_first(values: pa.Array) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array([0] + [len(values)] * n, pa.int32()), values)
 
-    groups, hashes = [], []
-    cut = np.searchsorted(doc_of_group, np.arange(n + 1))
-    at_a, at_b = np.asarray(ids_a.offsets), np.asarray(ids_b.offsets)
-    for i in range(n):
-        own = slice(cut[i], cut[i + 1])
-        mine, theirs = flat_a[at_a[i] : at_a[i + 1]], flat_b[at_b[i] : at_b[i + 1]]
-        text = _written(mine, theirs, last_a[own] - at_a[i], last_b[own] - at_b[i])
-        groups.append(text if with_groups else None)
-        hashes.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+    cut = np.searchsorted(doc_of_group, np.arange(n + 1)).astype(np.int32)
+    written = pc.binary_join_element_wise(_decimal(ids_a.flatten(), last_a), _decimal(ids_b.flatten(), last_b), "|")
+    groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(cut), written), ";")
+    hashes = [hashlib.sha256(text).hexdigest() if text else "" for text in groups.cast(pa.binary()).to_pylist()]
     return {
         "n_a": pc.list_value_length(ids_a).cast(pa.int64()), "n_b": pc.list_value_length(ids_b).cast(pa.int64()),
         "n_groups": pa.array(np.diff(cut).astype(np.int64)), "n_links": pa.array(n_links),
-        "groups_sha256": pa.array(hashes), "groups": pa.array(groups, pa.string()),
+        "groups_sha256": pa.array(hashes), "groups": groups if with_groups else pa.nulls(n, pa.string()),
         "places": listed("place", pa.int32()), "times": listed("times", pa.int64()),
         "pairs": on_first(partial["pair"].combine_chunks()), "docs": on_first(partial["count_all"].combine_chunks()),
     }
