@@ -12,7 +12,8 @@ from quotebook.functions import vocabulary as v
 from quotebook.operators import listings as ops
 from quotebook.operators import resolve
 from quotebook.operators.candidates import ALL_TIERS, canonical_names
-from quotebook.session import stage
+from quotebook.plans.buckets import kept_token_index, merge_batch
+from quotebook.session import scratch_path, stage
 
 
 def _names(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -95,6 +96,18 @@ def token_index(spark, sf):
     return resolve.token_index(canon).select("token", F.col("n_records").cast("bigint").alias("n_records"), "slug")
 
 
+@query(
+    f"""WITH {duckdb_views('fx_primary_raw')}, i AS (SELECT slug, ord + 1000000000000 * (ord % 3) AS ord, unnest({duck.tokens('company')}) AS token FROM fx_primary_raw)
+SELECT token, count(*) AS n_records, arg_min(slug, ord) AS slug FROM i GROUP BY token"""
+)
+def token_index_kept(spark, sf):
+    """The index as the stored book keeps it, after three batches that hold all listings between them."""
+    root, listings = scratch_path(spark, "book"), ops.normalize_listings(view(spark, sf, "fx_primary_raw"))
+    for batch in range(3):
+        merge_batch(spark, root, listings.filter(F.col("ord") % 3 == batch), F.lit("2024-01-01").cast("timestamp"))
+    return kept_token_index(spark, root).select("token", F.col("n_records").cast("bigint").alias("n_records"), "slug")
+
+
 _HINTED = f"""{duckdb_views('fx_primary_raw', 'fx_secondary_raw')},
 h AS (SELECT DISTINCT company, {duck.identity(duck.tokens('company'))} AS ids FROM fx_secondary_raw),
 ht AS (SELECT company, len(ids) AS n, unnest(ids) AS t FROM h),

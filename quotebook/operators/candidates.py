@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotebook.functions.names import NO_TOKENS, name_tokens, name_variants, normalize_for_match, short_keys
+from quotebook.functions.names import NO_TOKENS, identity_tokens, name_tokens, name_variants, normalize_for_match, short_keys
 from quotebook.functions.vocabulary import (
     MIN_OVERLAP,
     TIER_EQUAL,
@@ -161,6 +161,29 @@ def _keys(features: DataFrame, key: str, tiers: tuple, limits: MatchLimits, seco
     )
 
 
+def change_keys(names: DataFrame, *hints: str, secondary: bool, limits: MatchLimits = MatchLimits()) -> DataFrame:
+    """(name, k): a secondary name can match another or fewer primary names than before only if it shares a key with
+    a primary name that is new, changed or gone. ``names`` has the hint columns, the first one being the name.
+
+    Keys are the match keys; the tokens, where one of the two sides has more of them than keys are listed for; and
+    the identity tokens, which the fallbacks look up.
+    """
+    features = variant_features(names.withColumn("name", F.col(hints[0])), "name", *hints)
+    tiers = _keys(features, "name", ALL_TIERS, limits, secondary).select("name", F.concat(F.col("tier").cast("string"), "g").alias("k"))
+    # "c": tokens of canonical names, met by long secondary ones; "C": tokens of long canonical names, met by all.
+    every, long_only = ("C", "c") if secondary else ("c", "C")
+    long = f"size(tokens) > {limits.subset_tokens}"
+    tokens = features.selectExpr(
+        "name",
+        f"explode(concat(transform(tokens, t -> concat('{every}', t)), "
+        f"if({long}, transform(tokens, t -> concat('{long_only}', t)), {NO_TOKENS}))) AS k",
+    )
+    parts = [identity_tokens(name_tokens(h)) if secondary else name_tokens(h) for h in hints]
+    looked_up = f"concat({', '.join(f'coalesce({p}, {NO_TOKENS})' for p in parts)})"
+    identity = names.selectExpr(f"{hints[0]} AS name", f"explode(transform({looked_up}, t -> concat('i', t))) AS k")
+    return tiers.unionByName(tokens).unionByName(identity).distinct()
+
+
 # --- groups with many canonical names ----------------------------------------------------------
 
 

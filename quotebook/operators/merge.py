@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotebook.operators.resolve import resolve_entities, source_key
+from quotebook.operators.candidates import MatchLimits, change_keys
+from quotebook.operators.resolve import alias_lookup, resolve_entities, source_key
 from quotebook.schemas import BOOK_FIELDS, BOOK_SCHEMA, KEPT_ON_MERGE, field_type
 from quotebook.session import stage
 
@@ -168,14 +169,17 @@ def leftover_matches(
     primary: str = "primary",
     secondary: str = "secondary",
     settled: DataFrame | None = None,
+    leftovers: DataFrame | None = None,
     **kw,
 ) -> DataFrame:
     """Secondary records of the book that denote another, primary record now.
 
-    ``settled`` lists names (company, short_name) already known to denote none; they are not
+    ``leftovers`` are the secondary records to look at (all of the book's unless given); then the book may lack
+    what ``resolve_entities`` does not read. ``settled`` lists names (company, short_name) already known to denote none; they are not
     resolved again.
     """
-    leftovers = book.filter(F.col("source") == secondary)
+    if leftovers is None:
+        leftovers = book.filter(F.col("source") == secondary)
     if settled is not None:
         keys = settled.select(source_key().alias("src")).distinct()
         leftovers = leftovers.withColumn("src", source_key()).join(keys, "src", "left_anti").drop("src")
@@ -193,6 +197,39 @@ def leftover_matches(
     )
 
 
+def changed_names(old: DataFrame, new: DataFrame, primary: str = "primary") -> DataFrame:
+    """(canon): names of primary records that came, went, or stand for another record or place in the order."""
+    def known(names: DataFrame) -> DataFrame:
+        return names.filter((F.col("source") == primary) & (F.col("company") != "")).select(
+            F.col("company").alias("canon"), "slug", "ord"
+        )
+
+    before, after = known(old), known(new)
+    return before.exceptAll(after).unionByName(after.exceptAll(before)).select("canon").distinct()
+
+
+def affected_leftovers(
+    leftovers: DataFrame,
+    changed: DataFrame,
+    aliases: DataFrame | None = None,
+    limits: MatchLimits = MatchLimits(),
+) -> DataFrame:
+    """(slug) of the leftovers (slug, company, short_name) whose match may differ after these primary names changed.
+
+    A leftover that matched nothing before still matches nothing unless it shares a key with a changed name.
+    """
+    hints = leftovers.filter(F.col("company") != "").select(
+        "slug", "company", F.coalesce(F.when(F.col("short_name") != "", F.col("short_name")), F.col("company")).alias("short_name")
+    )
+    columns = ["company", "short_name"]
+    if aliases is not None:
+        hints, columns = alias_lookup(hints, aliases), [*columns, "mapped_name"]
+    theirs = change_keys(changed, "canon", secondary=False, limits=limits).select("k").distinct()
+    keys = change_keys(hints.select(*columns).distinct(), *columns, secondary=True, limits=limits)
+    met = keys.join(theirs, "k", "left_semi").select(F.col("name").alias("company")).distinct()
+    return hints.join(met, "company", "left_semi").select("slug")
+
+
 def reconcile_leftovers(book: DataFrame, matches: DataFrame, prefer: str = "order") -> DataFrame:
     """Merge leftover records into their matches and drop them. ``updated_at`` stays."""
     return drop_reconciled(merge_backup(book, matches, prefer=prefer), matches)

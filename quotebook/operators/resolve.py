@@ -189,14 +189,21 @@ def unique_token_match(hints: DataFrame, canon: DataFrame, limits: MatchLimits =
     )
 
 
-def unique_prefix_match(hints: DataFrame, canon: DataFrame) -> DataFrame:
+def index_of_postings(postings: DataFrame) -> DataFrame:
+    """The token index from kept postings (token, canon, slug, ord), one per record and token."""
+    return postings.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n_records"), F.min_by("slug", "ord").alias("slug"), F.min_by("canon", "ord").alias("canon")
+    )
+
+
+def unique_prefix_match(hints: DataFrame, canon: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """(src, slug) where one identity token of a name occurs in the index, in a single record,
-    and one of the two normalized names starts with the other."""
+    and one of the two normalized names starts with the other. ``index`` is the token index of ``canon`` if kept."""
     own = hints.select(
         "src", "hint", F.explode(F.expr(identity_tokens(name_tokens("hint")))).alias("token")
     )
     present = (
-        own.join(token_index(canon), "token")
+        own.join(token_index(canon) if index is None else index, "token")
         .groupBy("src")
         .agg(
             F.count(F.lit(1)).alias("n_present"),
@@ -213,7 +220,7 @@ def unique_prefix_match(hints: DataFrame, canon: DataFrame) -> DataFrame:
 
 
 def resolve_names(
-    src: DataFrame, canon: DataFrame, limits: MatchLimits = MatchLimits()
+    src: DataFrame, canon: DataFrame, limits: MatchLimits = MatchLimits(), index: DataFrame | None = None
 ) -> DataFrame:
     """(src, slug, step) for every name that resolves; step 0 is a scored match, 1-4 the
     fallbacks, which apply only to names without any scored candidate. Both inputs are read
@@ -230,7 +237,7 @@ def resolve_names(
             ]))
             return rest.select(asked.alias("a")).select("a.*").filter(F.col("hint") != "")
 
-        for match in (unique_token_match(hints(1), canon, limits), unique_prefix_match(hints(3), canon)):
+        for match in (unique_token_match(hints(1), canon, limits), unique_prefix_match(hints(3), canon, index)):
             found = found.unionByName(match.select("src.src", "slug", "src.step"))
     return found.groupBy("src").agg(F.min_by("slug", "step").alias("slug"), F.min("step").alias("step"))
 
@@ -253,13 +260,16 @@ def resolve_entities(
     aliases: DataFrame | None = None,
     primary: str = "primary",
     limits: MatchLimits = MatchLimits(),
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """Listings with ``matched_slug``: the primary record of the book each one denotes, or null."""
+    """Listings with ``matched_slug``: the primary record of the book each one denotes, or null.
+
+    Of the book only slug, source, company and ord are read. ``index`` is its token index if one is kept."""
     names = source_names(listings)
     src = stage(names if aliases is None else alias_lookup(names, aliases), "secondary-names")
     canon = stage(canonical_names(book, primary), "primary-names")
     resolved = stage(
-        resolve_names(src, canon, limits).select("src", F.col("slug").alias("matched_slug")), "resolved"
+        resolve_names(src, canon, limits, index).select("src", F.col("slug").alias("matched_slug")), "resolved"
     )
     # Written once: its three uses must agree on the names.
     heaviest = src.filter(F.col("n_rows") >= HEAVY_NAME_ROWS).orderBy(F.desc("n_rows"), "src").limit(HEAVY_NAMES)

@@ -1,4 +1,4 @@
-"""The batch job: merge a batch of listings into the book, write the new snapshot, publish."""
+"""The batch job: merge a batch of listings into a book, in memory or stored, and publish it."""
 
 from __future__ import annotations
 
@@ -25,8 +25,9 @@ from quotebook.operators.merge import (
 )
 from quotebook.operators.publish import write_published
 from quotebook.operators.resolve import resolve_entities
+from quotebook.plans.buckets import merge_batch
 from quotebook.session import stage
-from quotebook.sources.book import read_book, versions, write_book
+from quotebook.sources.book import read_book
 
 
 SUMMARY = ("scraped", "inserted", "updated", "removed")
@@ -88,7 +89,6 @@ def run_batch(
     priority: DataFrame | None = None,
     source: str = "all",
     keep_short_name: bool = False,
-    version: int | None = None,
     publish_to: str | None = None,
 ) -> DataFrame:
     """Raw listings of all sources to a new committed version of the book at ``root``.
@@ -102,20 +102,14 @@ def run_batch(
     spark = secondary_raw.sparkSession
     if priority is not None and priority.isEmpty():
         return spark.range(1).select(*[F.lit(0).cast("bigint").alias(c) for c in SUMMARY])
-    if version is None:
-        done = versions(spark, root)
-        version = done[-1] + 1 if done else 0
     # The caller's source choice is applied before any work on the other source.
     listings = normalize_listings(
         filter_source(union_sources(*ours, secondary_raw), source), keep_short_name
     )
     if priority is not None:
         listings = priority_semi_join(listings, priority)
-    result = upsert_stocks(
-        read_book(spark, root, before=version), listings, batch_ts, aliases, batch=version
-    )
-    write_book(result.book, root, version)
+    result = merge_batch(spark, root, listings, batch_ts, aliases)
     if publish_to:
-        write_published(read_book(spark, root, before=version + 1), publish_to)
+        write_published(read_book(spark, root, before=result.version + 1), publish_to)
     return result.summary
 

@@ -1,75 +1,120 @@
-"""The book: versioned parquet snapshots, and readers of its JSON forms."""
+"""The book: versions of hash buckets (see ``versions``), and readers of its JSON forms."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quotebook.functions.names import name_tokens
 from quotebook.functions.text import nonempty
 from quotebook.schemas import BOOK_FIELDS, BOOK_SCHEMA, PUBLISHED_SCHEMA
+from quotebook.session import stage
+from quotebook.sources.versions import (  # noqa: F401  (written_by and retire belong to the book's interface)
+    PREFIX,
+    Part,
+    VersionTaken,
+    commit,
+    describe,
+    fs_of,
+    read_part,
+    retire,
+    versions,
+    written_by,
+)
+
+#: Records per bucket aimed at when a whole book is written.
+ROWS_PER_BUCKET = 500_000
+MIN_BUCKETS = 16
+
+#: What matching needs to know of every record; kept beside the records, so that these need not be read for it.
+NAMES_SCHEMA = T.StructType([BOOK_SCHEMA[c] for c in ("slug", "source", "company", "short_name", "ord")])
+#: One row per token of a primary record's name.
+POSTINGS_SCHEMA = T.StructType(
+    [T.StructField("token", T.StringType()), T.StructField("canon", T.StringType()), BOOK_SCHEMA["slug"], BOOK_SCHEMA["ord"]]
+)
+
+
+def parts_for(n_buckets: int) -> dict[str, Part]:
+    return {
+        "records": Part(BOOK_SCHEMA, "slug", n_buckets),
+        "names": Part(NAMES_SCHEMA, "slug", n_buckets),
+        "postings": Part(POSTINGS_SCHEMA, "token", n_buckets),
+    }
 
-_PREFIX = "version="
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+def empty_book(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], BOOK_SCHEMA)
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions in ascending order: those whose write finished."""
-    fs, hpath = _fs(spark, root)
-    if not fs.exists(hpath):
-        return []
-    found = []
-    for status in fs.listStatus(hpath):
-        name = status.getPath().getName()
-        if name.startswith(_PREFIX) and fs.exists(_fs(spark, f"{root}/{name}/_SUCCESS")[1]):
-            found.append(int(name[len(_PREFIX):]))
-    return sorted(found)
+def newest(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """Number of the newest committed version (older than ``before``)."""
+    usable = [v for v in versions(spark, root) if before is None or v < before]
+    return usable[-1] if usable else None
 
 
-def empty_book(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], BOOK_SCHEMA)
+def read_version(spark: SparkSession, root: str, number: int) -> DataFrame:
+    version = describe(spark, root, number)
+    if version is None:
+        # Written as one folder of files, without buckets.
+        return spark.read.schema(BOOK_SCHEMA).parquet(f"{root}/{PREFIX}{number}")
+    return read_part(spark, root, version, "records", BOOK_SCHEMA)
 
 
 def read_book(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """The newest committed snapshot (older than ``before``); empty if there is none."""
-    usable = [v for v in versions(spark, root) if before is None or v < before]
-    if not usable:
-        return empty_book(spark)
-    return spark.read.schema(BOOK_SCHEMA).parquet(f"{root}/{_PREFIX}{usable[-1]}")
+    number = newest(spark, root, before)
+    return empty_book(spark) if number is None else read_version(spark, root, number)
+
 
+def names_of(records: DataFrame) -> DataFrame:
+    return records.select(*NAMES_SCHEMA.names)
 
-def written_by(spark: SparkSession, root: str, writer: str) -> bool:
-    """Whether a committed version was made by this writer."""
-    fs, pattern = _fs(spark, f"{root}/{_PREFIX}*/_writer-{writer}")
-    found = fs.globStatus(pattern) or []
-    return any(fs.exists(_fs(spark, f"{status.getPath().getParent()}/_SUCCESS")[1]) for status in found)
+
+def postings_of(names: DataFrame, primary: str = "primary") -> DataFrame:
+    """(token, canon, slug, ord) of primary records."""
+    known = names.filter((F.col("source") == primary) & (F.col("company") != ""))
+    return known.select(
+        F.explode(F.expr(name_tokens("company"))).alias("token"), F.col("company").alias("canon"), "slug", "ord"
+    )
 
 
-def write_book(book: DataFrame, root: str, version: int | None = None, writer: str | None = None) -> int:
-    """Write a new snapshot next to the old ones. An already committed version is left alone,
-    so repeating a batch changes nothing; a half-written one is replaced.
+def write_book(
+    book: DataFrame,
+    root: str,
+    version: int | None = None,
+    writer: str | None = None,
+    n_buckets: int | None = None,
+    primary: str = "primary",
+) -> int:
+    """Write a whole snapshot as a new version. An already committed ``version`` is left alone, so repeating a batch
+    changes nothing. Without ``version`` the next free number is taken, also if others write at the same time.
 
-    With ``writer`` the version is marked with that name before it counts as committed.
+    With ``writer`` the version is marked with that name. ``n_buckets`` follows from the number of records unless given.
     """
     spark = book.sparkSession
-    done = versions(spark, root)
-    if version is None:
-        version = done[-1] + 1 if done else 0
-    if version not in done:
-        path = f"{root}/{_PREFIX}{version}"
-        rows = book.select(*BOOK_FIELDS).write.mode("overwrite")
-        if writer is None:
-            rows.parquet(path)
-        else:
-            rows.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
-            for name in (f"_writer-{writer}", "_SUCCESS"):
-                fs, file = _fs(spark, f"{path}/{name}")
-                fs.create(file, True).close()
-    return version
+    if version is not None and version in versions(spark, root):
+        return version
+    book = stage(book.select(*BOOK_FIELDS), "book")
+    if n_buckets is None:
+        n_buckets = MIN_BUCKETS
+        while n_buckets * ROWS_PER_BUCKET < book.count():
+            n_buckets *= 2
+    names = names_of(book)
+    parts = {
+        name: (part, rows, None)
+        for (name, part), rows in zip(parts_for(n_buckets).items(), (book, names, postings_of(names, primary)))
+    }
+    number = version
+    while True:
+        done = versions(spark, root)
+        if version is None:
+            number = done[-1] + 1 if done else 0
+        try:
+            return commit(spark, root, None, parts, writer=writer, number=number)
+        except VersionTaken:
+            if version is not None and version in versions(spark, root):
+                return version
 
 
 def book_from_json(texts: DataFrame) -> DataFrame:
@@ -102,7 +147,7 @@ def import_book_json(spark: SparkSession, path: str) -> DataFrame:
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """Published price rows: a JSON array file or a folder of JSON lines."""
     lines = spark.read.schema(PUBLISHED_SCHEMA)
-    fs, hpath = _fs(spark, path)
+    fs, hpath = fs_of(spark, path)
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
         lines = lines.option("multiLine", True)
     return lines.json(path)

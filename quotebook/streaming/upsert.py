@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quotebook.operators.listings import normalize_listings
-from quotebook.plans.upsert import upsert_stocks
-from quotebook.sources.book import read_book, versions, write_book, written_by
+from quotebook.plans.buckets import merge_batch
+from quotebook.sources.versions import written_by
 
 
 def stream_upsert(
@@ -33,16 +33,7 @@ def stream_upsert(
         writer = f"{stream}-{batch_id}"
         if written_by(spark, root, writer):
             return
-        done = versions(spark, root)
-        version = done[-1] + 1 if done else 0
-        result = upsert_stocks(
-            read_book(spark, root, before=version),
-            normalize_listings(batch, keep_short_name),
-            batch_ts,
-            aliases,
-            batch=version,
-        )
-        write_book(result.book, root, version, writer)
+        merge_batch(spark, root, normalize_listings(batch, keep_short_name), batch_ts, aliases, writer=writer)
 
     return (
         listings.writeStream.foreachBatch(merge)
