@@ -25,7 +25,6 @@ rejected. Other columns of the inputs, whatever their names, are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +39,7 @@ from quotebook.llm.bpe import texts_of
 from quotebook.llm.staging import keep
 
 ORDER = 5
-CHUNK_CHARS = 32 << 20
+CHUNK_CHARS = 16 << 20
 #: Texts are cut into n-grams so many characters at a time (n-grams across the cuts included).
 PIECE_CHARS = 1 << 20
 QUANTILE = 0.99
@@ -218,21 +217,22 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.string())], names=["chunk", "gram"])
 
 
-class Probabilities(dict):
-    """log p of n-grams, worked out once each from the rows of the model that a chunk asked for."""
+def log_probabilities(grams: pa.Array, rows: pa.StructArray, symbols: int) -> dict[str, float]:
+    """log p of a chunk's n-grams of highest order, from the rows of the model that the chunk asked for."""
+    known, own, left = (rows.field(i) for i in range(3))
+    own, left = own.to_numpy(zero_copy_only=False), left.to_numpy(zero_copy_only=False)
+    # What was not found has no own share, and leaves everything as a context.
+    own, left = np.append(own, 0.0), np.append(np.where(left == 0.0, 1.0, left), 1.0)
 
-    def __init__(self, grams: list[str], own: list[float], left: list[float], symbols: int):
-        self._rows = dict(zip(grams, zip(own, left, strict=True), strict=True))
-        self._uniform = 1 / (symbols + 1)
+    def found(part: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.index_in(part, value_set=known), len(known)).to_numpy(zero_copy_only=False)
 
-    def __missing__(self, gram: str) -> float:
-        p = self._uniform
-        for k in range(1, len(gram) + 1):
-            part = gram[-k:]
-            left = self._rows.get(part[:-1], (0.0, 0.0))[1]
-            p = self._rows.get(part, (0.0, 0.0))[0] + (left or 1.0) * p
-        self[gram] = log = math.log(p)
-        return log
+    p = np.full(len(grams), 1 / (symbols + 1))
+    for start in range(ORDER - 1, -1, -1):
+        part = pc.utf8_slice_codeunits(grams, start, ORDER)
+        context = pc.utf8_slice_codeunits(grams, start, ORDER - 1)
+        p = own[found(part)] + left[found(context)] * p
+    return dict(zip(grams.to_pylist(), np.log(p).tolist(), strict=True))
 
 
 def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame:
@@ -244,23 +244,23 @@ def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                ids, langs, good, ends, blob, rows = (batch.column(c)[i] for c in range(6))
-                flat = rows.values
-                fields = ([], [], []) if flat is None else (flat.field(j).to_pylist() for j in range(3))
-                model_ = Probabilities(*fields, symbols)
+                ids, langs, good, ends, blob, own_grams, rows = (batch.column(c)[i] for c in range(7))
+                flat = pa.array([], batch.schema.field(6).type.value_type) if rows.values is None else rows.values
+                model_ = log_probabilities(own_grams.values, flat, symbols)
                 text = zstandard.ZstdDecompressor().decompress(blob.as_py()).decode()
                 stops = ends.values.to_pylist()
                 runs = [text[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
                 log, chars = np.zeros(len(runs)), np.array([len(r) + 1 if r else 0 for r in runs])
                 for grams, numbers, owner in numbered(runs):
-                    logs = np.fromiter(map(model_.__getitem__, grams), np.float64, len(grams))
+                    # A piece's list also has n-grams across documents, which no place refers to.
+                    logs = np.fromiter((model_.get(g, 0.0) for g in grams), np.float64, len(grams))
                     log += np.bincount(owner, weights=logs[numbers], minlength=len(runs))
                 value = np.exp(-log / np.maximum(chars, 1))
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, langs.values, good.values, pa.array(value, mask=chars == 0)],
                     names=["id", "lang", "good", "perplexity"])
 
-    joined = chunks.join(answers, "chunk", "left").select("ids", "langs", "good", "ends", "blob", "rows")
+    joined = chunks.join(answers, "chunk", "left").select("ids", "langs", "good", "ends", "blob", "grams", "rows")
     return joined.mapInArrow(score, f"id {kind}, lang string, good int, perplexity double")
 
 
