@@ -105,17 +105,21 @@ def _pairs(text: Column) -> Column:
     return F.filter(found, lambda p: F.length(p["key"]).between(2, 35) & F.length(p["value"]).between(1, 100))
 
 
-def _last_of_each(pairs: Column) -> Column:
-    def repeated(p: Column, i: Column) -> Column:
-        return F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"])
-
-    return F.filter(pairs, lambda p, i: ~repeated(p, i))
+def _one_of_each(items: Column, name: str, last: bool) -> Column:
+    """Of the items with equal ``name`` the last or first one, by that name: sorted once, neighbours compared."""
+    placed = F.transform(
+        items, lambda x, i: F.struct(x[name].alias("k"), (i if last else -i).alias("i"), x.alias("x"))
+    )
+    ordered = F.sort_array(placed)
+    after = F.concat(F.slice(ordered, F.lit(2), F.size(ordered)), F.array(F.lit(None)))
+    kept = F.filter(F.arrays_zip(ordered.alias("a"), after.alias("b")), lambda z: ~z["a"]["k"].eqNullSafe(z["b"]["k"]))
+    return F.transform(F.filter(kept, lambda z: z["a"].isNotNull()), lambda z: z["a"]["x"])
 
 
 def extract_kv_pairs(pages: DataFrame) -> DataFrame:
     """``key: value`` pairs of the page text, the last value of a repeated key winning."""
     found = pages.select("page_id", _pairs(visible_text(F.col("html"))).alias("pairs"))
-    return found.select("page_id", F.explode(_last_of_each(F.col("pairs"))).alias("p")).select("page_id", "p.key", "p.value")
+    return found.select("page_id", F.explode(_one_of_each(F.col("pairs"), "key", True)).alias("p")).select("page_id", "p.key", "p.value")
 
 
 def _links(pages: DataFrame) -> DataFrame:
@@ -158,17 +162,10 @@ def _documents(html: Column, base_url: str) -> Column:
     )
 
 
-def _first_of_each(documents: Column) -> Column:
-    def seen(d: Column, i: Column) -> Column:
-        return F.exists(F.slice(documents, F.lit(1), i), lambda q: q["url"] == d["url"])
-
-    return F.filter(documents, lambda d, i: ~seen(d, i))
-
-
 def extract_document_links(pages: DataFrame, base_url: str) -> DataFrame:
     """Report links of each page, the first title of a URL winning."""
     found = pages.select("page_id", _documents(F.col("html"), base_url).alias("found"))
-    return found.select("page_id", F.explode(_first_of_each(F.col("found"))).alias("d")).select(
+    return found.select("page_id", F.explode(_one_of_each(F.col("found"), "url", False)).alias("d")).select(
         "page_id", "d.url", "d.title", "d.pos"
     )
 
@@ -199,7 +196,9 @@ def detail_listings(
     # Everything comes from the page's own row: no join, no shuffle.
     read = facts.withColumns({"pairs": _pairs(F.col("text")), "found": _documents(F.col("html"), base_url)})
     document = lambda d: F.struct(d["title"].alias("title"), d["url"].alias("url"))
-    pairs, found = _last_of_each(F.col("pairs")), F.transform(_first_of_each(F.col("found")), document)
+    pairs = _one_of_each(F.col("pairs"), "key", True)
+    # Documents stand in the order of the page: the position is their first field.
+    found = F.transform(F.sort_array(_one_of_each(F.col("found"), "url", False)), document)
     return read.withColumns(
         {
             "extra_data": F.when(F.size(pairs) > 0, F.map_from_entries(pairs)),
