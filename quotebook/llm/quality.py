@@ -5,8 +5,9 @@ character of a text, the spaces between words and the end included, from the fou
 boundaries of words and in the order of the text. Its tables grow with the corpus but slowly, and what is
 gathered from a part of the corpus is its distinct n-grams.
 
-1. Tasks read their texts in chunks: the chunk's distinct n-grams, how often trusted texts have each, and the
-   texts (white space as single spaces), compressed. This table is all that later steps read.
+1. Tasks read their texts in chunks: the chunk's distinct n-grams in sorted order, how often trusted texts have
+   each, and the texts (white space as single spaces), all three compressed. This table is all that later steps
+   read, and it is also what meets the answers in step 3, so it is packed as tightly as it can be.
 2. Counts of the n-grams of trusted texts are summed up by n-gram; continuation counts, discounts and
    interpolation weights of all lower orders follow by grouping. Every n-gram has one row: its own share of
    probability and the weight it leaves to the next lower order as a context.
@@ -50,6 +51,22 @@ BROADCAST_ROWS = 1_000_000
 START, END = "\x02", "\x03"
 
 
+def pack(data: bytes) -> bytes:
+    """Compressed bytes. Copies far apart in a chunk are found too: the window spans a whole chunk."""
+    how = zstandard.ZstdCompressionParameters.from_level(6, window_log=24, enable_ldm=True)
+    return zstandard.ZstdCompressor(compression_params=how).compress(data)
+
+
+def unpack(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def unpack_grams(blob: bytes) -> list[str]:
+    """The n-grams of highest order, packed one after the other."""
+    joined = unpack(blob).decode()
+    return [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
+
+
 def words_of(text: str) -> list[str]:
     """The text's words as one run with single spaces; none where there are no words."""
     run = " ".join(text.split())
@@ -126,16 +143,18 @@ def coded(
 
         def chunk() -> pa.RecordBatch:
             small = pa.Table.from_batches(rows).combine_chunks()
-            blob = zstandard.ZstdCompressor(level=3).compress("".join(texts).encode())
+            grams = sorted(seen)
+            trusted = np.fromiter(map(seen.__getitem__, grams), "<i8", len(grams))
+            packed = ("".join(grams).encode(), trusted.tobytes(), "".join(texts).encode())
             one = lambda column: pa.ListArray.from_arrays(
                 pa.array([0, len(column)], pa.int32()), column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([part + number], pa.int64()), one(pa.array(seen.keys(), pa.string())),
-                    one(pa.array(seen.values(), pa.int64())),
-                    *(one(small.column(i)) for i in range(3)), one(pa.array(ends, pa.int32())), pa.array([blob], pa.binary()),
+                    pa.array([part + number], pa.int64()),
+                    *(one(small.column(i)) for i in range(3)), one(pa.array(ends, pa.int32())),
+                    *(pa.array([pack(data)], pa.binary()) for data in packed),
                 ],
-                names=["chunk", "grams", "trusted", "ids", "langs", "good", "ends", "blob"],
+                names=["chunk", "ids", "langs", "good", "ends", "grams", "trusted", "blob"],
             )
 
         for batch in batches:
@@ -162,16 +181,17 @@ def coded(
             yield chunk()
 
     schema = (
-        f"chunk long, grams array<string>, trusted array<long>, ids array<{kind}>, langs array<string>, "
-        "good array<int>, ends array<int>, blob binary"
+        f"chunk long, ids array<{kind}>, langs array<string>, good array<int>, ends array<int>, "
+        "grams binary, trusted binary, blob binary"
     )
     return keep(read.mapInArrow(code, schema), "quality-coded")
 
 
 def _trusted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        grams, n = (c.flatten() for c in batch.columns)
-        yield pa.RecordBatch.from_arrays([grams, n], names=["gram", "n"]).filter(pc.greater(n, 0))
+        for packed, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            grams, n = pa.array(unpack_grams(packed), pa.string()), pa.array(np.frombuffer(unpack(counts), "<i8"))
+            yield pa.RecordBatch.from_arrays([grams, n], names=["gram", "n"]).filter(pc.greater(n, 0))
 
 
 def discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -211,8 +231,8 @@ def train(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for chunk, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            keys = {g[a:b] for g in whole for a in range(ORDER) for b in range(a + 1, ORDER + 1) if b >= ORDER - 1}
+        for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys = {g[a:b] for g in unpack_grams(packed) for a in range(ORDER) for b in range(a + 1, ORDER + 1) if b >= ORDER - 1}
             keys.add("")
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.string())], names=["chunk", "gram"])
 
@@ -244,10 +264,10 @@ def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                ids, langs, good, ends, blob, own_grams, rows = (batch.column(c)[i] for c in range(7))
+                ids, langs, good, ends, blob, packed, rows = (batch.column(c)[i] for c in range(7))
                 flat = pa.array([], batch.schema.field(6).type.value_type) if rows.values is None else rows.values
-                model_ = log_probabilities(own_grams.values, flat, symbols)
-                text = zstandard.ZstdDecompressor().decompress(blob.as_py()).decode()
+                model_ = log_probabilities(pa.array(unpack_grams(packed.as_py()), pa.string()), flat, symbols)
+                text = unpack(blob.as_py()).decode()
                 stops = ends.values.to_pylist()
                 runs = [text[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
                 log, chars = np.zeros(len(runs)), np.array([len(r) + 1 if r else 0 for r in runs])
