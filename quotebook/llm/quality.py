@@ -11,8 +11,10 @@ gathered from a part of the corpus is its distinct n-grams.
 2. Counts of the n-grams of trusted texts are summed up by n-gram; continuation counts, discounts and
    interpolation weights of all lower orders follow by grouping. Every n-gram has one row: its own share of
    probability and the weight it leaves to the next lower order as a context.
-3. Each chunk asks for its n-grams; the sharded count table answers by a join on the n-gram, and the answers meet
-   the chunk again. The chunk's n-grams are scored once each, its documents by all places of their n-grams.
+3. Each chunk asks every shard of the model once, with a sorted and packed block of the n-grams it needs there;
+   the shard (a cogroup of blocks and rows of the model, by hash of the n-gram) answers with numbers in the order
+   of the block, and the answers meet the chunk again. There are as many shards as keep blocks and rows of one
+   within SHARD_GRAMS on average. The chunk's n-grams are scored once each, its documents by all places of theirs.
 
 A document is rejected if its perplexity (per character) exceeds its language's threshold: a quantile of the
 perplexities of that language's trusted documents, widened by a margin since the model has seen those.
@@ -26,9 +28,11 @@ rejected. Other columns of the inputs, whatever their names, are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -43,6 +47,8 @@ ORDER = 5
 CHUNK_CHARS = 16 << 20
 #: Texts are cut into n-grams so many characters at a time (n-grams across the cuts included).
 PIECE_CHARS = 1 << 20
+#: N-grams asked of a shard, and rows of the model in it, on average.
+SHARD_GRAMS = 1_000_000
 QUANTILE = 0.99
 MARGIN = 1.15
 #: Trusted ids are broadcast up to so many, else joined by exchange.
@@ -81,16 +87,19 @@ def grams_of(run: str) -> list[str]:
 
 def _distinct(stream: str) -> tuple[list[str], np.ndarray]:
     """The stream's distinct n-grams and, for each place where one begins, its number among them."""
-    letters, rank = np.unique(np.frombuffer(stream.encode("utf-32-le"), "<u4"), return_inverse=True)
-    rank, size = rank.astype(np.int64), len(letters)
+    points = np.frombuffer(stream.encode("utf-32-le"), "<u4")
+    used = np.zeros(points.max() + 1, bool)
+    used[points] = True
+    letters = np.flatnonzero(used)
+    rank, size = (np.cumsum(used) - 1)[points], len(letters)
     code = rank
     for k in range(1, ORDER):
         if size * len(letters) >= 1 << 62:
-            found, code = np.unique(code, return_inverse=True)
+            code, found = pd.factorize(code)
             size = len(found)
         code = code[:-1] * len(letters) + rank[k:]
         size *= len(letters)
-    found, number = np.unique(code, return_inverse=True)
+    number, found = pd.factorize(code)
     place = np.zeros(len(found), np.int64)
     place[number] = np.arange(len(number))
     return [stream[i : i + ORDER] for i in place.tolist()], number
@@ -150,11 +159,11 @@ def coded(
                 pa.array([0, len(column)], pa.int32()), column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([part + number], pa.int64()),
+                    pa.array([part + number], pa.int64()), pa.array([len(grams)], pa.int64()),
                     *(one(small.column(i)) for i in range(3)), one(pa.array(ends, pa.int32())),
                     *(pa.array([pack(data)], pa.binary()) for data in packed),
                 ],
-                names=["chunk", "ids", "langs", "good", "ends", "grams", "trusted", "blob"],
+                names=["chunk", "n", "ids", "langs", "good", "ends", "grams", "trusted", "blob"],
             )
 
         for batch in batches:
@@ -181,7 +190,7 @@ def coded(
             yield chunk()
 
     schema = (
-        f"chunk long, ids array<{kind}>, langs array<string>, good array<int>, ends array<int>, "
+        f"chunk long, n long, ids array<{kind}>, langs array<string>, good array<int>, ends array<int>, "
         "grams binary, trusted binary, blob binary"
     )
     return keep(read.mapInArrow(code, schema), "quality-coded")
@@ -229,18 +238,53 @@ def train(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
     return keep(union.groupBy("gram").agg(F.sum("own").alias("own"), F.sum("left").alias("left")), "quality-model"), symbols
 
 
-def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            keys = {g[a:b] for g in unpack_grams(packed) for a in range(ORDER) for b in range(a + 1, ORDER + 1) if b >= ORDER - 1}
-            keys.add("")
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.string())], names=["chunk", "gram"])
+def asked(grams: list[str], shards: int) -> list[list[str]]:
+    """What the scores of these n-grams take from each shard of the model, in sorted order: the n-grams, their
+    contexts, and the same of all lower orders."""
+    keys, level = {*grams, ""}, {g[:-1] for g in grams} | {g[1:] for g in grams}
+    while level:
+        keys |= level
+        level = {g[1:] for g in level if g}
+    out: list[list[str]] = [[] for _ in range(shards)]
+    for key in sorted(keys):
+        out[crc32(key.encode()) % shards].append(key)
+    return out
 
 
-def log_probabilities(grams: pa.Array, rows: pa.StructArray, symbols: int) -> dict[str, float]:
-    """log p of a chunk's n-grams of highest order, from the rows of the model that the chunk asked for."""
-    known, own, left = (rows.field(i) for i in range(3))
-    own, left = own.to_numpy(zero_copy_only=False), left.to_numpy(zero_copy_only=False)
+def _asks(shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                blocks = [(i, pack("\n".join(keys).encode())) for i, keys in enumerate(asked(unpack_grams(packed), shards)) if keys]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(blocks), pa.int64()), pa.array([i for i, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.binary())],
+                    names=["chunk", "shard", "block"])
+
+    return ask
+
+
+def _answers(asks: pa.Table, rows: pa.Table) -> pa.Table:
+    """A shard's answers to all blocks: the own shares and the weights left, in the order of the block."""
+    blocks = [unpack(b).decode().split("\n") for b in asks["block"].to_pylist()]
+    keys = pa.array((k for keys in blocks for k in keys), pa.string())
+    at = pc.fill_null(pc.index_in(keys, value_set=rows["gram"].combine_chunks().cast(pa.string())), rows.num_rows).to_numpy(zero_copy_only=False)
+    own, left = (np.append(rows[c].to_numpy(), 0.0)[at] for c in ("own", "left"))
+    stops = np.cumsum([len(keys) for keys in blocks])[:-1]
+    values = [pack(np.concatenate(pair).tobytes()) for pair in zip(np.split(own, stops), np.split(left, stops), strict=True)] if blocks else []
+    return pa.table({"chunk": asks["chunk"], "shard": asks["shard"], "block": pa.array(values, pa.binary())})
+
+
+def log_probabilities(packed: bytes, answers: list[dict], shards: int, symbols: int) -> dict[str, float]:
+    """log p of a chunk's n-grams of highest order, from the answers of the shards."""
+    grams = unpack_grams(packed)
+    blocks = asked(grams, shards)
+    known, own, left = [], [np.zeros(0)], [np.zeros(0)]
+    for answer in answers:
+        known += blocks[answer["shard"]]
+        values = np.frombuffer(unpack(answer["block"]))
+        own.append(values[: len(values) // 2])
+        left.append(values[len(values) // 2 :])
+    own, left, known, grams = np.concatenate(own), np.concatenate(left), pa.array(known, pa.string()), pa.array(grams, pa.string())
     # What was not found has no own share, and leaves everything as a context.
     own, left = np.append(own, 0.0), np.append(np.where(left == 0.0, 1.0, left), 1.0)
 
@@ -257,16 +301,19 @@ def log_probabilities(grams: pa.Array, rows: pa.StructArray, symbols: int) -> di
 
 def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame:
     """id, lang, good, perplexity of every document."""
-    needs = chunks.select("chunk", "grams").mapInArrow(_needed, "chunk long, gram string")
-    answers = needs.join(model, "gram").groupBy("chunk").agg(F.collect_list(F.struct("gram", "own", "left")).alias("rows"))
+    size = max(chunks.agg(F.sum("n")).first()[0] or 0, model.count())
+    shards = size // SHARD_GRAMS + 1
+    asks = chunks.select("chunk", "grams").mapInArrow(_asks(shards), "chunk long, shard long, block binary")
+    rows = model.withColumn("shard", F.pmod(F.crc32("gram"), F.lit(shards)))
+    answers = asks.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(_answers, "chunk long, shard long, block binary")
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "block")).alias("answers"))
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                ids, langs, good, ends, blob, packed, rows = (batch.column(c)[i] for c in range(7))
-                flat = pa.array([], batch.schema.field(6).type.value_type) if rows.values is None else rows.values
-                model_ = log_probabilities(pa.array(unpack_grams(packed.as_py()), pa.string()), flat, symbols)
+                ids, langs, good, ends, blob, packed, found = (batch.column(c)[i] for c in range(7))
+                model_ = log_probabilities(packed.as_py(), found.as_py() or [], shards, symbols)
                 text = unpack(blob.as_py()).decode()
                 stops = ends.values.to_pylist()
                 runs = [text[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
@@ -280,7 +327,7 @@ def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame
                     [ids.values, langs.values, good.values, pa.array(value, mask=chars == 0)],
                     names=["id", "lang", "good", "perplexity"])
 
-    joined = chunks.join(answers, "chunk", "left").select("ids", "langs", "good", "ends", "blob", "grams", "rows")
+    joined = chunks.join(answers, "chunk", "left").select("ids", "langs", "good", "ends", "blob", "grams", "answers")
     return joined.mapInArrow(score, f"id {kind}, lang string, good int, perplexity double")
 
 

@@ -46,6 +46,7 @@ def _model(texts):
 
 
 def test_perplexities_match_the_definition(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD_GRAMS", 60)  # several shards
     rng = random.Random(4)
     say = lambda n: " ".join("".join(rng.choice("aabcé") for _ in range(rng.randrange(1, 6))) for _ in range(n))
     rows = [(i, say(rng.randrange(1, 12)), "xy"[i % 2], 0.5) for i in range(40)]
