@@ -10,7 +10,7 @@ from checks.catalog import query
 from quotebook.fixtures import VIEWS, duckdb_views, load, view
 from quotebook.functions.text import display_timestamp
 from quotebook.operators import listings as ops
-from quotebook.operators import merge, publish
+from quotebook.operators import lookup, merge, publish
 from quotebook.plans.upsert import UpsertResult, run_batch
 from quotebook.plans.upsert import upsert_stocks as upsert_job
 from quotebook.session import scratch_path, stage
@@ -268,6 +268,13 @@ def name_lookup(spark, sf):
     return publish.name_lookup(publish.publish_prices(_merged(spark, sf)), "GIZMO").select("Name", "Latest Price")
 
 
+@query("SELECT c_name AS \"Name\", c_custkey AS place FROM customer WHERE regexp_matches(c_name, 'mer#.*77', 'i') ORDER BY c_name, c_custkey LIMIT 1")
+def name_lookup_indexed(spark, sf):
+    names = load(spark, sf, "customer").selectExpr("c_name AS Name", "c_custkey AS place")
+    index = stage(lookup.trigram_index(names), "trigrams")
+    return lookup.indexed_lookup(names, index, "MER#.*77", "Name", "place")
+
+
 @query("SELECT doc_id, lang FROM documents WHERE lang = 'de' ORDER BY doc_id LIMIT 1")
 def first_match(spark, sf):
     return publish.first_match(load(spark, sf, "documents").filter("lang = 'de'").select("doc_id", "lang"), "doc_id")
