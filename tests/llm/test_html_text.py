@@ -66,7 +66,7 @@ def test_query_and_odd_tables(spark):
     assert html_text.extract_text(odd.limit(0)).collect() == []
 
 
-def test_parts_of_a_host_share_their_repeats(spark):
+def test_parts_of_a_host_share_their_repeats(spark, monkeypatch):
     rng = random.Random(9)
     pages = []
     for i in range(60):
@@ -82,6 +82,8 @@ def test_parts_of_a_host_share_their_repeats(spark):
 
     whole = texts()
     assert texts(part_bytes=1000) == whole
+    monkeypatch.setattr(html_text, "BROADCAST_ROWS", 0)
+    assert texts(part_bytes=1000) == whole
     assert not any("pair1x" in t for i, _, t in whole if i < 900) and any("pair0x" in t for _, _, t in whole)
 
 
@@ -96,3 +98,48 @@ def test_remarks_on_the_layout_are_no_marks():
         assert html_text.main_texts([1], [page]) == ["The whole main text"], page
     for name in ("sidebar", "site-footer", "cookie_banner", "ad-container", "ad-box-2", "widget__nav", "share-buttons", "related-posts", "x sidebar--dark"):
         assert html_text.main_texts([1], [f"<div class='{name}'>gone</div>{text}"]) == ["The whole main text"], name
+
+
+NOTICE = "we and our many partners read what your browser tells us about you"
+
+
+def _main(i, words=60, notice=NOTICE):
+    rng = random.Random(i)
+    own = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    return f"<main><p>{' '.join(own)}</p><div>{notice}</div></main>", " ".join(own)
+
+
+def test_runs_of_half_the_host_go_from_articles_too(spark, monkeypatch):
+    few = [_main(i) for i in range(html_text.WIDE_PAGES - 1)]
+    assert html_text.main_texts(list(range(len(few))), [p for p, _ in few]) == [f"{own}\n{NOTICE}" for _, own in few]
+    # A passage on a third of the pages is shared content; a notice on all is not, and copies of a page stay whole.
+    shared = "this passage of the article was taken over by some other pages of this very host and stays"
+    pages = [_main(i) for i in range(30)]
+    html = [p.replace("</main>", f"<p>{shared}</p></main>" if i % 3 == 0 else "</main>") for i, (p, _) in enumerate(pages)]
+    want = [own + (f"\n{shared}" if i % 3 == 0 else "") for i, (_, own) in enumerate(pages)]
+    assert html_text.main_texts(list(range(30)), html) == want
+    copies = [_main(7)] * 20
+    assert html_text.main_texts(list(range(20)), [p for p, _ in copies]) == [f"{own}\n{NOTICE}" for _, own in copies]
+    rows = [(i, "http://h/", p) for i, p in enumerate(html)] + [(i, "http://copies/", p) for i, (p, _) in enumerate(copies)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    expect = sorted([(i, "http://h/", t) for i, t in enumerate(want)] + [(i, "http://copies/", f"{own}\n{NOTICE}") for i, (_, own) in enumerate(copies)])
+    for rows in (html_text.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(html_text, "BROADCAST_ROWS", rows)
+        for size in (300, 3000, 1 << 20):
+            got = sorted((r.page_id, r.url, r.text) for r in html_text.extract_text(docs, part_bytes=size).collect())
+            assert got == expect, (rows, size)
+
+
+def test_forms_around_the_text_and_marks_by_camel_case():
+    text = "<p>The whole main text of this page</p>"
+    plain = "The whole main text of this page"
+    for page in (
+        f"<body><form id='aspnetForm'>{text}<select><option>no</select></form></body>",
+        f"<div>Skip it</div><form>{text}<div class='sidebar'>no</div></form>",
+        f"<form><article>{text}<form><p>Your name and a long mail address too</form></article></form>",
+        "<p>The whole <button>no</button>main<span hidden> no <b>no</b></span> text of this page</p>",
+        f"{text}<form><label>Name</label></form>",
+        f"<div class='adBox'>no</div><span class='visually-hidden'>no</span><p class='sr-only'>no</p>{text}",
+    ):
+        got = html_text.main_texts([1], [page])[0].replace("Skip it\n", "")
+        assert got == plain, page
