@@ -268,6 +268,24 @@ def name_lookup(spark, sf):
     return publish.name_lookup(publish.publish_prices(_merged(spark, sf)), "GIZMO").select("Name", "Latest Price")
 
 
+def _published(spark, sf) -> DataFrame:
+    path = scratch_path(spark, "published")
+    publish.write_published(_merged(spark, sf), path)
+    return books.read_published(spark, path, positions=True)
+
+
+@query(f"WITH {duckdb_views('fx_primary_raw')} SELECT company AS \"Name\", row_number() OVER (ORDER BY ord, slug) - 1 AS \"Position\" FROM fx_primary_raw")
+def published_positions(spark, sf):
+    """Published in order of insertion and read back with the positions."""
+    return _published(spark, sf).select("Name", "Position")
+
+
+@query(f"WITH {duckdb_views('fx_primary_raw')} SELECT company AS \"Name\" FROM fx_primary_raw WHERE regexp_matches(company, 'GIZMO', 'i') ORDER BY ord, slug LIMIT 1")
+def name_lookup_inserted(spark, sf):
+    """The first inserted hit in the published table."""
+    return publish.name_lookup(_published(spark, sf), "GIZMO").select("Name")
+
+
 @query("SELECT c_name AS \"Name\", c_custkey AS place FROM customer WHERE regexp_matches(c_name, 'mer#.*77', 'i') ORDER BY c_name, c_custkey LIMIT 1")
 def name_lookup_indexed(spark, sf):
     names = load(spark, sf, "customer").selectExpr("c_name AS Name", "c_custkey AS place")

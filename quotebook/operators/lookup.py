@@ -16,7 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotebook.operators.publish import first_match, name_lookup
+from quotebook.operators.publish import default_order, first_match, name_lookup
 
 #: Of a pattern's trigrams the rarest so many are intersected; the pattern itself decides in the end.
 RAREST = 4
@@ -84,4 +84,4 @@ def indexed_lookup(published: DataFrame, index: DataFrame, pattern: str, *order:
     names = matching_names(index, pattern)
     if names is None:
         return name_lookup(published, pattern, *order)
-    return first_match(published.join(names, "Name", "left_semi"), *(order or ("Name",)))
+    return first_match(published.join(names, "Name", "left_semi"), *(order or default_order(published)))

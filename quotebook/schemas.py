@@ -51,6 +51,9 @@ KEPT_ON_MERGE = (
     "company", "slug", "source", "url", "updated_at", "price", "backup_price", "aliases", "short_name",
 )
 
+#: Place of a published row by insertion; written with the rows, read on demand.
+POSITION = "Position"
+
 PUBLISHED_SCHEMA = T.StructType(
     [
         T.StructField("URL", T.StringType()),

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from quotebook.functions.names import name_tokens
 from quotebook.functions.text import nonempty
-from quotebook.schemas import BOOK_FIELDS, BOOK_SCHEMA, PUBLISHED_SCHEMA
+from quotebook.schemas import BOOK_FIELDS, BOOK_SCHEMA, POSITION, PUBLISHED_SCHEMA
 from quotebook.session import stage
 from quotebook.sources.versions import (  # noqa: F401  (written_by and retire belong to the book's interface)
     PREFIX,
@@ -144,10 +144,16 @@ def import_book_json(spark: SparkSession, path: str) -> DataFrame:
     return book_from_json(spark.read.text(path, wholetext=True))
 
 
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """Published price rows: a JSON array file or a folder of JSON lines."""
-    lines = spark.read.schema(PUBLISHED_SCHEMA)
+def read_published(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
+    """Published price rows: a JSON array file or a folder of JSON lines.
+
+    With ``positions`` also their place by insertion: as written, and in an array file that of the element. Lines without
+    one have null.
+    """
     fs, hpath = fs_of(spark, path)
     if fs.exists(hpath) and fs.getFileStatus(hpath).isFile():
-        lines = lines.option("multiLine", True)
-    return lines.json(path)
+        # One document is parsed in one task, in its order.
+        rows = spark.read.schema(PUBLISHED_SCHEMA).option("multiLine", True).json(path)
+        return rows.withColumn(POSITION, F.monotonically_increasing_id()) if positions else rows
+    schema = T.StructType(list(PUBLISHED_SCHEMA))
+    return spark.read.schema(schema.add(POSITION, T.LongType()) if positions else schema).json(path)

@@ -1,11 +1,13 @@
 """Merging: the folds against tables derived by hand, and repeated runs."""
 
+import json
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from quotebook.operators import listings as ops
-from quotebook.operators import merge, publish
+from quotebook.operators import lookup, merge, publish
 from quotebook.plans.upsert import run_batch, upsert_stocks
 from quotebook.sources import api, detail, listings
 from quotebook.sources import book as books
@@ -131,6 +133,39 @@ def test_published_files(spark, tmp_path):
     assert books.read_published(spark, str(array)).count() == 2
 
 
+def test_published_order_and_swap(spark, tmp_path):
+    def book_of(slugs, first=0):
+        raw = frame(spark, [{"company": f"{s} Limited", "slug": s, "source": "primary"} for s in slugs])
+        return merge.upsert_primary(books.empty_book(spark), raw.withColumn("ord", F.col("ord") + first), ts(1))
+
+    path = str(tmp_path / "out")
+    slugs = [f"s{i * 7919 % 100:02d}" for i in range(100)]
+    publish.write_published(book_of(slugs).repartition(7), path)
+    rows = books.read_published(spark, path, positions=True)
+    assert [(r.Position, r.Name) for r in rows.orderBy("Position").collect()] == [(i, f"{s} Limited") for i, s in enumerate(slugs)]
+    # The lines of the files, in order of their names, are the rows in order.
+    lines = [json.loads(x)["Position"] for f in sorted((tmp_path / "out").glob("part-*")) for x in f.read_text().splitlines()]
+    assert lines == list(range(100))
+    assert publish.name_lookup(rows, "^S.*").first().Name == f"{slugs[0]} Limited"
+    assert publish.name_lookup(books.read_published(spark, path), "^S.*").first().Name == "s00 Limited"
+    index = lookup.trigram_index(rows)
+    assert lookup.indexed_lookup(rows, index, "limited").first().Name == f"{slugs[0]} Limited"
+
+    # A job that fails leaves the former table as it is; one that ends replaces all of it, and leaves nothing beside.
+    broken = book_of(["x"]).withColumn("company", F.expr("raise_error('no')").cast("string"))
+    with pytest.raises(Exception, match="no"):
+        publish.write_published(broken, path)
+    assert books.read_published(spark, path).count() == 100
+    publish.write_published(book_of(["x", "y"], 5), path)
+    assert [(r.Position, r.Name) for r in books.read_published(spark, path, positions=True).orderBy("Position").collect()] == [(0, "x Limited"), (1, "y Limited")]
+    publish.write_published(books.empty_book(spark), path)
+    assert books.read_published(spark, path, positions=True).collect() == []
+    assert not [p for p in tmp_path.iterdir() if p.name.endswith(".old")]
+    array = tmp_path / "stocks.json"
+    array.write_text('[{"Name": "b"}, {"Name": "a"}]')
+    assert publish.name_lookup(books.read_published(spark, str(array), positions=True), ".").first().Name == "b"
+
+
 def test_run_batch(spark, tmp_path):
     root, out = str(tmp_path / "book"), str(tmp_path / "published")
     primary, secondary = frame(spark, FIRST[:3]), frame(spark, FIRST[3:])
