@@ -7,7 +7,7 @@ gathered from a part of the corpus is its distinct n-grams.
 
 1. Tasks read their texts in chunks: the chunk's distinct n-grams in sorted order, how often trusted texts have
    each, and the texts (white space as single spaces), all three compressed. This table is all that later steps
-   read, and it is also what meets the answers in step 3, so it is packed as tightly as it can be.
+   read. It lies in hash buckets by chunk, so that in step 3 the answers come to the chunks, which are not exchanged.
 2. Counts of the n-grams of trusted texts are summed up by n-gram; continuation counts, discounts and
    interpolation weights of all lower orders follow by grouping. Every n-gram has one row: its own share of
    probability and the weight it leaves to the next lower order as a context.
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotebook.llm.bpe import texts_of
-from quotebook.llm.staging import keep
+from quotebook.llm.staging import keep, keep_bucketed
 
 ORDER = 5
 CHUNK_CHARS = 16 << 20
@@ -51,6 +51,8 @@ PIECE_CHARS = 1 << 20
 SHARD_GRAMS = 1_000_000
 QUANTILE = 0.99
 MARGIN = 1.15
+#: Buckets of the chunks, at most (one for each CHUNK_CHARS bytes of text below that).
+MOST_BUCKETS = 100_000
 #: Trusted ids are broadcast up to so many, else joined by exchange.
 BROADCAST_ROWS = 1_000_000
 # Marks of a text's start and end.
@@ -132,8 +134,9 @@ def numbered(runs: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarra
 
 def coded(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, key: Column
-) -> DataFrame:
-    """One row per chunk: n-grams, how often trusted texts have each, and the packed documents."""
+) -> tuple[DataFrame, str, int]:
+    """One row per chunk: n-grams, how often trusted texts have each, and the packed documents. With the name of the
+    table and its number of buckets."""
     good = labels.where(F.col(label_col) > 0).select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
     good = good.withColumn("_good", F.lit(1))
     good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
@@ -193,7 +196,10 @@ def coded(
         f"chunk long, n long, ids array<{kind}>, langs array<string>, good array<int>, ends array<int>, "
         "grams binary, trusted binary, blob binary"
     )
-    return keep(read.mapInArrow(code, schema), "quality-coded")
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    least = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    buckets = min(max(size // CHUNK_CHARS + 1, least), MOST_BUCKETS)
+    return *keep_bucketed(read.mapInArrow(code, schema), "quality-coded", "chunk", buckets), buckets
 
 
 def _trusted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,14 +305,14 @@ def log_probabilities(packed: bytes, answers: list[dict], shards: int, symbols:
     return dict(zip(grams.to_pylist(), np.log(p).tolist(), strict=True))
 
 
-def perplexities(chunks: DataFrame, model: DataFrame, symbols: int) -> DataFrame:
-    """id, lang, good, perplexity of every document."""
+def perplexities(chunks: DataFrame, model: DataFrame, symbols: int, buckets: int) -> DataFrame:
+    """id, lang, good, perplexity of every document. The answers are dealt as the chunks are, so these stay in place."""
     size = max(chunks.agg(F.sum("n")).first()[0] or 0, model.count())
     shards = size // SHARD_GRAMS + 1
     asks = chunks.select("chunk", "grams").mapInArrow(_asks(shards), "chunk long, shard long, block binary")
     rows = model.withColumn("shard", F.pmod(F.crc32("gram"), F.lit(shards)))
     answers = asks.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(_answers, "chunk long, shard long, block binary")
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "block")).alias("answers"))
+    answers = answers.repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("shard", "block")).alias("answers"))
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,11 +349,12 @@ def classify(
     key: Column | None = None,
 ) -> DataFrame:
     """id (or `key` in its place), lang, perplexity, threshold and kept of every row."""
-    chunks = coded(docs, labels, id_col, text_col, lang_col, label_col, F.col(id_col) if key is None else key)
+    chunks, table, buckets = coded(docs, labels, id_col, text_col, lang_col, label_col, F.col(id_col) if key is None else key)
     counts = chunks.select("grams", "trusted").mapInArrow(_trusted_grams, "gram string, n long")
     counts = keep(counts.groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts")
     model, symbols = train(counts)
-    scored = keep(perplexities(chunks, model, symbols), "quality-scores")
+    scored = keep(perplexities(chunks, model, symbols, buckets), "quality-scores")
+    docs.sparkSession.sql(f"DROP TABLE {table}")
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
     trusted = scored.where("good = 1 and perplexity is not null")
     limits = trusted.groupBy("lang").agg(at.alias("own_limit")).withColumnRenamed("lang", "_lang")
