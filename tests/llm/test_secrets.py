@@ -2,6 +2,9 @@ import base64
 import hashlib
 import random
 import re
+from collections import defaultdict
+
+import pytest
 
 from quotebook.llm import secrets
 from quotebook.llm.queries import op8_secret_scans
@@ -55,6 +58,82 @@ def test_random_strings_are_found_and_text_is_not(spark):
             assert s.start >= 11 and s.end <= 11 + len(t)
 
 
+# Least share found at each length: the smaller the alphabet and the shorter the string, the less it tells.
+LENGTHS = (20, 24, 31, 40, 64)
+RECALL = {
+    "hex": (0.6, 0.7, 0.85), "upper hex": (0.6, 0.7, 0.85, 0.93, 0.97), "base32": (0.55, 0.7, 0.85, 0.93, 0.97),
+    "base36": (0.55, 0.7, 0.8, 0.9, 0.97), "upper base36": (0.55, 0.7, 0.8, 0.9, 0.97), "base62": (0.85, 0.9, 0.95, 0.97, 0.97),
+    "base64": (0.85, 0.9, 0.95, 0.97, 0.97), "base64url": (0.85, 0.9, 0.95, 0.97, 0.97),
+}  # Lower-case hex of 32 characters is a fixed pattern.
+SLUGS = [
+    "getElementByIdAndClassName2ForTheUserAccount", "user_name_field_number_12_of_the_table", "20240315T123456789012Z20240315",
+    "org.apache.GeneratePredicateForTheWholeStage12", "https/www/Example/com/Articles/2024/03/15/How-to-Build", "deadbeef00000000cafe0000",
+    "AbstractSingletonProxyFactoryBeanImplementation", "qwertyuiopasdfghjklzxcvbnm1234567890", "chapter-12-section-4-figure-17-left-side",
+]
+
+
+def _planted(rng, name, n):
+    return "".join(rng.choices(secrets._ALPHABETS[name], k=n))
+
+
+def test_recall_by_encoding_and_length(spark):
+    rng, rows, whose = random.Random(5), [], {}
+    for name, least in RECALL.items():
+        for n, _ in zip(LENGTHS, least, strict=False):
+            for _ in range(60):
+                whose[len(rows)] = name, n
+                rows.append((len(rows), f"the value {_planted(rng, name, n)} is kept"))
+    slugs = [(len(rows) + i, f"see {rng.choice(SLUGS)} for more") for i in range(300)]
+    docs = spark.createDataFrame(rows + slugs, "doc_id long, text string")
+    hits = defaultdict(int)
+    for r in secrets.find_secrets(docs).collect():
+        found = any(s.kind == 3 for s in r.spans)
+        assert not (found and r.doc_id not in whose), slugs[r.doc_id - len(rows)]
+        hits[whose.get(r.doc_id)] += found
+    for name, least in RECALL.items():
+        for n, share in zip(LENGTHS, least, strict=False):
+            assert hits[name, n] >= share * 60, (name, n, hits[name, n])
+
+
+@pytest.mark.parametrize("around", ["key-id_{}/v1-x", "/etc/keys/{}/old", "a-b-c-{}", "x token {} y"])
+def test_joiners_hide_no_string(around):
+    def found(text, s):
+        at = text.index(s)
+        return any(a <= at and at + 40 <= b and bin_ >= 16 for a, b, _, _, bin_ in secrets.candidates(text, []))
+
+    rng = random.Random(8)
+    for name in ("base62", "upper base36"):
+        planted = [_planted(rng, name, 40) for _ in range(100)]
+        alone, joined = sum(found(s, s) for s in planted), sum(found(around.format(s), s) for s in planted)
+        assert alone >= 80 and joined >= alone - 5, (name, alone, joined)
+
+
+def test_matches_plain_benjamini_hochberg(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        words = [_planted(rng, rng.choice(list(RECALL)), rng.randint(20, 36)) if rng.random() < 0.15 else rng.choice(SLUGS) for _ in range(3)]
+        rows.append((i, " ".join(words)))
+    classes, where = defaultdict(list), defaultdict(set)
+    for i, text in rows:
+        for a, b, enc, long, bin_ in secrets.candidates(text, secrets.base_spans(text)):
+            classes[enc, long].append((10 ** (-bin_ / 4), i, a, b))
+    for found in classes.values():
+        found.sort()
+        passed = [k for k, f in enumerate(found, 1) if f[0] <= secrets.FALSE_DISCOVERIES * k / len(found)]
+        for f in found[: max(passed, default=0)]:
+            where[f[1]].add(f[2:])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: {(s.start, s.end) for s in r.spans if s.kind == 3} for r in secrets.find_secrets(docs).collect()}
+    assert got == {i: where[i] for i, _ in rows}
+    assert sum(map(len, where.values())) > 50
+
+
+def test_documents_without_secrets_have_no_random_spans(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert secrets.find_secrets(rows).where("exists(spans, s -> s.kind = 3)").count() == 0
+
+
 def test_odd_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find_secrets(none).collect() == []
