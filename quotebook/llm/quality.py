@@ -28,7 +28,7 @@ rejected. Other columns of the inputs, whatever their names, are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -107,7 +107,7 @@ def _distinct(stream: str) -> tuple[list[str], np.ndarray]:
     return [stream[i : i + ORDER] for i in place.tolist()], number
 
 
-def numbered(runs: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+def numbered(runs: Iterable[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
     """The n-grams of all runs in pieces: (n-grams, their numbers at all places, the run of each place). A piece's
     list also holds the few n-grams that cross from one run to the next; no place has their numbers."""
     owners, cut, size = [], [], 0
@@ -157,7 +157,7 @@ def coded(
             small = pa.Table.from_batches(rows).combine_chunks()
             grams = sorted(seen)
             trusted = np.fromiter(map(seen.__getitem__, grams), "<i8", len(grams))
-            packed = ("".join(grams).encode(), trusted.tobytes(), "".join(texts).encode())
+            packed = ("".join(grams).encode(), trusted.tobytes(), b"".join(texts))
             one = lambda column: pa.ListArray.from_arrays(
                 pa.array([0, len(column)], pa.int32()), column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
             return pa.RecordBatch.from_arrays(
@@ -181,14 +181,16 @@ def coded(
                     for gram, n, k in zip(grams, used, trusted, strict=True):
                         if n:
                             seen[gram] = seen.get(gram, 0) + k
+                # As bytes: one rare character would widen a whole chunk of text.
                 for run in runs:
-                    ends.append((ends[-1] if ends else 0) + len(run))
-                texts += runs
+                    texts.append(run.encode())
+                    ends.append((ends[-1] if ends else 0) + len(texts[-1]))
                 size += sum(map(len, runs))
                 if size >= CHUNK_CHARS:
                     yield chunk()
                     seen, rows, texts, ends, size = {}, [], [], [], 0
                     number += 1
+                    pa.default_memory_pool().release_unused()
         if rows:
             yield chunk()
 
@@ -271,12 +273,13 @@ def _asks(shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def _answers(asks: pa.Table, rows: pa.Table) -> pa.Table:
     """A shard's answers to all blocks: the own shares and the weights left, in the order of the block."""
-    blocks = [unpack(b).decode().split("\n") for b in asks["block"].to_pylist()]
-    keys = pa.array((k for keys in blocks for k in keys), pa.string())
+    blocks = pc.split_pattern(pa.array([unpack(b) for b in asks["block"].to_pylist()], pa.binary()).cast(pa.large_string()), "\n")
+    keys = blocks.flatten().cast(pa.string())
     at = pc.fill_null(pc.index_in(keys, value_set=rows["gram"].combine_chunks().cast(pa.string())), rows.num_rows).to_numpy(zero_copy_only=False)
     own, left = (np.append(rows[c].to_numpy(), 0.0)[at] for c in ("own", "left"))
-    stops = np.cumsum([len(keys) for keys in blocks])[:-1]
-    values = [pack(np.concatenate(pair).tobytes()) for pair in zip(np.split(own, stops), np.split(left, stops), strict=True)] if blocks else []
+    stops = np.cumsum(pc.list_value_length(blocks).to_numpy(zero_copy_only=False))[:-1]
+    values = [pack(np.concatenate(pair).tobytes()) for pair in zip(np.split(own, stops), np.split(left, stops), strict=True)] if len(blocks) else []
+    pa.default_memory_pool().release_unused()
     return pa.table({"chunk": asks["chunk"], "shard": asks["shard"], "block": pa.array(values, pa.binary())})
 
 
@@ -320,18 +323,19 @@ def perplexities(chunks: DataFrame, model: DataFrame, symbols: int, buckets: int
             for i in range(len(batch)):
                 ids, langs, good, ends, blob, packed, found = (batch.column(c)[i] for c in range(7))
                 model_ = log_probabilities(packed.as_py(), found.as_py() or [], shards, symbols)
-                text = unpack(blob.as_py()).decode()
-                stops = ends.values.to_pylist()
-                runs = [text[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
-                log, chars = np.zeros(len(runs)), np.array([len(r) + 1 if r else 0 for r in runs])
+                text, stops = unpack(blob.as_py()), ends.values.to_pylist()
+                runs = (text[a:b].decode() for a, b in zip([0, *stops[:-1]], stops, strict=True))
+                log, chars = np.zeros(len(stops)), np.zeros(len(stops), np.int64)
                 for grams, numbers, owner in numbered(runs):
                     # A piece's list also has n-grams across documents, which no place refers to.
                     logs = np.fromiter((model_.get(g, 0.0) for g in grams), np.float64, len(grams))
-                    log += np.bincount(owner, weights=logs[numbers], minlength=len(runs))
+                    log += np.bincount(owner, weights=logs[numbers], minlength=len(stops))
+                    chars += np.bincount(owner, minlength=len(stops))
                 value = np.exp(-log / np.maximum(chars, 1))
                 yield pa.RecordBatch.from_arrays(
                     [ids.values, langs.values, good.values, pa.array(value, mask=chars == 0)],
                     names=["id", "lang", "good", "perplexity"])
+                pa.default_memory_pool().release_unused()
 
     joined = chunks.join(answers, "chunk", "left").select("ids", "langs", "good", "ends", "blob", "grams", "answers")
     return joined.mapInArrow(score, f"id {kind}, lang string, good int, perplexity double")
