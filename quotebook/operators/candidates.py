@@ -8,9 +8,10 @@ keys, so that sharing a key *is* the match and nothing has to be verified afterw
   subset   one side's whole token set equals a subset of the other side's tokens
   overlap  both sides contain the same set that is large enough for the Jaccard threshold
 
-Token subsets are listed for names of up to ``SUBSET_TOKENS`` (subset tier) and
+Token subsets are listed for names of up to ``LISTED_TOKENS`` (subset tier) and
 ``OVERLAP_TOKENS`` (overlap tier) tokens; longer sets are compared once per distinct set, found
 through the rarest token and verified, and the sets that match become keys too (``_long_keys``).
+A name of n tokens has 2^n subsets, so that a few names of eight would make most of all keys.
 
 A key shared by many canonical names ("(India)") would make quadratically many pairs. Only the
 two best candidates of a tier can decide a resolution, best by Jaccard similarity of the full
@@ -49,12 +50,18 @@ class MatchLimits:
     """How the pairs are found; no value here changes the result."""
 
     subset_tokens: int = 8
+    # Of these the subset tier lists so many at most; the keys that tell which names a batch changes list all.
+    listed_tokens: int = 5
     overlap_tokens: int = 16
     # Groups of more canonical names than this are heavy, judged on one in ``heavy_sample`` names.
     heavy_group: int = 512
     heavy_sample: int = 16
     heavy_tokens: int = 10
 
+    @property
+    def listed(self) -> int:
+        return min(self.subset_tokens, self.listed_tokens)
+
 
 # --- subsets -----------------------------------------------------------------------------------
 
@@ -119,8 +126,13 @@ def _key(kind: str, tier: int, text: str) -> str:
     return f"named_struct('tier', {tier}, 'g', concat('{kind}', {text}))"
 
 
-def _keys(features: DataFrame, key: str, tiers: tuple, limits: MatchLimits, secondary: bool) -> DataFrame:
-    """(key, tier, g): rows of the two sides match at ``tier`` exactly when they share (tier, g)."""
+def _keys(
+    features: DataFrame, key: str, tiers: tuple, limits: MatchLimits, secondary: bool, most: int | None = None
+) -> DataFrame:
+    """(key, tier, g): rows of the two sides match at ``tier`` exactly when they share (tier, g).
+
+    The subset tier lists names of up to ``most`` tokens (``limits.subset_tokens`` unless given)."""
+    most = limits.subset_tokens if most is None else most
     none = "cast(array() AS array<struct<tier:int,g:string>>)"
     n = "size(tokens)"
     parts = []
@@ -139,7 +151,7 @@ def _keys(features: DataFrame, key: str, tiers: tuple, limits: MatchLimits, seco
             f"concat(array({_key(own, TIER_SUBSET, _joined('tokens'))}), "
             f"transform({inside}, s -> {_key(other, TIER_SUBSET, 's.k')}))"
         )
-        parts.append(f"if({n} BETWEEN 2 AND {limits.subset_tokens}, {keys}, {none})")
+        parts.append(f"if({n} BETWEEN 2 AND {most}, {keys}, {none})")
     if TIER_OVERLAP in tiers:
         # A common set of k tokens, properly inside both sides, of sizes n and m: as the other
         # side has more than k tokens, k / (n + 1) must reach the threshold.
@@ -253,15 +265,17 @@ def contained_pairs(small: DataFrame, large: DataFrame, small_id: str, large_id:
     The large side's vocabulary first removes small sets with any token it lacks; a remaining
     set is then looked up by its rarest token there.
     """
-    postings = large.select(large_id, F.col("tokens").alias("large_tokens"), F.explode("tokens").alias("t"))
-    vocabulary = postings.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    posted = large.select(large_id, F.col("tokens").alias("large_tokens"), F.explode("tokens").alias("t"))
+    # Both are written, so that they are broadcast where they are small; the many small sets stay where they are then.
+    postings = stage(posted, "postings")
+    vocabulary = stage(postings.groupBy("t").agg(F.count(F.lit(1)).alias("df")), "vocabulary")
     probes = (
-        small.withColumn("n", F.size("tokens"))
-        .select(small_id, F.col("tokens").alias("small_tokens"), "n", F.explode("tokens").alias("t"))
+        small.select(small_id, F.col("tokens").alias("small_tokens"), F.explode("tokens").alias("t"))
         .join(vocabulary, "t")
-        .groupBy(small_id, "small_tokens", "n")
-        .agg(F.count(F.lit(1)).alias("present"), F.min_by("t", F.struct("df", "t")).alias("t"))
-        .filter(F.col("present") == F.col("n"))
+        .groupBy(small_id, "small_tokens")
+        .agg(F.count(F.lit(1)).alias("present"), F.min(F.struct("df", "t")).alias("rarest"))
+        .filter(F.col("present") == F.size("small_tokens"))
+        .select(small_id, "small_tokens", F.col("rarest.t").alias("t"))
     )
     return (
         probes.join(postings, "t")
@@ -325,25 +339,23 @@ def _long_keys(
     """Keys (src, tier, g) and (canon, tier, g) of pairs with a long name. A branch is planned
     only where such names exist."""
     n = F.size("tokens")
-    src, canon = (
-        d.filter(n >= 2).select(k, "tokens").distinct() for d, k in ((src_features, "src"), (can_features, "canon"))
-    )
+    src, canon = (d.filter(n >= 2).select(k, "tokens") for d, k in ((src_features, "src"), (can_features, "canon")))
     longest_src, longest_canon = longest_sets(src_features, can_features)
     subset, overlap = F.lit(TIER_SUBSET).alias("tier"), F.lit(TIER_OVERLAP).alias("tier")
-    is_long = n > limits.subset_tokens
+    is_long = n > limits.listed
     found = []
 
     def sets(rows: DataFrame, kind: str) -> DataFrame:
-        return rows.select(_set_key(kind), "tokens").distinct()
+        return rows.select("tokens").distinct().select(_set_key(kind), "tokens")
 
-    if TIER_SUBSET in tiers and longest_canon > limits.subset_tokens:
-        inside = contained_pairs(sets(src, "L<"), canon.filter(is_long), "g", "canon")
+    if TIER_SUBSET in tiers and longest_canon > limits.listed:
+        inside = stage(contained_pairs(sets(src, "L<"), canon.filter(is_long), "g", "canon"), "long-primary")
         found.append((src.select("src", subset, _set_key("L<")), inside.select("canon", subset, "g")))
-    if TIER_SUBSET in tiers and longest_src > limits.subset_tokens:
-        inside = contained_pairs(sets(canon, "L>"), src.filter(is_long), "g", "src")
+    if TIER_SUBSET in tiers and longest_src > limits.listed:
+        inside = stage(contained_pairs(sets(canon, "L>"), src.filter(is_long), "g", "src"), "long-secondary")
         found.append((inside.select("src", subset, "g"), canon.select("canon", subset, _set_key("L>"))))
     if TIER_OVERLAP in tiers and max(longest_src, longest_canon) > limits.overlap_tokens:
-        pairs = _overlapping_sets(sets(src, "L~"), sets(canon, "L~"), limits)
+        pairs = stage(_overlapping_sets(sets(src, "L~"), sets(canon, "L~"), limits), "long-overlaps")
         partners = src.withColumn("own", _set_key("L~")).join(pairs, "own").select("src", overlap, "g")
         found.append((partners, canon.select("canon", overlap, _set_key("L~"))))
     return found
@@ -365,24 +377,25 @@ def tier_candidates(
     The features should be staged: they feed several branches, and which branches are planned
     depends on them.
     """
-    src_keys = _keys(src_features, "src", tiers, limits, secondary=True)
-    can_keys = _keys(can_features, "canon", tiers, limits, secondary=False)
+    src_keys = _keys(src_features, "src", tiers, limits, True, limits.listed)
+    can_keys = _keys(can_features, "canon", tiers, limits, False, limits.listed)
     group = ["tier", "g"]
     sampled = can_features.filter(F.pmod(F.xxhash64("canon"), F.lit(limits.heavy_sample)) == 0)
     sized = (
-        _keys(sampled, "canon", tiers, limits, secondary=False)
+        _keys(sampled, "canon", tiers, limits, False, limits.listed)
         .groupBy(*group)
         .count()
         .filter(F.col("count") * limits.heavy_sample > limits.heavy_group)
     )
-    for i, (more_src, more_can) in enumerate(_long_keys(src_features, can_features, tiers, limits)):
-        more_src, more_can = stage(more_src, f"long-secondary-{i}"), stage(more_can, f"long-primary-{i}")
+    for more_src, more_can in _long_keys(src_features, can_features, tiers, limits):
         src_keys, can_keys = src_keys.unionByName(more_src), can_keys.unionByName(more_can)
         sized = sized.unionByName(
             more_can.groupBy(*group).count().filter(F.col("count") > limits.heavy_group)
         )
+    # Written once: few as they are, the groups are broadcast then, and the keys of all names stay where they are.
+    sized = stage(sized.select(*group).distinct(), "heavy-groups")
     # Of the heavy groups only those with a secondary name matter; often there are none.
-    heavy_src = stage(src_keys.join(sized.select(*group), group, "left_semi").distinct(), "heavy-secondary")
+    heavy_src = stage(src_keys.join(sized, group, "left_semi").distinct(), "heavy-secondary")
     if heavy_src.isEmpty():
         return src_keys.join(can_keys, group).select("src", "canon", "tier")
     heavy = heavy_src.select(*group).distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import duck
 from quotebook.operators import resolve
+from quotebook.operators import candidates
 from quotebook.operators.candidates import MatchLimits, canonical_names
 from quotebook.session import stage
 
@@ -119,6 +120,48 @@ def test_heavy_groups_do_not_make_all_pairs(spark):
     assert resolve.match_candidates(src, canon, limits=limits).count() <= 6 * n
 
 
+def test_names_of_eight_tokens_do_not_list_their_subsets(spark, monkeypatch):
+    """They match as before, and make about as many keys as names of four tokens."""
+    words = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove", "heath"]
+    primaries = [(f"{' '.join(words[:7])} kx{i:04d}", None) for i in range(20)] + [("amber birch", None)]
+    secondaries = [(f"kx{i:04d} {' '.join(words[i % 4: i % 4 + 3])}", None) for i in range(0, 20, 2)]
+    secondaries += [(f"{' '.join(words)} zz{i:04d}", None) for i in range(10)]
+    counts, plain = [], candidates._keys
+
+    def counted(features, *args):
+        keys = plain(features, *args)
+        counts.append((keys.count(), features.count()))
+        return keys
+
+    want = expected(secondaries, primaries)
+    monkeypatch.setattr(candidates, "_keys", counted)
+    assert spark_result(spark, secondaries, primaries, DEFAULT) == want
+    assert counts and all(n <= 60 * names for n, names in counts), counts
+
+
+def test_only_asked_tokens_are_listed(spark, monkeypatch):
+    """Names without a token of any hint never reach the listing of subsets, the others only with such tokens."""
+    seen = []
+
+    def spied(tokens, most):
+        seen.append(tokens)
+        return candidates.subsets(tokens, most)
+
+    staged = {}
+    kept = resolve.stage
+    monkeypatch.setattr(resolve, "subsets", spied)
+    monkeypatch.setattr(resolve, "stage", lambda df, label: staged.setdefault(label, kept(df, label)))
+    primaries = listings(spark, [(f"Alphaone Bravotwo kxx{i:03d}", None) for i in range(30)], "primary")
+    canon = kept(canonical_names(primaries), "canon")
+    hints = spark.createDataFrame([("a", "Kxx007"), ("b", "Bravotwo"), ("c", "Kxx003 Alphaone"), ("d", "Kxx003 Other")], "src string, hint string")
+    got = {r.src: r.slug for r in resolve.unique_token_match(hints, canon).collect()}
+    by_name = {r.canon: r.slug for r in canon.collect()}
+    assert got == {"a": by_name["Alphaone Bravotwo kxx007"], "c": by_name["Alphaone Bravotwo kxx003"]}
+    assert seen
+    left = {tuple(r.tokens) for r in staged["asked-names"].collect()}
+    assert left == {("alphaone", "bravotwo"), ("alphaone", "bravotwo", "kxx003"), ("alphaone", "bravotwo", "kxx007")}
+
+
 def test_copies_of_a_name_are_resolved_once(spark):
     """A third of the rows are one listing; heavy names take the broadcast branch."""
     rows = [("Acme Rockets Ltd", None)] * 300 + [(f"Acme {r}", None) for r in RARE]
