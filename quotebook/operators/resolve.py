@@ -152,15 +152,24 @@ def token_index(canon: DataFrame) -> DataFrame:
 def unique_token_match(hints: DataFrame, canon: DataFrame, limits: MatchLimits = MatchLimits()) -> DataFrame:
     """(src, slug) where the identity tokens of a name occur together in exactly one record.
 
-    ``hints`` is (src, hint). Canonical names list the subsets of their identity tokens once,
-    counted per subset, so a hint is one lookup; longer canonical names are found by their
-    rarest token.
+    ``hints`` is (src, hint). Canonical names list the subsets of those identity tokens that
+    any hint has, counted per subset, so a hint is one lookup; longer canonical names are found
+    by their rarest token.
     """
     def identity(tokens: str) -> Column:
         return F.expr(f"sort_array({identity_tokens(tokens)})")
 
     own = hints.select("src", identity(name_tokens("hint")).alias("tokens")).filter(F.size("tokens") > 0)
-    index = canon.withColumn("tokens", identity("canon_tokens")).filter(F.size("tokens") > 0)
+    own = stage(own, "hints")
+    asked = stage(own.select(F.explode("tokens").alias("t")).distinct(), "hint-tokens")
+    index = (
+        canon.select("canon", F.explode(F.expr(identity_tokens("canon_tokens"))).alias("t"))
+        .join(asked, "t", "left_semi")
+        .groupBy("canon")
+        .agg(F.sort_array(F.collect_list("t")).alias("tokens"))
+        .join(canon, "canon")
+    )
+    index = stage(index.select("canon", "slug", "ord", "n_records", "tokens"), "asked-names")
     n = F.size("tokens")
     sets = (
         index.filter(n <= limits.subset_tokens)
@@ -178,7 +187,7 @@ def unique_token_match(hints: DataFrame, canon: DataFrame, limits: MatchLimits =
         long = index.filter(n > limits.subset_tokens)
         found = found.unionByName(
             contained_pairs(own, long.select("canon", "tokens"), "src", "canon")
-            .join(canon, "canon")
+            .join(index, "canon")
             .select("src", "slug", "n_records")
         )
     return (
@@ -202,8 +211,12 @@ def unique_prefix_match(hints: DataFrame, canon: DataFrame, index: DataFrame | N
     own = hints.select(
         "src", "hint", F.explode(F.expr(identity_tokens(name_tokens("hint")))).alias("token")
     )
+    own = stage(own, "hint-words")
+    # Postings of other tokens go before they are gathered.
+    asked = stage(own.select("token").distinct(), "hint-tokens")
+    index = (token_index(canon) if index is None else index).join(asked, "token", "left_semi")
     present = (
-        own.join(token_index(canon) if index is None else index, "token")
+        own.join(index, "token")
         .groupBy("src")
         .agg(
             F.count(F.lit(1)).alias("n_present"),
