@@ -83,20 +83,26 @@ def match(index: DataFrame, windows: DataFrame, terms: DataFrame, slop: int = 0)
     here = _same(postings, _sized(rows), ["h"], "left_semi")
     here = keep(here, "decon-near")
 
-    def confirm(places: DataFrame, ranks: str) -> DataFrame:
+    def confirm(places: DataFrame, ranks: str, near: DataFrame) -> DataFrame:
         needed = parts.where(ranks).select("wid", "term", "offset")
+        # Postings of terms that are not asked for stay where they are.
+        near = near.join(_sized(needed.select("term").distinct()), "term", "left_semi")
         asked = places.join(_sized(needed), "wid").select(
             "id", "h", "wid", "length", "start", "offset", "term",
             F.explode(F.sequence(F.col("start") + F.col("offset") - slop, F.col("start") + F.col("offset") + slop)).alias("pos"),
         )
-        met = _same(asked, here, ["h", "term", "pos"], "left_semi")
+        met = _same(asked, near, ["h", "term", "pos"], "left_semi")
         n = met.groupBy("id", "h", "wid", "length", "start").agg(F.countDistinct("offset").alias("n"))
         want = parts.where(ranks).groupBy("wid").agg(F.count("*").alias("want"))
         return n.join(_sized(want), "wid").where("n = want").select("id", "h", "wid", "length", "start")
 
     single = starts.where("length = 1")
-    pairs = keep(confirm(starts.where("length > 1"), "rank = 2"), "decon-pairs")
-    more = confirm(pairs.where("length > 2"), "rank > 2")
+    pairs = keep(confirm(starts.where("length > 1"), "rank = 2", here), "decon-pairs")
+    left = pairs.where("length > 2").select("id", "h").distinct()
+    if left.count() <= BROADCAST_ROWS:
+        # The two rarest terms leave few rows; if not, the join below does without this.
+        here = _same(here, F.broadcast(left), ["h"], "left_semi")
+    more = confirm(pairs.where("length > 2"), "rank > 2", here)
     return single.unionByName(pairs.where("length = 2")).unionByName(more)
 
 

@@ -79,3 +79,21 @@ def test_proximity_finds_moved_words(spark):
     items = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
     hit = lambda slop: {r.doc_id for r in decon.contamination(docs, items, slop=slop).collect() if r.contaminated}
     assert hit(0) == {1} and hit(1) == {1, 2} and hit(3) == {1, 2, 3}
+
+
+def test_only_asked_postings_are_exchanged(spark, monkeypatch):
+    """Postings of the rarest terms of no window, and of rows that the two rarest terms rule out, stay where they are."""
+    docs = [(i, "a b c d " * 20 + ("r s" if i == 0 else "r t" if i % 2 else "s u")) for i in range(50)] + [(99, "d r s a b c")]
+    items = [(1, "d r s a")]
+    sides, plain = [], decon._same
+
+    def spied(left, right, columns, how):
+        if "pos" in columns:
+            sides.append((left, right.count()))
+        return plain(left, right, columns, how)
+
+    monkeypatch.setattr(decon, "_same", spied)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert _got(decon.contamination(d, b, window=4)) == _expected(docs, items, 4)
+    # Once the second rarest term, in 26 rows at most; then the other two terms, in the two rows with r and s side by side.
+    assert [n <= 60 for _, n in sides] == [True, True], [n for _, n in sides]
