@@ -5,8 +5,9 @@
 2. This is banded LSH, not an LSH forest: a class has TREES bands of MinHash values, all of one length, and no trie
    is walked. Two classes of similarity s agree in some band of length k with probability 1 - (1 - s^k)^TREES. The
    length is fixed before the data is seen: the greatest, up to DEPTH, that reaches the target recall at the threshold.
-3. Classes that agree in a band are linked to the least class of that value; the connected components of these links
-   hold all candidate pairs.
+3. Classes that agree in a band meet in the least class of that value. A class is linked to the least of those it
+   meets in, and that one to the others, each pair once (`band_links`); the connected components of these links hold
+   all candidate pairs.
 4. The sets of a component meet once for each pair of blocks: blocks hold a bounded number of classes and
    shingles and are formed by size, since sets of Jaccard similarity t differ in size by at most 1/t, so only
    blocks of neighbouring size levels meet. A block pair is verified by counting common shingles over posting
@@ -232,6 +233,20 @@ def verified(candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str,
         lambda t: _verify(t, threshold), "set long, links long, root long")
 
 
+def band_links(nodes: DataFrame) -> DataFrame:
+    """(set, root): links that connect all sets with a common (tree, prefix), from (set, tree, prefix).
+
+    Linking a set to the root of each of its bands gives up to TREES links for each member of a large group, and most
+    of these roots have the same least one. So a set gets one link, to the least of its roots, and the other links lie
+    between roots, which few sets are.
+    """
+    met = nodes.groupBy("tree", "prefix").agg(F.min("set").alias("root"), F.count("*").alias("n")).where("n > 1")
+    roots = nodes.join(met, ["tree", "prefix"]).groupBy("set").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots"))
+    own = roots.select("set", F.col("least").alias("root"))
+    between = roots.select(F.explode("roots").alias("set"), F.col("least").alias("root"))
+    return own.unionByName(between).where("set <> root").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -252,9 +267,7 @@ def near_duplicates(
     )
     sets = keep(sets, "near-sets")
     nodes = sets.where("size > 0").select("set", F.posexplode("prefixes").alias("tree", "prefix"))
-    met = nodes.groupBy("tree", "prefix").agg(F.min("set").alias("root"), F.count("*").alias("n")).where("n > 1")
-    links = nodes.join(met, ["tree", "prefix"]).where("set <> root").select("set", "root").distinct()
-    links = keep(links, "near-links")
+    links = keep(band_links(nodes), "near-links")
     comps = components(links, "set", "root").select(F.col("node").alias("set"), F.col("root").alias("comp"))
     candidates = sets.select("set", "weight", "size", "at.id", "at.h").join(comps, "set")
     found = keep(verified(candidates, docs, id_col, text_col, ngram, threshold), "near-verified")

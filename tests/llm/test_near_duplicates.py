@@ -95,6 +95,22 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000, 1002: 1000}
 
 
+def test_links_of_a_large_group_are_few(spark):
+    rng, nodes = random.Random(12), []
+    for tree in range(near.TREES):
+        order = rng.sample(range(400), 400)  # in each tree other sets meet, in groups of one to 100
+        at = 0
+        while at < 400:
+            size = rng.choice([1, 2, 5, 100])
+            nodes += [(s, tree, at) for s in order[at : at + size]]
+            at += size
+    nodes += [(1000 + s, tree, -1 - s % 3) for s in range(9) for tree in range(near.TREES)]
+    links = near.band_links(spark.createDataFrame(nodes, "set long, tree int, prefix long")).cache()
+    got = dict(components.components(links, "set", "root").collect())
+    assert got == {s: 0 for s in range(400)} | {1000 + s: 1000 + s % 3 for s in range(9)}
+    assert links.count() <= 3 * 400
+
+
 def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")] * 3 + [(None, "a b c d e f"), (2, "z")], "doc_id long, text string")
     got = near.near_duplicates(docs).collect()
