@@ -11,7 +11,7 @@ gathered from a part of the corpus is its distinct n-grams.
 2. Counts of the n-grams of trusted texts are summed up by n-gram; continuation counts, discounts and
    interpolation weights of all lower orders follow by grouping. Every n-gram has one row: its own share of
    probability and the weight it leaves to the next lower order as a context.
-3. Each chunk asks every shard of the model once, with a sorted and packed block of the n-grams it needs there;
+3. Each chunk asks every shard of the model once, with a packed block of the n-grams it needs there, by length and sorted;
    the shard (a cogroup of blocks and rows of the model, by hash of the n-gram) answers with numbers in the order
    of the block, and the answers meet the chunk again. There are as many shards as keep blocks and rows of one
    within SHARD_GRAMS on average. The chunk's n-grams are scored once each, its documents by all places of theirs.
@@ -29,7 +29,7 @@ rejected. Other columns of the inputs, whatever their names, are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from zlib import crc32
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,6 +47,10 @@ ORDER = 5
 CHUNK_CHARS = 16 << 20
 #: Texts are cut into n-grams so many characters at a time (n-grams across the cuts included).
 PIECE_CHARS = 1 << 20
+#: Codes up to so many are numbered through a table of all of them, more by hashing.
+DENSE_CODES = 1 << 23
+#: A chunk's n-grams gathered from pieces before they are merged.
+GATHERED_GRAMS = 1 << 19
 #: N-grams asked of a shard, and rows of the model in it, on average.
 SHARD_GRAMS = 1_000_000
 QUANTILE = 0.99
@@ -57,6 +61,8 @@ MOST_BUCKETS = 100_000
 BROADCAST_ROWS = 1_000_000
 # Marks of a text's start and end.
 START, END = "\x02", "\x03"
+#: An n-gram's shard: a weighted sum of its code points, the same in Spark and in numpy.
+WEIGHTS, PRIME = (1_540_483_477, 1_103_515_245, 776_531_401, 505_563_883, 268_582_165), (1 << 31) - 1
 
 
 def pack(data: bytes) -> bytes:
@@ -69,10 +75,24 @@ def unpack(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
-def unpack_grams(blob: bytes) -> list[str]:
-    """The n-grams of highest order, packed one after the other."""
-    joined = unpack(blob).decode()
-    return [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
+def points_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def text_of(points: np.ndarray) -> bytes:
+    return points.astype("<u4").tobytes().decode("utf-32-le").encode()
+
+
+def unpack_grams(blob: bytes) -> np.ndarray:
+    """The n-grams of highest order, packed one after the other, as rows of code points."""
+    return points_of(unpack(blob).decode()).reshape(-1, ORDER)
+
+
+def strings_of(grams: np.ndarray) -> pa.StringArray:
+    """Rows of code points as texts."""
+    sizes = (1 + (grams >= 0x80) + (grams >= 0x800) + (grams >= 0x10000)).sum(axis=1)
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(grams), pa.py_buffer(ends), pa.py_buffer(text_of(grams)))
 
 
 def words_of(text: str) -> list[str]:
@@ -87,32 +107,111 @@ def grams_of(run: str) -> list[str]:
     return [padded[i : i + ORDER] for i in range(len(run) + 1)]
 
 
-def _distinct(stream: str) -> tuple[list[str], np.ndarray]:
+class Grams:
+    """N-grams as rows of code points; an item is a text."""
+
+    def __init__(self, points: np.ndarray):
+        self.points = points
+
+    def __len__(self) -> int:
+        return len(self.points)
+
+    def __getitem__(self, i: int) -> str:
+        return text_of(self.points[i]).decode()
+
+
+class Codes:
+    """Numbers for rows of code points, in the order of the rows. ``codes`` are those of the rows given."""
+
+    def __init__(self, rows: np.ndarray):
+        # Points that these rows lack have the last rank.
+        used = np.zeros(int(rows.max(initial=0)) + 2, bool)
+        for points in rows.T:
+            used[points] = True
+        self._base = int(used.sum()) + 1
+        self._rank = np.where(used, np.cumsum(used) - 1, self._base - 1)
+        self._prefixes: dict[int, np.ndarray] = {}
+        size, code = 1, np.zeros(len(rows), np.int64)
+        for k, points in enumerate(rows.T):
+            if size * self._base >= 1 << 62:
+                # Too many for one number: the distinct prefixes are numbered anew.
+                self._prefixes[k] = np.unique(code)
+                code, size = np.searchsorted(self._prefixes[k], code), len(self._prefixes[k]) + 1
+            code = code * self._base + self._rank[points]
+            size *= self._base
+        self.codes = code
+
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        """The codes of other rows; one that is not among the rows given has none of their codes."""
+        code = np.zeros(len(rows), np.int64)
+        for k, points in enumerate(rows.T):
+            if k in self._prefixes:
+                code = found(self._prefixes[k], code)
+            code = code * self._base + self._rank[np.minimum(points, len(self._rank) - 1)]
+        return code
+
+
+def found(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted number is among ascending values; behind the last one if it is not."""
+    if not len(values):
+        return np.zeros(len(wanted), np.int64)
+    at = np.searchsorted(values, wanted)
+    return np.where(values[np.minimum(at, len(values) - 1)] == wanted, at, len(values))
+
+
+def distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of code points in ascending order, and the place of each row among them."""
+    number, codes = pd.factorize(Codes(rows).codes)
+    order = np.argsort(codes)
+    place, rank = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+    place[number] = np.arange(len(number))
+    rank[order] = np.arange(len(order))
+    return rows[place[order]], rank[number]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of all parts in ascending order, and the sums of their counts."""
+    grams, at = distinct_rows(np.concatenate([g for g, _ in parts]))
+    counts = np.zeros(len(grams), np.int64)
+    np.add.at(counts, at, np.concatenate([n for _, n in parts]))
+    return grams, counts
+
+
+def _compact(code: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """Codes below a size, numbered without gaps."""
+    if size > DENSE_CODES:
+        number, codes = pd.factorize(code)
+        return number, len(codes)
+    used = np.zeros(size, bool)
+    used[code] = True
+    codes = np.flatnonzero(used)
+    rank = np.zeros(size, np.int32)
+    rank[codes] = np.arange(len(codes), dtype=np.int32)
+    return rank[code], len(codes)
+
+
+def _distinct(stream: str) -> tuple[Grams, np.ndarray]:
     """The stream's distinct n-grams and, for each place where one begins, its number among them."""
-    points = np.frombuffer(stream.encode("utf-32-le"), "<u4")
-    used = np.zeros(points.max() + 1, bool)
-    used[points] = True
-    letters = np.flatnonzero(used)
-    rank, size = (np.cumsum(used) - 1)[points], len(letters)
-    code = rank
+    points = points_of(stream)
+    rank, letters = _compact(points, int(points.max()) + 1)
+    code, size = rank, letters
     for k in range(1, ORDER):
-        if size * len(letters) >= 1 << 62:
-            code, found = pd.factorize(code)
-            size = len(found)
-        code = code[:-1] * len(letters) + rank[k:]
-        size *= len(letters)
-    number, found = pd.factorize(code)
-    place = np.zeros(len(found), np.int64)
+        if size * letters > DENSE_CODES:
+            code, size = _compact(code, size)
+        code = code[:-1].astype(np.int64 if size * letters >= 1 << 31 else np.int32) * letters + rank[k:]
+        size *= letters
+    number, n = _compact(code, size)
+    place = np.zeros(n, np.int64)
     place[number] = np.arange(len(number))
-    return [stream[i : i + ORDER] for i in place.tolist()], number
+    return Grams(points[place[:, None] + np.arange(ORDER)]), number
 
 
-def numbered(runs: Iterable[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+def numbered(runs: Iterable[str]) -> Iterator[tuple[Grams, np.ndarray, np.ndarray]]:
     """The n-grams of all runs in pieces: (n-grams, their numbers at all places, the run of each place). A piece's
     list also holds the few n-grams that cross from one run to the next; no place has their numbers."""
     owners, cut, size = [], [], 0
 
-    def piece() -> tuple[list[str], np.ndarray, np.ndarray]:
+    def piece() -> tuple[Grams, np.ndarray, np.ndarray]:
         grams, number = _distinct("".join(cut))
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
         inside = np.ones(lengths.sum(), bool)
@@ -149,15 +248,14 @@ def coded(
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId() << 24, 0
-        seen: dict[str, int] = {}
+        none = np.zeros((0, ORDER), "<u4"), np.zeros(0, np.int64)
         rows: list[pa.RecordBatch] = []
-        texts, ends, size = [], [], 0
+        seen, gathered, texts, ends, size = [none], 0, [], [], 0
 
         def chunk() -> pa.RecordBatch:
             small = pa.Table.from_batches(rows).combine_chunks()
-            grams = sorted(seen)
-            trusted = np.fromiter(map(seen.__getitem__, grams), "<i8", len(grams))
-            packed = ("".join(grams).encode(), trusted.tobytes(), b"".join(texts))
+            grams, trusted = _merged(seen)
+            packed = (text_of(grams), trusted.astype("<i8").tobytes(), b"".join(texts))
             one = lambda column: pa.ListArray.from_arrays(
                 pa.array([0, len(column)], pa.int32()), column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
             return pa.RecordBatch.from_arrays(
@@ -176,11 +274,12 @@ def coded(
                 runs = ["".join(words_of(text)) for text in texts_of(piece.column(3))]
                 good_ = piece.column(2).to_numpy(zero_copy_only=False) > 0
                 for grams, numbers, owner in numbered(runs):
-                    used = np.bincount(numbers, minlength=len(grams)).tolist()
-                    trusted = np.bincount(numbers[good_[owner]], minlength=len(grams)).tolist()
-                    for gram, n, k in zip(grams, used, trusted, strict=True):
-                        if n:
-                            seen[gram] = seen.get(gram, 0) + k
+                    used = np.bincount(numbers, minlength=len(grams)) > 0
+                    trusted = np.bincount(numbers[good_[owner]], minlength=len(grams))
+                    seen.append((grams.points[used], trusted[used]))
+                    gathered += len(seen[-1][1])
+                    if gathered >= GATHERED_GRAMS:
+                        seen, gathered = [_merged(seen)], 0
                 # As bytes: one rare character would widen a whole chunk of text.
                 for run in runs:
                     texts.append(run.encode())
@@ -188,7 +287,7 @@ def coded(
                 size += sum(map(len, runs))
                 if size >= CHUNK_CHARS:
                     yield chunk()
-                    seen, rows, texts, ends, size = {}, [], [], [], 0
+                    rows, seen, gathered, texts, ends, size = [], [none], 0, [], [], 0
                     number += 1
                     pa.default_memory_pool().release_unused()
         if rows:
@@ -207,8 +306,8 @@ def coded(
 def _trusted_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for packed, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            grams, n = pa.array(unpack_grams(packed), pa.string()), pa.array(np.frombuffer(unpack(counts), "<i8"))
-            yield pa.RecordBatch.from_arrays([grams, n], names=["gram", "n"]).filter(pc.greater(n, 0))
+            n = np.frombuffer(unpack(counts), "<i8")
+            yield pa.RecordBatch.from_arrays([strings_of(unpack_grams(packed)[n > 0]), pa.array(n[n > 0])], names=["gram", "n"])
 
 
 def discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -246,24 +345,67 @@ def train(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
     return keep(union.groupBy("gram").agg(F.sum("own").alias("own"), F.sum("left").alias("left")), "quality-model"), symbols
 
 
-def asked(grams: list[str], shards: int) -> list[list[str]]:
-    """What the scores of these n-grams take from each shard of the model, in sorted order: the n-grams, their
-    contexts, and the same of all lower orders."""
-    keys, level = {*grams, ""}, {g[:-1] for g in grams} | {g[1:] for g in grams}
-    while level:
-        keys |= level
-        level = {g[1:] for g in level if g}
-    out: list[list[str]] = [[] for _ in range(shards)]
-    for key in sorted(keys):
-        out[crc32(key.encode()) % shards].append(key)
-    return out
+def shard_of(gram: str, shards: int) -> Column:
+    parts = [F.ascii(F.substring(gram, i + 1, 1)).cast("long") * w for i, w in enumerate(WEIGHTS)]
+    return reduce(Column.__add__, parts) % PRIME % shards
+
+
+class Asked:
+    """What the scores of n-grams (distinct, ascending) take from the shards of the model: the n-grams, their contexts,
+    and the same of all lower orders."""
+
+    def __init__(self, grams: np.ndarray, shards: int):
+        # levels[k]: the keys of k characters; shorter[k]: the place of each without its first character in levels[k - 1].
+        self.levels, self._shorter = {ORDER: grams}, {}
+        below, at = distinct_rows(np.concatenate([grams[:, :-1], grams[:, 1:]]))
+        self._contexts, self._shorter[ORDER] = at[: len(grams)], at[len(grams) :]
+        for k in range(ORDER - 1, 0, -1):
+            self.levels[k] = below
+            below, self._shorter[k] = distinct_rows(below[:, 1:])
+        self.levels[0] = np.zeros((1, 0), "<u4")
+        # The keys of a shard, by level, in the order of its block.
+        self._keys: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(shards)]
+        for k, keys in self.levels.items():
+            shard = keys.astype(np.int64) @ np.array(WEIGHTS[:k], np.int64) % PRIME % shards
+            order = np.argsort(shard, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                if len(some):
+                    self._keys[shard[some[0]]].append((k, some))
+
+    def blocks(self) -> Iterator[tuple[int, bytes]]:
+        """(shard, its keys, each on a line of its own) for every shard that is asked."""
+        for shard, parts in enumerate(self._keys):
+            lines = [np.pad(self.levels[k][some], ((0, 0), (0, 1)), constant_values=10).ravel() for k, some in parts]
+            if lines:
+                yield shard, text_of(np.concatenate(lines))[:-1]
+
+    def log_probabilities(self, answers: list[dict], symbols: int) -> np.ndarray:
+        """log p of the n-grams, from the answers of the shards."""
+        own, left = ({k: np.zeros(len(keys)) for k, keys in self.levels.items()} for _ in range(2))
+        for answer in answers:
+            both, at = np.frombuffer(unpack(answer["block"])).reshape(2, -1), 0
+            for k, some in self._keys[answer["shard"]]:
+                own[k][some], left[k][some] = both[:, at : at + len(some)]
+                at += len(some)
+        n = len(self.levels[ORDER])
+        parts, contexts = {ORDER: np.arange(n)}, {ORDER - 1: self._contexts}
+        for k in range(ORDER, 0, -1):
+            parts[k - 1] = self._shorter[k][parts[k]]
+            if k < ORDER:
+                contexts[k - 1] = self._shorter[k][contexts[k]]
+        p = np.full(n, 1 / (symbols + 1))
+        for k in range(1, ORDER + 1):
+            # What was not found has no own share, and leaves everything as a context.
+            rest = left[k - 1][contexts[k - 1]]
+            p = own[k][parts[k]] + np.where(rest == 0.0, 1.0, rest) * p
+        return np.log(p)
 
 
 def _asks(shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                blocks = [(i, pack("\n".join(keys).encode())) for i, keys in enumerate(asked(unpack_grams(packed), shards)) if keys]
+                blocks = [(i, pack(keys)) for i, keys in Asked(unpack_grams(packed), shards).blocks()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * len(blocks), pa.int64()), pa.array([i for i, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.binary())],
                     names=["chunk", "shard", "block"])
@@ -283,37 +425,12 @@ def _answers(asks: pa.Table, rows: pa.Table) -> pa.Table:
     return pa.table({"chunk": asks["chunk"], "shard": asks["shard"], "block": pa.array(values, pa.binary())})
 
 
-def log_probabilities(packed: bytes, answers: list[dict], shards: int, symbols: int) -> dict[str, float]:
-    """log p of a chunk's n-grams of highest order, from the answers of the shards."""
-    grams = unpack_grams(packed)
-    blocks = asked(grams, shards)
-    known, own, left = [], [np.zeros(0)], [np.zeros(0)]
-    for answer in answers:
-        known += blocks[answer["shard"]]
-        values = np.frombuffer(unpack(answer["block"]))
-        own.append(values[: len(values) // 2])
-        left.append(values[len(values) // 2 :])
-    own, left, known, grams = np.concatenate(own), np.concatenate(left), pa.array(known, pa.string()), pa.array(grams, pa.string())
-    # What was not found has no own share, and leaves everything as a context.
-    own, left = np.append(own, 0.0), np.append(np.where(left == 0.0, 1.0, left), 1.0)
-
-    def found(part: pa.Array) -> np.ndarray:
-        return pc.fill_null(pc.index_in(part, value_set=known), len(known)).to_numpy(zero_copy_only=False)
-
-    p = np.full(len(grams), 1 / (symbols + 1))
-    for start in range(ORDER - 1, -1, -1):
-        part = pc.utf8_slice_codeunits(grams, start, ORDER)
-        context = pc.utf8_slice_codeunits(grams, start, ORDER - 1)
-        p = own[found(part)] + left[found(context)] * p
-    return dict(zip(grams.to_pylist(), np.log(p).tolist(), strict=True))
-
-
 def perplexities(chunks: DataFrame, model: DataFrame, symbols: int, buckets: int) -> DataFrame:
     """id, lang, good, perplexity of every document. The answers are dealt as the chunks are, so these stay in place."""
     size = max(chunks.agg(F.sum("n")).first()[0] or 0, model.count())
     shards = size // SHARD_GRAMS + 1
     asks = chunks.select("chunk", "grams").mapInArrow(_asks(shards), "chunk long, shard long, block binary")
-    rows = model.withColumn("shard", F.pmod(F.crc32("gram"), F.lit(shards)))
+    rows = model.withColumn("shard", shard_of("gram", shards))
     answers = asks.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(_answers, "chunk long, shard long, block binary")
     answers = answers.repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("shard", "block")).alias("answers"))
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
@@ -321,14 +438,16 @@ def perplexities(chunks: DataFrame, model: DataFrame, symbols: int, buckets: int
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                ids, langs, good, ends, blob, packed, found = (batch.column(c)[i] for c in range(7))
-                model_ = log_probabilities(packed.as_py(), found.as_py() or [], shards, symbols)
+                ids, langs, good, ends, blob, packed, answer = (batch.column(c)[i] for c in range(7))
+                known = unpack_grams(packed.as_py())
+                # A piece also has n-grams across documents, which no place refers to: behind the last one.
+                values = np.append(Asked(known, shards).log_probabilities(answer.as_py() or [], symbols), 0.0)
+                codes = Codes(known)
                 text, stops = unpack(blob.as_py()), ends.values.to_pylist()
                 runs = (text[a:b].decode() for a, b in zip([0, *stops[:-1]], stops, strict=True))
                 log, chars = np.zeros(len(stops)), np.zeros(len(stops), np.int64)
                 for grams, numbers, owner in numbered(runs):
-                    # A piece's list also has n-grams across documents, which no place refers to.
-                    logs = np.fromiter((model_.get(g, 0.0) for g in grams), np.float64, len(grams))
+                    logs = values[found(codes.codes, codes.of(grams.points))]
                     log += np.bincount(owner, weights=logs[numbers], minlength=len(stops))
                     chars += np.bincount(owner, minlength=len(stops))
                 value = np.exp(-log / np.maximum(chars, 1))

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from quotebook.llm import quality
@@ -109,3 +110,43 @@ def test_order_and_repetition_count(spark, monkeypatch):
             for n, o in zip(numbers, owner, strict=True):
                 cut[o].append(grams[n])
         assert cut == [quality.grams_of(r) if r else [] for r in runs]
+
+
+def test_rows_of_code_points_stand_for_texts():
+    rng, rows = random.Random(2), lambda texts: np.concatenate([quality.points_of(t) for t in texts]).reshape(-1, quality.ORDER)
+    # The second alphabet is too large for five of its letters to fit into one number.
+    for alphabet in ("ab\u00e9\u4e2d\U0001f600\x02", "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))):
+        texts = sorted({"".join(rng.choice(alphabet) for _ in range(quality.ORDER)) for _ in range(4000)} | {"ab\x02cd"})
+        grams = rows(texts)
+        assert quality.strings_of(grams).to_pylist() == texts and quality.text_of(grams).decode() == "".join(texts)
+        others = ["".join(rng.choice(alphabet + "qz") for _ in range(quality.ORDER)) for _ in range(3000)] + texts[::3] + ["\U0010ffff" * quality.ORDER]
+        codes, places = quality.Codes(grams), {t: i for i, t in enumerate(texts)}
+        assert (np.diff(codes.codes) > 0).all()
+        assert quality.found(codes.codes, codes.of(rows(others))).tolist() == [places.get(t, len(texts)) for t in others]
+        merged, sums = quality._merged([(rows(others), np.ones(len(others), np.int64)), (grams[::2], np.full(len(grams[::2]), 5))])
+        assert dict(zip(quality.strings_of(merged).to_pylist(), sums, strict=True)) == Counter(others) + Counter(texts[::2] * 5)
+        keys = {""}.union(*({t[i:j] for t in texts} for i in range(quality.ORDER + 1) for j in range(max(i, quality.ORDER - 1), quality.ORDER + 1)))
+        asked = [(i, b.decode().split("\n")) for i, b in quality.Asked(grams, 5).blocks()]
+        assert sorted(k for _, ks in asked for k in ks) == sorted(keys)
+
+
+def test_shards_are_the_same_in_spark_and_in_numpy(spark):
+    texts = ["abcde", "\x02\x02\x02\x02a", "\u4e2d\U0001f600\u00e9 \x03", "\U0010ffff" * 5]
+    grams = np.concatenate([quality.points_of(t) for t in sorted(texts)]).reshape(-1, quality.ORDER)
+    asked = {k: i for i, b in quality.Asked(grams, 1000).blocks() for k in b.decode().split("\n")}
+    rows = spark.createDataFrame([(k,) for k in asked], "gram string").select("gram", quality.shard_of("gram", 1000).alias("shard"))
+    assert {r.gram: r.shard for r in rows.collect()} == asked
+
+
+def test_distinct_ngrams_are_numbered_in_arrays():
+    # One text for each n-gram and place took most of the time: a million characters were some 0.3 s and 100,000 texts.
+    rng = random.Random(3)
+    for dense in (10, 1 << 23):
+        run = " ".join("".join(rng.choice("abcdefghijklmnop\u00e9\u4e2d") for _ in range(rng.randrange(1, 9))) for _ in range(2000))
+        old, quality.DENSE_CODES = quality.DENSE_CODES, dense
+        try:
+            ((grams, numbers, _),) = quality.numbered([run])
+        finally:
+            quality.DENSE_CODES = old
+        assert isinstance(grams.points, np.ndarray) and grams.points.shape == (len(grams), quality.ORDER)
+        assert [grams[n] for n in numbers] == quality.grams_of(run)
