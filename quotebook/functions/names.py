@@ -21,6 +21,7 @@ from quotebook.functions.vocabulary import (
 
 _PARENTHESISED = r"\(([^)]+)\)"
 _WS_LITERAL = "".join(f"\\u{ord(c):04x}" for c in WS_CHARS)
+_SPLIT_WORDS = ("formerly", "previously", "known as")
 _EDGE_PUNCTUATION = r" \t-–—,()"
 NO_TOKENS = "cast(array() AS array<string>)"
 
@@ -48,7 +49,13 @@ def _expand_abbreviations(e: str) -> str:
     def spelled(x: str, short: str, long: str) -> str:
         return f"if(contains(lower({x}), '{short}'), regexp_replace({x}, r'{_whole_word(short)}', '{long}'), {x})"
 
-    return let(spelled(e, "ent", "enterprise"), lambda x: spelled(x, "lab", "laboratories"))
+    both = let(spelled(e, "ent", "enterprise"), lambda x: spelled(x, "lab", "laboratories"))
+    return f"if({_contains_any(e, 'ent', 'lab')}, {both}, {e})"
+
+
+def _contains_any(e: str, *parts: str) -> str:
+    """Condition: the lower-cased text has one of these (lower-case) parts."""
+    return f"({' OR '.join(f'contains(lower({e}), {chr(39)}{p}{chr(39)})' for p in parts)})"
 
 
 def _runs(e: str) -> str:
@@ -65,24 +72,27 @@ def canonical_match_name(e: str) -> str:
 
 
 def normalize_for_match(e: str) -> str:
-    key = f"regexp_replace(lower({canonical_match_name(e)}), '[^a-z0-9]', '')"
+    # White space at the ends goes with the other characters.
+    expanded = _expand_abbreviations(f"coalesce({e}, '')")
+    key = f"regexp_replace(lower({expanded}), '[^a-z0-9]+', '')"
     for noise in KEY_NOISE:
         key = f"replace({key}, '{noise}', '')"
     return key
 
 
 def stem(t: str) -> str:
-    return f"if(length({t}) > 4 AND endswith({t}, 's') AND NOT endswith({t}, 'ss'), left({t}, length({t}) - 1), {t})"
+    return f"if(endswith({t}, 's') AND length({t}) > 4 AND NOT endswith({t}, 'ss'), left({t}, length({t}) - 1), {t})"
 
 
 def name_tokens(e: str) -> str:
     """Distinct stemmed tokens of a name; joined-up forms of hyphenated words are added."""
-    def runs(low: str) -> str:
-        squeezed = f"""translate({low}, "-'/", '')"""
-        return f"""if({low} RLIKE r"[-'/]", concat({_runs(low)}, {_runs(squeezed)}), {_runs(low)})"""
-
-    words = let(f"lower({canonical_match_name(e)})", runs)
-    kept = f"filter(array_distinct({words}), w -> length(w) > 1 AND NOT {any_of(STOP_TOKENS, 'w')})"
+    # Everything outside the two lambdas is compiled; white space at the ends is in no run.
+    expanded = _expand_abbreviations(f"coalesce({e}, '')")
+    low = f"lower({expanded})"
+    squeezed = f"""translate({low}, "-'/", '')"""
+    hyphens = f"""(contains({expanded}, '-') OR contains({expanded}, "'") OR contains({expanded}, '/'))"""
+    words = f"if({hyphens}, concat({_runs(low)}, {_runs(squeezed)}), {_runs(low)})"
+    kept = f"filter({words}, w -> length(w) > 1 AND NOT {any_of(STOP_TOKENS, 'w')})"
     return f"array_distinct(transform({kept}, w -> {stem('w')}))"
 
 
@@ -96,7 +106,7 @@ def identity_tokens(tokens: str) -> str:
 def name_variants(e: str) -> str:
     """The name, its parenthesised parts and the pieces around "formerly" and the like."""
     e = f"coalesce({e}, '')"
-    split = f"split({e}, r'{_whole_word('formerly|previously|known as')}', -1)"
+    split = f"split({e}, r'{_whole_word('|'.join(_SPLIT_WORDS))}', -1)"
     trimmed = f"transform(concat(array({e}), {_inner(e)}, {split}), p -> btrim(p, '{_EDGE_PUNCTUATION}'))"
     kept = f"filter(array_distinct({trimmed}), p -> length(p) >= 3)"
     spelled = f"flatten(transform({kept}, p -> array(p, {_expand_abbreviations('p')})))"
@@ -108,13 +118,19 @@ def name_variants(e: str) -> str:
             lambda folded: f"filter({v}, (p, i) -> array_position({folded}, get({folded}, i)) = i + 1)",
         )
 
-    return let(spelled, distinct)
+    # A name without parentheses, split words and abbreviations is its only variant. Most are like this.
+    plain = f"NOT contains({e}, '(') AND NOT {_contains_any(e, *_SPLIT_WORDS, 'ent', 'lab')}"
+    alone = f"btrim({e}, '{_EDGE_PUNCTUATION}')"
+    return f"if({plain}, if(length({alone}) >= 3, array({alone}), {NO_TOKENS}), {let(spelled, distinct)})"
+
+
+def _fluff(drop_limited: bool) -> tuple:
+    return tuple(w for w in TRAILING_WORDS if drop_limited or w not in ("limited", "ltd"))
 
 
 def _without_tail(words: str, drop_limited: bool) -> str:
-    fluff = tuple(w for w in TRAILING_WORDS if drop_limited or w not in ("limited", "ltd"))
     return let(
-        f"array_position(transform(reverse({words}), w -> NOT {any_of(fluff, 'w')}), true)",
+        f"array_position(transform(reverse({words}), w -> NOT {any_of(_fluff(drop_limited), 'w')}), true)",
         lambda tail: f"if({tail} > 0, slice({words}, 1, cast(size({words}) - {tail} + 1 AS int)), {NO_TOKENS})",
     )
 
@@ -126,12 +142,17 @@ def significant_words(e: str, drop_limited: bool = True) -> str:
 
 def acronyms_of(e: str) -> str:
     """Initials of the significant words, with and without "limited", 2 to 6 letters long."""
-    both = let(
-        _runs(f"lower(coalesce({e}, ''))"),
-        lambda words: f"array({_without_tail(words, True)}, {_without_tail(words, False)})",
-    )
-    initials = f"transform({both}, ws -> if(size(ws) >= 2, array_join(transform(ws, w -> left(w, 1)), ''), ''))"
-    return f"array_distinct(filter({initials}, a -> length(a) BETWEEN 2 AND 6))"
+    def initials(words: str) -> str:
+        # Up to the last word that is not a trailing one; words are ASCII, one letter each.
+        letters = f"array_join(transform({words}, w -> left(w, 1)), '')"
+
+        def kept(drop_limited: bool) -> str:
+            return f"array_max(transform({words}, (w, i) -> if({any_of(_fluff(drop_limited), 'w')}, 0, i + 1)))"
+
+        return let(letters, lambda all_: f"array(left({all_}, {kept(True)}), left({all_}, {kept(False)}))")
+
+    both = let(_runs(f"lower(coalesce({e}, ''))"), initials)
+    return f"array_distinct(filter({both}, a -> length(a) BETWEEN 2 AND 6))"
 
 
 def paren_chunks(e: str) -> str:
@@ -142,7 +163,7 @@ def paren_chunks(e: str) -> str:
 
 def short_keys(e: str) -> str:
     """Keys under which a short form finds this name: parenthesised chunks and acronyms."""
-    chunks = f"transform({paren_chunks(e)}, c -> {normalize_for_match('c')})"
+    chunks = f"if(contains({e}, '('), transform({paren_chunks(e)}, c -> {normalize_for_match('c')}), {NO_TOKENS})"
     return f"array_distinct(filter(concat({chunks}, {acronyms_of(e)}), k -> length(k) >= 3))"
 
 

@@ -84,6 +84,13 @@ def _joined(tokens: str) -> str:
     return f"concat('|', array_join({tokens}, '|'))"
 
 
+def chosen(tokens: str, most: int, bits: str = "i") -> str:
+    """SQL text: the tokens of a subset, joined as in ``subsets``. The subset is a number with a bit per place in an
+    array of up to ``most`` tokens; exploding numbers and joining afterwards is compiled, a lambda is not."""
+    parts = [f"if({bits} & {1 << at} != 0, concat('|', get({tokens}, {at})), '')" for at in range(most)]
+    return f"concat({', '.join(parts)})"
+
+
 def least_overlap(n: str) -> str:
     """Fewest common tokens a set of n needs for the threshold, safe against rounding."""
     return f"cast(ceil(({n}) * {MIN_OVERLAP}D - 1e-9D) AS int)"
@@ -122,10 +129,6 @@ def variant_features(names: DataFrame, key: str, *hints: str) -> DataFrame:
 # --- match keys --------------------------------------------------------------------------------
 
 
-def _key(kind: str, tier: int, text: str) -> str:
-    return f"named_struct('tier', {tier}, 'g', concat('{kind}', {text}))"
-
-
 def _keys(
     features: DataFrame, key: str, tiers: tuple, limits: MatchLimits, secondary: bool, most: int | None = None
 ) -> DataFrame:
@@ -133,43 +136,61 @@ def _keys(
 
     The subset tier lists names of up to ``most`` tokens (``limits.subset_tokens`` unless given)."""
     most = limits.subset_tokens if most is None else most
-    none = "cast(array() AS array<struct<tier:int,g:string>>)"
     n = "size(tokens)"
-    parts = []
+    # A row's keys are numbers first, each made into its text after they are exploded: no lambda, so that all is compiled.
+    # Positive numbers are sets of tokens, a bit per place in the sorted array.
+    none = "cast(array() AS array<int>)"
+    numbers, texts = [], []
+    common = "cast(null AS array<string>)"
+
+    def add(when: str, items: str, this: str, tier: int, text: str) -> None:
+        numbers.append(f"if({when}, {items}, {none})")
+        texts.append((this, tier, text))
+
+    def add_all(array: str, first: int, tier: int, text: str) -> None:
+        # Places of an array: every second number from the first one down.
+        place = f"cast(({first} - i) / 2 AS int)"
+        add(f"size({array}) > 0", f"sequence({first}, {first} - 2 * (size({array}) - 1), -2)",
+            f"i <= {first} AND i % 2 = {-(-first % 2)}", tier, text.format(f"get({array}, {place})"))
+
     if TIER_EQUAL in tiers:
-        parts.append(f"if(norm != '', array({_key('=', TIER_EQUAL, 'norm')}), {none})")
+        add("norm != ''", "array(-1)", "i = -1", TIER_EQUAL, "concat('=', norm)")
     if TIER_SHORT in tiers:
         if secondary:
-            parts.append(f"if(length(norm) >= 3, array({_key('s', TIER_SHORT, 'norm')}), {none})")
+            add("length(norm) >= 3", "array(-2)", "i = -2", TIER_SHORT, "concat('s', norm)")
         else:
-            parts.append(f"transform(shorts, s -> {_key('s', TIER_SHORT, 's')})")
+            add_all("shorts", -10, TIER_SHORT, "concat('s', {})")
     if TIER_SUBSET in tiers:
         # "<": the secondary set lies in the canonical one; ">": strictly the other way round.
         own, other = ("<", ">") if secondary else (">", "<")
-        inside = f"filter({subsets('tokens', n)}, s -> s.n >= 2 {f'AND s.n < {n}' if secondary else ''})"
-        keys = (
-            f"concat(array({_key(own, TIER_SUBSET, _joined('tokens'))}), "
-            f"transform({inside}, s -> {_key(other, TIER_SUBSET, 's.k')}))"
-        )
-        parts.append(f"if({n} BETWEEN 2 AND {most}, {keys}, {none})")
+        listed = f"{n} BETWEEN 2 AND {most}"
+        add(listed, "array(-3)", "i = -3", TIER_SUBSET, f"concat('{own}', {_joined('tokens')})")
+        # Sets of two or more; all but the whole one where it has to be smaller.
+        last = f"shiftleft(1, {n}) - {2 if secondary else 1}"
+        add(f"{listed} AND {last} >= 3", f"sequence(3, {last})", "i > 0", TIER_SUBSET, f"concat('{other}', {chosen('tokens', most)})")
     if TIER_OVERLAP in tiers:
         # A common set of k tokens, properly inside both sides, of sizes n and m: as the other
         # side has more than k tokens, k / (n + 1) must reach the threshold.
         least = least_overlap(f"{n} + 1")
-        common = f"filter({subsets('tokens', f'{n} - {least}')}, s -> s.n >= 2 AND s.n < {n})"
+        sets = f"filter({subsets('tokens', f'{n} - {least}')}, s -> s.n >= 2 AND s.n < {n})"
         if secondary:
             sizes = (
                 f"filter(sequence(s.n + 1, greatest(s.n + 1, {limits.overlap_tokens})), "
                 f"m -> s.n / ({n} + m - s.n) >= {MIN_OVERLAP}D)"
             )
-            sized = _key("~", TIER_OVERLAP, "s.k, '#', m")
-            keys = f"flatten(transform({common}, s -> transform({sizes}, m -> {sized})))"
+            sized = f"flatten(transform({sets}, s -> transform({sizes}, m -> concat('~', s.k, '#', m))))"
         else:
-            sized = _key("~", TIER_OVERLAP, f"s.k, '#', {n}")
-            keys = f"transform({common}, s -> {sized})"
-        parts.append(f"if({n} BETWEEN 3 AND {limits.overlap_tokens} AND {least} < {n}, {keys}, {none})")
-    return features.selectExpr(key, f"explode(concat({', '.join(parts)})) AS m").selectExpr(
-        key, "m.tier AS tier", "m.g AS g"
+            sized = f"transform({sets}, s -> concat('~', s.k, '#', {n}))"
+        common = f"if({n} BETWEEN 3 AND {limits.overlap_tokens} AND {least} < {n}, {sized}, {NO_TOKENS})"
+        add_all("common", -11, TIER_OVERLAP, "{}")
+    shown = features.selectExpr(key, "norm", "tokens", "shorts", f"{common} AS common").selectExpr(
+        key, "norm", "tokens", "shorts", "common", f"explode(concat({', '.join(numbers)})) AS i"
+    )
+    whens = [(this, str(tier), text) for this, tier, text in texts]
+    return shown.filter("i < 0 OR bit_count(i) >= 2").selectExpr(
+        key,
+        f"CASE {' '.join(f'WHEN {this} THEN {tier}' for this, tier, _ in whens)} END AS tier",
+        f"CASE {' '.join(f'WHEN {this} THEN {text}' for this, _, text in whens)} END AS g",
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,6 +32,19 @@ HEAVY_NAME_ROWS = 100_000
 HEAVY_NAMES = 1_000
 
 
+@dataclass(frozen=True)
+class PrimaryNames:
+    """The primary names of a book and their variants, both written. Resolutions against the same names share them."""
+
+    names: DataFrame
+    variants: DataFrame
+
+
+def primary_names(book: DataFrame, primary: str = "primary") -> PrimaryNames:
+    names = stage(canonical_names(book, primary), "primary-names")
+    return PrimaryNames(names, stage(variant_features(names, "canon", "canon"), "primary-variants"))
+
+
 def source_key() -> Column:
     """One text per (company, short name) pair."""
     return F.concat_ws("\x01", F.coalesce("company", F.lit("")), F.coalesce("short_name", F.lit("")))
@@ -77,16 +92,22 @@ def alias_lookup(names: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def match_candidates(
-    src: DataFrame, canon: DataFrame, tiers: tuple = ALL_TIERS, limits: MatchLimits = MatchLimits()
+    src: DataFrame,
+    canon: DataFrame,
+    tiers: tuple = ALL_TIERS,
+    limits: MatchLimits = MatchLimits(),
+    can_features: DataFrame | None = None,
 ) -> DataFrame:
     """Best tier of each candidate pair with the similarity of the full names.
 
-    ``src`` is the output of ``source_names``, with ``mapped_name`` where aliases apply.
+    ``src`` is the output of ``source_names``, with ``mapped_name`` where aliases apply. ``can_features`` are the
+    written variants of ``canon`` if there are any.
     """
     hints = ["mapped_name", "company", "short_name"] if "mapped_name" in src.columns else ["company", "short_name"]
     # Variants feed six branches each, so they are written once.
     src_features = stage(variant_features(src, "src", *hints), "secondary-variants")
-    can_features = stage(variant_features(canon, "canon", "canon"), "primary-variants")
+    if can_features is None:
+        can_features = stage(variant_features(canon, "canon", "canon"), "primary-variants")
     pairs = (
         tier_candidates(src, canon, src_features, can_features, tiers, limits)
         .groupBy("src", "canon")
@@ -233,12 +254,16 @@ def unique_prefix_match(hints: DataFrame, canon: DataFrame, index: DataFrame | N
 
 
 def resolve_names(
-    src: DataFrame, canon: DataFrame, limits: MatchLimits = MatchLimits(), index: DataFrame | None = None
+    src: DataFrame,
+    canon: DataFrame,
+    limits: MatchLimits = MatchLimits(),
+    index: DataFrame | None = None,
+    can_features: DataFrame | None = None,
 ) -> DataFrame:
     """(src, slug, step) for every name that resolves; step 0 is a scored match, 1-4 the
     fallbacks, which apply only to names without any scored candidate. Both inputs are read
     several times and should be staged."""
-    scored = stage(best_candidate(match_candidates(src, canon, limits=limits)), "scored")
+    scored = stage(best_candidate(match_candidates(src, canon, limits=limits, can_features=can_features)), "scored")
     found = scored.filter(F.col("slug").isNotNull()).select("src", "slug", F.lit(0).alias("step"))
     rest = stage(src.join(scored, "src", "left_anti"), "unscored")
     if not rest.isEmpty():
@@ -274,15 +299,17 @@ def resolve_entities(
     primary: str = "primary",
     limits: MatchLimits = MatchLimits(),
     index: DataFrame | None = None,
+    known: PrimaryNames | None = None,
 ) -> DataFrame:
     """Listings with ``matched_slug``: the primary record of the book each one denotes, or null.
 
-    Of the book only slug, source, company and ord are read. ``index`` is its token index if one is kept."""
+    Of the book only slug, source, company and ord are read. ``index`` is its token index if one is kept, ``known``
+    its primary names if they are written already."""
     names = source_names(listings)
     src = stage(names if aliases is None else alias_lookup(names, aliases), "secondary-names")
-    canon = stage(canonical_names(book, primary), "primary-names")
+    known = primary_names(book, primary) if known is None else known
     resolved = stage(
-        resolve_names(src, canon, limits, index).select("src", F.col("slug").alias("matched_slug")), "resolved"
+        resolve_names(src, known.names, limits, index, known.variants).select("src", F.col("slug").alias("matched_slug")), "resolved"
     )
     # Written once: its three uses must agree on the names.
     heaviest = src.filter(F.col("n_rows") >= HEAVY_NAME_ROWS).orderBy(F.desc("n_rows"), "src").limit(HEAVY_NAMES)

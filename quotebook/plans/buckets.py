@@ -29,7 +29,7 @@ from quotebook.operators.merge import (
     upsert_primary,
     upsert_secondary_only,
 )
-from quotebook.operators.resolve import index_of_postings, resolve_entities, source_key
+from quotebook.operators.resolve import index_of_postings, primary_names, resolve_entities, source_key
 from quotebook.schemas import BOOK_SCHEMA
 from quotebook.session import stage
 from quotebook.sources.book import (
@@ -152,7 +152,8 @@ def _merge_once(spark, root, scraped, batch_ts, aliases, primary, secondary, lim
     index = index_of_postings(_union(old.read("postings").join(own_slugs, "slug", "left_anti"), fresh))
 
     # Secondary rows go into the record they denote, or into one of their own.
-    resolved = stage(resolve_entities(theirs, names, aliases, primary, limits, index), "matched")
+    canon = primary_names(names, primary)
+    resolved = stage(resolve_entities(theirs, names, aliases, primary, limits, index, canon), "matched")
     unmatched = resolved.filter(F.col("matched_slug").isNull())
     their_slugs = stage(
         resolved.select(F.coalesce("matched_slug", "slug").alias("slug")).distinct().join(own_slugs, "slug", "left_anti"),
@@ -170,7 +171,8 @@ def _merge_once(spark, root, scraped, batch_ts, aliases, primary, secondary, lim
     overwritten = not unmatched.join(
         _union(names_of(upserted), before).filter(F.col("source") == primary), "slug", "left_semi"
     ).isEmpty()
-    settled = None if overwritten else unmatched
+    # Without overwritten records the primary names are those of the first resolution.
+    settled, canon = (None, None) if overwritten else (unmatched, canon)
     facts = {"reconciled": "yes", "aliases": _fingerprint(aliases)}
     n_leftovers = leftovers.count()
     if base is not None and base.facts == facts:
@@ -187,7 +189,7 @@ def _merge_once(spark, root, scraped, batch_ts, aliases, primary, secondary, lim
     elsewhere = asked.join(slugs, "slug", "left_anti")
     looked_at = _union(with_secondary.join(asked, "slug", "left_semi"), old.records(stage(elsewhere, "asked-elsewhere")))
     gone = stage(
-        leftover_matches(names, aliases, primary, secondary, leftovers=looked_at, limits=limits), "reconciled"
+        leftover_matches(names, aliases, primary, secondary, leftovers=looked_at, limits=limits, known=canon), "reconciled"
     )
     also = stage(
         _union(gone.select("slug"), gone.select(F.col("matched_slug").alias("slug"))).distinct().join(slugs, "slug", "left_anti"),

@@ -24,7 +24,7 @@ from quotebook.operators.merge import (
     upsert_secondary_only,
 )
 from quotebook.operators.publish import write_published
-from quotebook.operators.resolve import resolve_entities
+from quotebook.operators.resolve import primary_names, resolve_entities
 from quotebook.plans.buckets import merge_batch
 from quotebook.session import stage
 from quotebook.sources.book import read_book
@@ -62,16 +62,17 @@ def upsert_stocks(
     ours, theirs = rows.filter(~is_secondary), rows.filter(is_secondary)
 
     snapshot = stage(upsert_primary(book, ours, batch_ts, base), "book-primary")
-    resolved = stage(resolve_entities(theirs, snapshot, aliases, primary, limits), "matched")
+    known = primary_names(snapshot, primary)
+    resolved = stage(resolve_entities(theirs, snapshot, aliases, primary, limits, known=known), "matched")
     merged = merge_backup(snapshot, resolved, batch_ts)
     unmatched = resolved.filter(F.col("matched_slug").isNull())
     with_secondary = stage(upsert_secondary_only(merged, unmatched, batch_ts, base), "book-secondary")
     # Names just found to match nothing need no second look, as long as no primary record was
-    # overwritten in between, which would change what they are compared with.
+    # overwritten in between, which would change what they are compared with. Else the primary names are the same, too.
     overwritten = unmatched.join(snapshot.filter(F.col("source") == primary).select("slug"), "slug", "left_semi")
-    settled = unmatched if overwritten.isEmpty() else None
+    settled, known = (unmatched, known) if overwritten.isEmpty() else (None, None)
     gone = stage(
-        leftover_matches(with_secondary, aliases, primary, secondary, settled, limits=limits), "reconciled"
+        leftover_matches(with_secondary, aliases, primary, secondary, settled, limits=limits, known=known), "reconciled"
     )
     return UpsertResult(
         book=reconcile_leftovers(with_secondary, gone),

@@ -243,3 +243,37 @@ def test_no_nested_loop_joins(spark):
     ):
         plan = frame._jdf.queryExecution().toString()
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_job_lists_the_variants_of_primary_names_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from quotebook.operators import resolve
+    from quotebook.operators.listings import normalize_listings
+    from quotebook.plans.upsert import upsert_stocks
+    from quotebook.sources.book import empty_book
+
+    made, write = [], resolve.stage
+    monkeypatch.setattr(resolve, "stage", lambda df, label: made.append(label) or write(df, label))
+
+    def batch(*rows):
+        return normalize_listings(spark.createDataFrame(rows, "ord long, source string, company string, slug string"))
+
+    # The old leftover meets a primary name of the second batch, whose own secondary row matches nothing.
+    ts = F.lit("2024-01-01").cast("timestamp")
+    old = upsert_stocks(empty_book(spark), batch((1, "secondary", "Alpha Bolt Ltd", "old-a")), ts).book
+    made.clear()
+    new = batch((1, "primary", "Alpha Bolt Limited", "a"), (2, "secondary", "Zulu Pulp", "z"))
+    got = upsert_stocks(old, new, ts, batch=1).book.collect()
+    assert {(r.slug, tuple(r.aliases or ())) for r in got} == {("a", ("Alpha Bolt Ltd",)), ("z", ())}
+    assert made.count("secondary-variants") == 2 and made.count("primary-variants") == 1
+
+
+def test_token_subsets_are_listed_without_lambdas(spark):
+    from quotebook.operators import candidates
+
+    rows = spark.createDataFrame([("n", "abc", ["a", "b", "c"], [])], "canon string, norm string, tokens array<string>, shorts array<string>")
+    for secondary, own, other in ((False, ">", {"<|a|b", "<|a|c", "<|b|c", "<|a|b|c"}), (True, "<", {">|a|b", ">|a|c", ">|b|c"})):
+        keys = candidates._keys(rows, "canon", (candidates.TIER_SUBSET,), candidates.MatchLimits(), secondary)
+        assert {r.g for r in keys.collect()} == other | {f"{own}|a|b|c"}
+        assert "lambda" not in keys._jdf.queryExecution().toString()
