@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotebook.llm.staging import keep
+from quotebook.llm.staging import keep, planned
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -16,13 +16,14 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     pairs = links.select(F.col(a).alias("node"), F.col(b).alias("other"))
     both = keep(pairs.unionByName(pairs.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "cc-links")
+    n = both.count()
     roots = keep(both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "cc-roots")
     while True:
-        near = both.join(roots.select(F.col("node").alias("other"), F.col("root").alias("seen")), "other")
+        near = both.join(planned(roots.select(F.col("node").alias("other"), F.col("root").alias("seen")), n), "other")
         least = near.groupBy("node").agg(F.min("seen").alias("seen"))
-        step = roots.join(least, "node").select("node", F.col("root").alias("old"), F.least("root", "seen").alias("root"))
+        step = roots.join(planned(least, n), "node").select("node", F.col("root").alias("old"), F.least("root", "seen").alias("root"))
         jump = roots.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        new = step.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root"))
+        new = step.join(planned(jump, n), "root", "left").select("node", "old", F.least("root", F.coalesce("further", "root")).alias("root"))
         new = keep(new, "cc-roots")
         roots = new.select("node", "root")
         if new.where("root <> old").isEmpty():

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotebook.llm.staging import keep
+from quotebook.llm.staging import keep, planned, sized
 
 WINDOW = 10
 #: Test terms, lists and candidate rows are broadcast up to so many entries, else joined by exchange.
@@ -33,7 +33,7 @@ def _pieces(text: str) -> Column:
 
 
 def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return sized(df, BROADCAST_ROWS)
 
 
 def windows_of(items: DataFrame, item_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
@@ -68,7 +68,7 @@ def match(index: DataFrame, windows: DataFrame, terms: DataFrame, slop: int = 0)
     postings = index.where("term is not null").select("id", "h", "term", "pos")
     found = postings.groupBy("term").agg(F.count("*").alias("df"))
     parts = windows.select("wid", F.size("words").alias("length"), F.posexplode("words").alias("offset", "word"))
-    parts = parts.join(terms, "word").join(found, "term", "left")
+    parts = parts.join(_sized(terms), "word").join(planned(found, terms.count()), "term", "left")
     whole = Window.partitionBy("wid")
     # A window with a term that no document has cannot occur.
     parts = parts.withColumn("least", F.min(F.coalesce("df", F.lit(0))).over(whole)).where("least > 0")
@@ -82,6 +82,7 @@ def match(index: DataFrame, windows: DataFrame, terms: DataFrame, slop: int = 0)
     rows = keep(starts.select("id", "h").distinct(), "decon-rows")
     here = _same(postings, _sized(rows), ["h"], "left_semi")
     here = keep(here, "decon-near")
+    n_near = here.count()
 
     def confirm(places: DataFrame, ranks: str, near: DataFrame) -> DataFrame:
         needed = parts.where(ranks).select("wid", "term", "offset")
@@ -91,7 +92,7 @@ def match(index: DataFrame, windows: DataFrame, terms: DataFrame, slop: int = 0)
             "id", "h", "wid", "length", "start", "offset", "term",
             F.explode(F.sequence(F.col("start") + F.col("offset") - slop, F.col("start") + F.col("offset") + slop)).alias("pos"),
         )
-        met = _same(asked, near, ["h", "term", "pos"], "left_semi")
+        met = _same(asked, planned(near, n_near), ["h", "term", "pos"], "left_semi")
         n = met.groupBy("id", "h", "wid", "length", "start").agg(F.countDistinct("offset").alias("n"))
         want = parts.where(ranks).groupBy("wid").agg(F.count("*").alias("want"))
         return n.join(_sized(want), "wid").where("n = want").select("id", "h", "wid", "length", "start")
@@ -145,9 +146,9 @@ def contamination(
     met = met.groupBy("id", "h").agg(F.array_sort(F.collect_set("item")).alias("ids"))
     met = met.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "ids")
     row = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    summary = inside.join(met, row).select("_id", "_h", "n_hit", "ids")
+    summary = inside.join(planned(met, hits.count()), row).select("_id", "_h", "n_hit", "ids")
     rows = index.where("n_words is not null").select("id", "h", "n_words")
-    out = rows.join(summary, row, "left")
+    out = rows.join(planned(summary, index.count()), row, "left")
     return out.select(
         F.col("id").alias(id_col), "h", F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

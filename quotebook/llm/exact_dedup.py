@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotebook.llm.staging import keep
+from quotebook.llm.staging import keep, planned
 
 CHUNK_BYTES = 16 << 20
 #: A bucket aims at TARGET_BYTES of distinct contents and is split beyond BUCKET_BYTES.
@@ -212,9 +212,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of `docs`, with all their columns, of which one stays for each text."""
     kept = find_copies(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
     kept = keep(kept, "dedup-kept")
+    n = kept.count()
     # Repeated rows have the same id and text; where there are any, one of them is taken.
     numbered = docs.withColumn("_key", F.sha2(normalized(text_col), 256))
-    rows = numbered.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha")), "left_semi")
-    if rows.count() > kept.count():
+    rows = numbered.join(planned(kept, n), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha")), "left_semi")
+    if rows.count() > n:
         rows = rows.dropDuplicates([id_col, "_key"])
     return rows.drop("_key")

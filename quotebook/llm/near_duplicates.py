@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from quotebook.llm.bpe import texts_of
 from quotebook.llm.components import components
-from quotebook.llm.staging import keep
+from quotebook.llm.staging import exchanged, keep, planned
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -45,7 +45,8 @@ RECALL = 0.998
 #: Bounds of a block of one component.
 BLOCK_CLASSES = 1_000
 BLOCK_SHINGLES = 1_000_000
-#: Candidate classes are broadcast to the scan of the texts up to so many, else joined by exchange.
+#: Candidate classes are broadcast to the scan of the texts if they and the pairs of blocks they meet in are so many at most,
+#: else joined by exchange.
 BROADCAST_ROWS = 500_000
 _KNOWN_WORDS = 500_000
 _WORD = re.compile(r"\w+")
@@ -195,10 +196,11 @@ def verified(candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str,
     blocks = candidates.groupBy("comp", "level").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
     count = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     blocks = keep(blocks.select("comp", "level", count.alias("parts")), "near-blocks")
+    n = blocks.count()
     for name, step in (("above", 1), ("below", -1)):
         other = blocks.select("comp", (F.col("level") - step).alias("level"), F.col("parts").alias(name))
-        candidates = candidates.join(other, ["comp", "level"], "left")
-    candidates = candidates.join(blocks, ["comp", "level"])
+        candidates = candidates.join(planned(other, n), ["comp", "level"], "left")
+    candidates = candidates.join(planned(blocks, n), ["comp", "level"])
     candidates = candidates.withColumn("slot", F.pmod(F.xxhash64("set"), F.col("parts")).cast("int"))
 
     def pairs(n: str, fn) -> F.Column:
@@ -222,7 +224,8 @@ def verified(candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str,
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(sets, pa.binary())], names=["set", "comp", "weight", "meets", "shingles"])
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("_h"))
-    small = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
+    entries = placed.agg(F.sum(F.size("meets") + 1)).first()[0] or 0
+    small = F.broadcast(placed) if entries <= BROADCAST_ROWS else exchanged(placed)
     found = texts.join(small, (F.col("_h") == F.col("h")) & F.col("_id").eqNullSafe(F.col("id")))
     meets = placed.schema["meets"].dataType.simpleString()
     cut_ = found.select("set", "comp", "weight", "meets", "text").mapInArrow(
@@ -238,10 +241,11 @@ def band_links(nodes: DataFrame) -> DataFrame:
 
     Linking a set to the root of each of its bands gives up to TREES links for each member of a large group, and most
     of these roots have the same least one. So a set gets one link, to the least of its roots, and the other links lie
-    between roots, which few sets are.
+    between roots, which few sets are. Spark takes the exploded nodes for a fraction of their rows, so the join is told
+    to exchange them.
     """
     met = nodes.groupBy("tree", "prefix").agg(F.min("set").alias("root"), F.count("*").alias("n")).where("n > 1")
-    roots = nodes.join(met, ["tree", "prefix"]).groupBy("set").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots"))
+    roots = nodes.join(exchanged(met), ["tree", "prefix"]).groupBy("set").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots"))
     own = roots.select("set", F.col("least").alias("root"))
     between = roots.select(F.explode("roots").alias("set"), F.col("least").alias("root"))
     return own.unionByName(between).where("set <> root").distinct()
@@ -269,17 +273,19 @@ def near_duplicates(
     nodes = sets.where("size > 0").select("set", F.posexplode("prefixes").alias("tree", "prefix"))
     links = keep(band_links(nodes), "near-links")
     comps = components(links, "set", "root").select(F.col("node").alias("set"), F.col("root").alias("comp"))
-    candidates = sets.select("set", "weight", "size", "at.id", "at.h").join(comps, "set")
+    candidates = sets.select("set", "weight", "size", "at.id", "at.h").join(planned(comps, comps.count()), "set")
     found = keep(verified(candidates, docs, id_col, text_col, ngram, threshold), "near-verified")
+    n, n_rows = found.count(), rows.count()
     partners = found.groupBy("set").agg(F.sum("links").alias("partners"))
     groups = components(found.where("set <> root"), "set", "root").withColumnsRenamed({"node": "set"})
 
-    classes = sets.select("key", "set", "weight", "first").join(groups, "set", "left").join(partners, "set", "left")
+    classes = sets.select("key", "set", "weight", "first").join(planned(groups, n), "set", "left")
+    classes = classes.join(planned(partners, n), "set", "left")
     classes = classes.withColumn("root", F.coalesce("root", "set"))
     whole = classes.groupBy("root").agg(F.min("first").alias("keep"), F.sum("weight").alias("class_size"))
-    classes = classes.join(whole, "root").select(
+    classes = classes.join(planned(whole, n_rows), "root").select(
         "key", "class_size", "keep", (F.coalesce("partners", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    return rows.select("key", "row", "id", "h").join(classes, "key").select(
+    return rows.select("key", "row", "id", "h").join(planned(classes, n_rows), "key").select(
         F.col("id").alias(id_col), "h", F.col("keep.id").alias("class_id"), "class_size", "n_links",
         (F.col("row") == F.col("keep.row")).alias("kept"))
 
@@ -288,8 +294,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of `docs`, with all their columns, of which one stays for each group of near duplicates."""
     found = near_duplicates(docs, id_col, text_col, **options)
     kept = keep(found.where("kept").select(F.col(id_col).alias("_id"), F.col("h").alias("_h")), "near-kept")
-    h = F.xxhash64(text_col)
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (h == F.col("_h")), "left_semi")
-    if rows.count() > kept.count():  # repeated rows: of those alike, one
+    h, n = F.xxhash64(text_col), kept.count()
+    rows = docs.join(planned(kept, n), F.col(id_col).eqNullSafe(F.col("_id")) & (h == F.col("_h")), "left_semi")
+    if rows.count() > n:  # repeated rows: of those alike, one
         rows = rows.withColumn("_h", h).dropDuplicates([id_col, "_h"]).drop("_h")
     return rows

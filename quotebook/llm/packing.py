@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotebook.llm import bpe
-from quotebook.llm.staging import keep
+from quotebook.llm.staging import keep, sized
 
 WINDOW = 1024
 #: The partition offsets (16 bytes each) are broadcast up to so many partitions, else joined by exchange.
@@ -85,8 +85,7 @@ def pack(
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = keep(totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")), "packing-bases")
-    if bases.count() <= BROADCAST_PARTITIONS:
-        bases = F.broadcast(bases)
+    bases = sized(bases, BROADCAST_PARTITIONS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotebook.llm.bpe import texts_of
-from quotebook.llm.staging import keep, keep_bucketed
+from quotebook.llm.staging import keep, keep_bucketed, planned, sized
 
 ORDER = 5
 CHUNK_CHARS = 16 << 20
@@ -238,7 +238,7 @@ def coded(
     table and its number of buckets."""
     good = labels.where(F.col(label_col) > 0).select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
     good = good.withColumn("_good", F.lit(1))
-    good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
+    good = sized(good, BROADCAST_ROWS)
     read = docs.select(
         F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
@@ -333,12 +333,13 @@ def train(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
         if k < order:
             table = keep(table.groupBy(F.substring("gram", 2, order).alias("gram")).agg(F.count("*").alias("n")), "quality-counts")
         d1, d2, d3 = discounts(table)
+        rows = table.count()
         discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         split = table.select("gram", "n", discount.alias("d"), F.substring("gram", 1, k - 1).alias("context"))
         contexts = split.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("left"))
-        own = split.join(contexts, "context").select("gram", (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("own"))
+        own = split.join(planned(contexts, rows), "context").select("gram", (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("own"))
         parts += [own.select("gram", "own", F.lit(0.0).alias("left")), contexts.select(F.col("context").alias("gram"), F.lit(0.0).alias("own"), "left")]
-        symbols = table.count() if k == 1 else symbols
+        symbols = rows if k == 1 else symbols
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
@@ -496,5 +497,4 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
     found = classify(docs, labels, id_col, text_col, lang_col, key=key)
     rejected = keep(found.where(~F.col("kept")).select(F.col(id_col).alias("_key")).distinct(), "quality-rejected")
-    rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
-    return docs.join(rejected, key.eqNullSafe(F.col("_key")), "left_anti")
+    return docs.join(sized(rejected, BROADCAST_ROWS), key.eqNullSafe(F.col("_key")), "left_anti")
